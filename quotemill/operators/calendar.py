@@ -21,14 +21,19 @@ def open_days_of_year(calendar: DataFrame, year: int) -> DataFrame:
     return open_days(calendar).where(F.year("date") == year).orderBy("date")
 
 
+def _calendar_days(calendar: DataFrame, name: str) -> DataFrame:
+    """Distinct open days, to be broadcast: some 250 a year whatever the data size, and
+    never more than the days DATE can name."""
+    return open_days(calendar).select(F.col("date").alias(name))
+
+
 def is_trading_day(calendar: DataFrame, day: str | dt.date) -> bool:
     return not open_days(calendar).where(F.col("date") == F.to_date(F.lit(str(day)))).isEmpty()
 
 
 def on_trading_days(df: DataFrame, calendar: DataFrame, date: str = "date") -> DataFrame:
-    """Rows of open days only. A calendar has some 250 rows a year, whatever the data size."""
-    days = open_days(calendar).select(F.col("date").alias(date))
-    return df.join(days, date, "left_semi")
+    """Rows of open days only."""
+    return df.join(F.broadcast(_calendar_days(calendar, date)), date, "left_semi")
 
 
 def missing_days(
@@ -47,20 +52,19 @@ def missing_days(
     days only. The expected days are listed out of each key's own span, one aggregated row
     per key, and meet the calendar in an equi-join.
     """
-    days = open_days(calendar).select(F.col("date").alias(date))
+    days = _calendar_days(calendar, date)
     if as_of is not None:
         days = days.where(F.col(date) <= F.to_date(F.lit(str(as_of))))
     if last is not None:
         days = days.orderBy(F.col(date).desc()).limit(last)
-    present = df.select(key, date).where(F.col(date).isNotNull()).distinct()
-    spans = present.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+    spans = df.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
     if through == "table":
-        end = F.to_date(F.lit(str(as_of))) if as_of is not None else present.agg(F.max(date)).scalar()
+        end = F.to_date(F.lit(str(as_of))) if as_of is not None else df.agg(F.max(date)).scalar()
         spans = spans.withColumn("_last", end)
     spans = spans.where(F.col("_first") <= F.col("_last"))
     listed = spans.select(key, F.explode(F.sequence("_first", "_last")).alias(date))
-    expected = listed.join(days, date, "left_semi").select(key, date)
-    return expected.join(present, [key, date], "left_anti")
+    expected = listed.join(F.broadcast(days), date, "left_semi").select(key, date)
+    return expected.join(df.select(key, date).distinct(), [key, date], "left_anti")
 
 
 def _gap_columns(date: Column) -> list[Column]:

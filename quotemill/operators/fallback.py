@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keyed import top_n_per_key
 from .sized import settled
 
 Source = DataFrame | Callable[[], DataFrame]
@@ -17,20 +18,26 @@ def fallback_by_key(
     sources: Sequence[tuple[str, DataFrame]],
     keys: Sequence[str] = ("symbol",),
     out: str = "source",
+    unique: bool = False,
 ) -> DataFrame:
     """For every key all rows of the first source that has any.
 
     Which source owns a key is one aggregation over the keys alone; the rows are then
-    filtered by that table. With (symbol, date) as keys single days are filled.
+    filtered by that table, which is small where a key has many rows. Where the key is
+    ``unique`` in each source, such as (symbol, date) to fill single days, that table would
+    be as long as the data, and the first row per key is kept instead, in one shuffle.
     """
     keys = list(keys)
-    tagged = [df.withColumn("_rank", F.lit(i)) for i, (_, df) in enumerate(sources)]
-    seen = reduce(DataFrame.unionByName, [t.select(*keys, "_rank").distinct() for t in tagged])
-    owner = settled(seen.groupBy(*keys).agg(F.min("_rank").alias("_rank")))
+    tagged = [df.withColumn("_source", F.lit(i)) for i, (_, df) in enumerate(sources)]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    if unique:
+        owned = top_n_per_key(rows, keys, [F.col("_source").asc()], 1)
+    else:
+        seen = reduce(DataFrame.unionByName, [t.select(*keys, "_source").distinct() for t in tagged])
+        owner = settled(seen.groupBy(*keys).agg(F.min("_source").alias("_source")))
+        owned = rows.join(owner, [*keys, "_source"], "left_semi")
     names = F.array(*[F.lit(name) for name, _ in sources])
-    owned = rows.join(owner, [*keys, "_rank"], "left_semi")
-    return owned.withColumn(out, F.get(names, F.col("_rank"))).drop("_rank")
+    return owned.withColumn(out, F.get(names, F.col("_source"))).drop("_source")
 
 
 def first_with_rows(sources: Sequence[tuple[str, Source]]) -> tuple[str, DataFrame]:

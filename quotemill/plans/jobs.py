@@ -184,7 +184,7 @@ def backfill_missing(
     stored = without_partitions(read_table(spark, root, table))
     missing = missing_days(stored, calendar, date=time, last=days, as_of=as_of)
     offers = [(name, rows_of_missing(missing, df, date=time)) for name, df in sources]
-    rows = fallback_by_key(offers, ("symbol", time)).drop("source")
+    rows = fallback_by_key(offers, ("symbol", time), unique=True).drop("source")
     return _take_in(spark, rows, root, table, order, time, "backfill-missing", run_time, as_of)
 
 
@@ -197,7 +197,7 @@ def _take_in(
     rows = spark.read.parquet(copy)
     if rows.isEmpty():
         return "empty"
-    upsert(rows, root, table, ("symbol", time), order, "year", time)
+    upsert(rows, root, table, ("symbol", time), order, "year", time, copied=True)
     records = log_rows(rows, table, run_type, "chain", run_time, data_date=data_date)
     write_table(records, root, "update_log", "append")
     return "updated"

@@ -550,8 +550,9 @@ _SQL: dict[str, tuple[str, ...]] = {
         SELECT 'etf_daily' AS table_name, 'ok' AS status, count(*) AS n_rows,
                count(DISTINCT symbol) AS n_symbols FROM bars_daily
         UNION ALL SELECT 'etf_min1', 'ok', count(*), count(DISTINCT symbol) FROM bars_min
+        UNION ALL SELECT 'etf_nav', 'ok', count(*), 0 FROM bars_by_type
         UNION ALL SELECT 'etf_universe', 'ok', count(*), 0 FROM universe""",
-        "bars_daily", "bars_min", "universe"),
+        "bars_daily", "bars_min", "bars_by_type", "universe"),
     "c9_update_day": (f"""
         SELECT {_BAR} FROM bars_daily WHERE date < DATE '2024-01-30' UNION ALL
         SELECT {_BAR} FROM source_c WHERE date = DATE '2024-01-30' UNION ALL

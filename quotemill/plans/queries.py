@@ -529,7 +529,7 @@ def j4_symbol_fallback(t: Tables) -> DataFrame:
 @query
 def j4_day_fallback(t: Tables) -> DataFrame:
     chain = [("c", t.source_c()), ("b", t.source_b()), ("a", t.bars_daily())]
-    return fallback.fallback_by_key(chain, ("symbol", "date"))
+    return fallback.fallback_by_key(chain, ("symbol", "date"), unique=True)
 
 
 @query
@@ -859,7 +859,9 @@ def c7_inventory(t: Tables) -> DataFrame:
 @query
 def c8_backfill(t: Tables) -> DataFrame:
     landed, root = _scratch(t, "landed"), _scratch(t, "store")
-    t.bars_daily().write.partitionBy("symbol").parquet(f"{landed}/etf_daily")
+    t.bars_daily().write.parquet(f"{landed}/etf_daily")
+    # delivered per key, one folder each
+    t.bars_by_type().withColumnRenamed("symbol", "code").write.partitionBy("code").parquet(f"{landed}/etf_nav")
     t.bars_min().write.parquet(f"{landed}/etf_min1")
     universe(t).write.parquet(f"{landed}/etf_universe")
     jobs.backfill(t.spark, landed, root, RUN_TIME)

@@ -85,20 +85,29 @@ def _replace_whole(df: DataFrame, path: str) -> None:
 
 
 def _combine(
-    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine
+    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine, copied: bool = False
 ) -> None:
-    """Rewrite the partitions ``df`` touches with ``combine(existing rows, df)``."""
+    """Rewrite the partitions ``df`` touches with ``combine(existing rows, df)``.
+
+    The batch is used several times, so it is computed once, into the shared folder, unless
+    it is ``copied`` already. Read back it also has a known size, by which Catalyst decides
+    whether its keys can be broadcast to the existing rows.
+    """
     spark, path, columns = df.sparkSession, table_path(root, table), LAYOUTS[layout]
     parted = with_partitions(df, layout, time)
+    found = table_exists(spark, root, table)
+    if found and not copied:
+        copy = scratch_path(spark, "batch")
+        parted.write.parquet(copy)
+        parted = spark.read.parquet(copy)
+    existing = spark.read.parquet(path) if found else parted.limit(0)
     if not columns:
-        if table_exists(spark, root, table):
-            _replace_whole(combine(spark.read.parquet(path), parted), path)
-        else:
-            _save(combine(parted.limit(0), parted), path, layout, "append")
+        merged = combine(existing, parted)
+        _replace_whole(merged, path) if found else _save(merged, path, layout, "append")
         return
-    existing = read_or_empty(spark, path, parted.schema)
-    affected = _in_partitions(existing, columns, _touched(parted, columns))
-    merged = combine(affected, parted)
+    if found:
+        existing = _in_partitions(existing, columns, _touched(parted, columns))
+    merged = combine(existing, parted)
     _save(_spread(merged, [*columns, symbol, time], None), path, layout, "overwrite")
 
 
@@ -112,6 +121,7 @@ def upsert(
     time: str = "date",
     symbol: str = "symbol",
     newest_wins: bool = False,
+    copied: bool = False,
 ) -> None:
     """Keyed write: the batch replaces existing rows of its keys, its last row per key wins.
 
@@ -122,7 +132,13 @@ def upsert(
     if LAYOUTS[layout] and time not in keys:
         raise ValueError(f"the key of a table partitioned by {time} has to hold {time}")
     merge = merge_by_version if newest_wins else merge_by_key
-    _combine(df, root, table, layout, time, symbol, lambda old, new: merge(old, new, keys, order))
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        return merge(old, new, keys, order)
+
+    # merging by version into a table without partitions uses the batch only once
+    once = newest_wins and not LAYOUTS[layout]
+    _combine(df, root, table, layout, time, symbol, combine, copied or once)
 
 
 def write(
@@ -133,6 +149,7 @@ def write(
     keys: Sequence[str] | None = None,
     order: Sequence[str] = (),
     layout: str = "single",
+    copied: bool = False,
 ) -> None:
     """Append, replace or fail.
 
@@ -148,7 +165,7 @@ def write(
     if if_exists == "append" and keys:
         if not order:
             raise ValueError("a keyed append needs the order in which later rows win")
-        upsert(df, root, table, keys, order, layout, time or "", symbol or keys[0])
+        upsert(df, root, table, keys, order, layout, time or "", symbol or keys[0], copied=copied)
     elif if_exists == "append":
         if columns:
             write_series(df, root, table, layout, symbol, time, "append")
@@ -157,12 +174,13 @@ def write(
     elif if_exists == "replace":
         if columns:
             pair = [*columns, symbol]
+
             def exchange(old: DataFrame, new: DataFrame) -> DataFrame:
                 given = new.select(*pair).distinct()
                 kept = old.join(given, pair, "left_anti").select(*old.columns)
                 return kept.unionByName(new, allowMissingColumns=True)
 
-            _combine(df, root, table, layout, time, symbol, exchange)
+            _combine(df, root, table, layout, time, symbol, exchange, copied)
         else:
             write_table(df, root, table, "overwrite")
     elif if_exists == "fail":
@@ -192,10 +210,10 @@ def write_to_targets(
     if len(targets) > 1 and not copied:
         copy = scratch_path(spark, "targets")
         df.write.parquet(copy)
-        df = spark.read.parquet(copy)
+        df, copied = spark.read.parquet(copy), True
     for target in targets:
         options = {k: v for k, v in target.items() if k in ("if_exists", "keys", "order", "layout")}
-        write(df, target["root"], target["table"], **options)
+        write(df, target["root"], target["table"], copied=copied, **options)
     written = df.count() if rows is None else rows
     return written * len(targets)
 

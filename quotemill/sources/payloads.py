@@ -34,8 +34,9 @@ def parse_bar_lines(df: DataFrame, line: str = "line") -> DataFrame:
     Fewer than seven fields or a field that is no number: the line is left out. The last
     three may be missing, and are null then.
     """
-    parts = F.split(F.col(line), ",")
-    rows = df.withColumn("_p", parts).where(F.size("_p") >= 7)
+    # exploding the one list keeps its split from being repeated in every test of a field
+    parts = F.filter(F.array(F.split(F.col(line), ",")), lambda p: F.size(p) >= 7)
+    rows = df.select("symbol", F.explode(parts).alias("_p"))
     numbers = {name: _number(F.get("_p", i + 1)) for i, name in enumerate(BAR_FIELDS)}
     optional = {name: F.get("_p", i) for i, name in ((8, "pct_chg"), (9, "change"), (10, "turnover_rate"))}
     readable = [F.col(n).isNotNull() for n in numbers]
