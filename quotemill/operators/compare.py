@@ -21,9 +21,11 @@ def align(
 ) -> DataFrame:
     """One row per (key, date), with a struct of fields per source.
 
-    The sources are stacked and aggregated, which costs one shuffle for all of them; joins
-    by pairs would shuffle every source twice. (key, date) is unique in each source, so
-    ``max`` only moves the value.
+    The sources are stacked, shuffled once and aggregated; joins by pairs would read and
+    sort every source twice. (key, date) has to be unique in each source (``keep_last``), so
+    a group has one row a source, however many rows a key has, and ``max`` only moves the
+    value. Hence also the explicit shuffle: partial aggregates in front of it would reduce
+    nothing and send a column per source and field instead of one per field.
     """
     stacked = []
     for i, (_, df) in enumerate(sources):
@@ -33,7 +35,7 @@ def align(
             for f in fields
         ]
         stacked.append(df.select(key, date, F.lit(i).alias("_src"), *values))
-    rows = reduce(DataFrame.unionByName, stacked)
+    rows = reduce(DataFrame.unionByName, stacked).repartition(key, date)
     moved = [
         F.max(F.when(F.col("_src") == i, F.col(f))).alias(f"_{i}_{f}")
         for i in range(len(sources)) for f in fields

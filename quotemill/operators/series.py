@@ -30,9 +30,10 @@ def pct_change(
     """Percent change against the previous bar of the same key, over all of history.
 
     A window over the bare key would put a whole series into one task. Here a series is
-    cut into calendar spans (``year`` for daily, ``day`` for minute bars); each span looks
+    cut into calendar spans, so that a task has a year of a key at most; each span looks
     back within itself, and its first bar takes the last value of the span before from a
-    table of one row per (key, span). (key, time) has to be unique, see ``keep_last``.
+    table of one row per (key, span). Shorter spans make smaller groups and a longer table.
+    (key, time) has to be unique, see ``keep_last``.
     """
     cut = df.withColumn("_span", F.date_trunc(span, F.col(time)))
     ends = cut.groupBy(key, "_span").agg(F.max_by(value, time).alias("_end"))

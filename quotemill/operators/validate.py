@@ -188,7 +188,8 @@ def _report(df: DataFrame, rules: Rules) -> DataFrame:
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.lit(False))
     mask = F.lit(0)
     for i, c in enumerate(checked):
-        is_number = F.coalesce(~F.isnan(F.col(c).try_cast("double")), F.lit(False))
+        number = F.col(c).try_cast("double")
+        is_number = number.isNotNull() & ~F.isnan(number)
         mask = mask + F.when(out_of_range(c, rules.ranges[c]), 1 << (2 * i)).otherwise(0)
         mask = mask + F.when(is_number, 2 << (2 * i)).otherwise(0)
 
