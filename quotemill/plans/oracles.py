@@ -195,6 +195,12 @@ _LAST_OF_FEED = """
     FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY seq {way}) AS rn
           FROM feed_dup) r WHERE rn = 1"""
 _BAR = "symbol, date, open, high, low, close, volume, amount"
+_CONCENTRATION = """
+        SELECT fund_code, count(*) AS n_holdings,
+               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 3) AS DOUBLE) AS top3,
+               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 5) AS DOUBLE) AS top5
+        FROM (SELECT *, row_number() OVER (PARTITION BY fund_code ORDER BY stk_mkv_ratio DESC, symbol) AS rn
+              FROM {view}) r GROUP BY 1"""
 _WEEKDAYS = """len([d FOR d IN generate_series(first_date::TIMESTAMP, last_date::TIMESTAMP, INTERVAL 1 DAY)
                        IF isodow(d) <= 5])"""
 _GAPS = """
@@ -315,6 +321,14 @@ _SQL: dict[str, tuple[str, ...]] = {
     "p1_transforms": ("""
         SELECT fund_code AS fund, date, symbol, CAST(trunc(mkv) AS BIGINT) AS mkv,
                'lineitem' AS origin, '' AS note FROM holdings""", "holdings"),
+    "p2_drop": ("SELECT symbol, date, open, high, low, close, volume FROM bars_daily", "bars_daily"),
+    "p3_astype": ("""
+        SELECT symbol, CAST(date AS TIMESTAMP) AS date, open, high, low, close,
+               CAST(volume AS INT) AS volume, amount FROM bars_daily""", "bars_daily"),
+    "p4_add_column": ("SELECT *, 'fund' AS kind FROM fund_basic", "fund_basic"),
+    "p6_price_names": ("""
+        SELECT symbol, date AS trade_date, open AS open_price, high AS high_price, low AS low_price,
+               close AS close_price, volume, amount FROM bars_daily""", "bars_daily"),
     "p5_normalize_names": ("""
         SELECT o_custkey AS symbol, CAST(o_orderdate AS DATE) AS date, o_totalprice AS amount,
                1 AS volume FROM orders""",),
@@ -462,12 +476,8 @@ _SQL: dict[str, tuple[str, ...]] = {
         SELECT symbol, count(DISTINCT fund_code) AS fund_count,
                CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) AS DOUBLE) / count(stk_mkv_ratio) AS avg_ratio
         FROM latest_per_fund WHERE stk_mkv_ratio >= 3 GROUP BY 1""", "latest_per_fund"),
-    "a15_concentration": ("""
-        SELECT fund_code, count(*) AS n_holdings,
-               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 3) AS DOUBLE) AS top3,
-               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 5) AS DOUBLE) AS top5
-        FROM (SELECT *, row_number() OVER (PARTITION BY fund_code ORDER BY stk_mkv_ratio DESC, symbol) AS rn
-              FROM latest) r GROUP BY 1""", "latest"),
+    "a15_concentration": (_CONCENTRATION.format(view="latest"), "latest"),
+    "w4_top_k_sum": (_CONCENTRATION.format(view="latest_per_fund"), "latest_per_fund"),
     "a16_consistency": ("SELECT * FROM by_symbol", "by_symbol"),
     "a16_consistency_all_cells": ("""
         SELECT symbol, count(*) AS n_cells, count(*) FILTER (rel > threshold) AS n_diffs,

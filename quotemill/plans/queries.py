@@ -378,6 +378,22 @@ def p1_transforms(t: Tables) -> DataFrame:
     ])
 
 
+@query
+def p2_drop(t: Tables) -> DataFrame:
+    return columns.apply_transforms(t.bars_daily(), [{"action": "drop", "columns": ["amount", "absent"]}])
+
+
+@query
+def p3_astype(t: Tables) -> DataFrame:
+    types = {"volume": "int", "date": "timestamp_ntz", "absent": "int"}
+    return columns.apply_transforms(t.bars_daily(), [{"action": "astype", "mapping": types}])
+
+
+@query
+def p4_add_column(t: Tables) -> DataFrame:
+    return columns.apply_transforms(t.fund_basic(), [{"action": "add_column", "name": "kind", "value": "fund"}])
+
+
 @query
 def p5_normalize_names(t: Tables) -> DataFrame:
     vendor = t.given("orders").select(
@@ -408,6 +424,11 @@ def p10_minute_day(t: Tables) -> DataFrame:
     return store.read_minutes(t.spark, _minute_store(t), "2024-01-15")
 
 
+@query
+def p6_price_names(t: Tables) -> DataFrame:
+    return columns.price_names(t.bars_daily())
+
+
 @query
 def p11_complete_symbol(t: Tables) -> DataFrame:
     bare = F.when(F.col("type") == "BUILDING", fx.bare_code("code")).otherwise(F.col("code"))
@@ -757,6 +778,12 @@ def w3_top5_holdings(t: Tables) -> DataFrame:
     return holdings.top_holdings(_latest(t))
 
 
+@query
+def w4_top_k_sum(t: Tables) -> DataFrame:
+    """Of every period, not only the latest."""
+    return holdings.concentration(holdings.latest_period(t.holdings(), per_fund=True))
+
+
 @query
 def w5_keep_first(t: Tables) -> DataFrame:
     return validate.deduplicate(t.feed_dup(), FEED_KEYS, t.FEED_ORDER, "first")

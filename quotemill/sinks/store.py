@@ -30,8 +30,12 @@ def with_partitions(df: DataFrame, layout: str, time: str) -> DataFrame:
 
 
 def _spread(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
-    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions(*columns)
+    """Even ranges of the columns, sorted. Rows equal in all of them, such as copies of one
+    row, still spread: the input partition they come from is the last range column."""
+    sliced = df.withColumn("_slice", F.spark_partition_id())
+    wanted = [*columns, "_slice"]
+    ranged = sliced.repartitionByRange(partitions, *wanted) if partitions else sliced.repartitionByRange(*wanted)
+    return ranged.drop("_slice").sortWithinPartitions(*columns)
 
 
 def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:

@@ -49,6 +49,15 @@ def test_year_is_taken_from_each_row_and_other_years_stay(spark, root):
     assert all("zstd" in f for f in before)
 
 
+def test_copies_of_one_row_are_written_by_several_tasks(spark, root):
+    copies = spark.range(0, 40000, 1, 8).select(
+        F.lit("hot").alias("symbol"), F.lit(day(0)).alias("date"), F.lit(1.0).alias("close")
+    )
+    sink.write_series(copies, root, "t", time="date", partitions=8)
+    sizes = [spark.read.parquet(f"{root}/t/year=2023/{f}").count() for f in files(root, "t", "year=2023")]
+    assert sum(sizes) == 40000 and len(sizes) >= 4 and max(sizes) < 20000
+
+
 def test_upsert_rewrites_touched_partitions_only_and_is_idempotent(spark, root):
     keys, order = ["symbol", "date"], ["seq"]
     sink.upsert(bars(spark, ("a", 0, 1), ("a", 5, 2), ("a", 5, 3)), root, "t", keys, order, "year")
