@@ -10,7 +10,7 @@ from ..session import scratch_root
 BROADCAST_ROWS = 200_000
 
 
-def settled(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def settled(df: DataFrame, most: int | None = None) -> DataFrame:
     """The frame computed once into the shared folder, to be broadcast if it has few rows.
 
     For sides Catalyst cannot estimate, such as the distinct keys of a large table: without
@@ -20,4 +20,5 @@ def settled(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """
     scratch_root(df.sparkSession)
     computed = df.checkpoint()
-    return F.broadcast(computed) if computed.count() <= most else computed
+    few = computed.count() <= (BROADCAST_ROWS if most is None else most)
+    return F.broadcast(computed) if few else computed

@@ -18,13 +18,17 @@ from ..operators.columns import date_column, symbol_column
 from ..operators.keyed import merge_by_key, merge_by_version
 from ..schemas import UPDATE_LOG
 from ..session import scratch_path
-from ..sources.store import read_or_empty, table_exists, table_path
+from ..sources.store import SINGLE, read_or_empty, table_exists, table_path
 
-LAYOUTS = {"single": (), "year": ("year",), "month": ("year", "month")}
+# A single table is one partition, so that it is replaced as the others are: the new files
+# are written aside and take the place of the old ones when the job commits.
+LAYOUTS = {"single": (SINGLE,), "year": ("year",), "month": ("year", "month")}
 
 
-def with_partitions(df: DataFrame, layout: str, time: str) -> DataFrame:
+def with_partitions(df: DataFrame, layout: str, time: str = "") -> DataFrame:
     """Year and month of each row, not of the first one."""
+    if layout == "single":
+        return df.withColumn(SINGLE, F.lit(0))
     parts = {"year": F.year(time), "month": F.month(time)}
     return df.withColumns({c: parts[c] for c in LAYOUTS[layout]})
 
@@ -39,11 +43,9 @@ def _spread(df: DataFrame, columns: Sequence[str], partitions: int | None) -> Da
 
 
 def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:
-    writer = df.write.mode(mode).option("compression", "zstd")
-    if LAYOUTS[layout]:
-        # replaces the partitions the frame has, and no other
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUTS[layout])
-    writer.parquet(path)
+    """``overwrite`` replaces the partitions the frame has, and no other."""
+    writer = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LAYOUTS[layout]).parquet(path)
 
 
 def write_series(
@@ -63,8 +65,8 @@ def write_series(
 
 
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
-    """Write or replace a table without partitions."""
-    _save(df, table_path(root, table), "single", mode)
+    """Write or replace a single table. An empty frame replaces nothing."""
+    _save(with_partitions(df, "single"), table_path(root, table), "single", mode)
 
 
 def _touched(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
@@ -79,15 +81,6 @@ def _in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[tuple
     return df.where(reduce(lambda a, b: a | b, map(one, values), F.lit(False)))
 
 
-def _replace_whole(df: DataFrame, path: str) -> None:
-    """Replace a table without partitions by a frame that reads it: through a written copy,
-    since Spark refuses to overwrite what it reads."""
-    spark = df.sparkSession
-    copy = scratch_path(spark, "replace")
-    df.write.option("compression", "zstd").parquet(copy)
-    _save(spark.read.parquet(copy), path, "single", "overwrite")
-
-
 def _combine(
     df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine, copied: bool = False
 ) -> None:
@@ -105,14 +98,12 @@ def _combine(
         parted.write.parquet(copy)
         parted = spark.read.parquet(copy)
     existing = spark.read.parquet(path) if found else parted.limit(0)
-    if not columns:
-        merged = combine(existing, parted)
-        _replace_whole(merged, path) if found else _save(merged, path, layout, "append")
-        return
-    if found:
+    if found and layout != "single":
         existing = _in_partitions(existing, columns, _touched(parted, columns))
     merged = combine(existing, parted)
-    _save(_spread(merged, [*columns, symbol, time], None), path, layout, "overwrite")
+    if layout != "single":
+        merged = _spread(merged, [*columns, symbol, time], None)
+    _save(merged, path, layout, "overwrite")
 
 
 def upsert(
@@ -133,15 +124,15 @@ def upsert(
     In a partitioned table the key has to hold the time column, so that a key cannot move
     to another partition; only touched partitions are read and rewritten.
     """
-    if LAYOUTS[layout] and time not in keys:
+    if layout != "single" and time not in keys:
         raise ValueError(f"the key of a table partitioned by {time} has to hold {time}")
     merge = merge_by_version if newest_wins else merge_by_key
 
     def combine(old: DataFrame, new: DataFrame) -> DataFrame:
         return merge(old, new, keys, order)
 
-    # merging by version into a table without partitions uses the batch only once
-    once = newest_wins and not LAYOUTS[layout]
+    # merging by version into a single table uses the batch only once
+    once = newest_wins and layout == "single"
     _combine(df, root, table, layout, time, symbol, combine, copied or once)
 
 
@@ -164,19 +155,19 @@ def write(
     spark = df.sparkSession
     time = date_column(df)
     layout = layout if time else "single"
-    columns = LAYOUTS[layout]
+    dated, columns = layout != "single", LAYOUTS[layout]
     symbol = symbol_column(df)
     if if_exists == "append" and keys:
         if not order:
             raise ValueError("a keyed append needs the order in which later rows win")
         upsert(df, root, table, keys, order, layout, time or "", symbol or keys[0], copied=copied)
     elif if_exists == "append":
-        if columns:
+        if dated:
             write_series(df, root, table, layout, symbol, time, "append")
         else:
             write_table(df, root, table, "append")
     elif if_exists == "replace":
-        if columns:
+        if dated:
             pair = [*columns, symbol]
 
             def exchange(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -188,7 +179,7 @@ def write(
         else:
             write_table(df, root, table, "overwrite")
     elif if_exists == "fail":
-        if columns:
+        if dated:
             pair = [*columns, symbol]
             parted = with_partitions(df, layout, time)
             existing = read_or_empty(spark, table_path(root, table), parted.schema)

@@ -19,6 +19,7 @@ from ..operators.series import between_dates
 from ..schemas import CODE_INFO, FUND_LIST, SERIES, TABLE_OF_PERIOD, UNIVERSE, UNIVERSE_OF_TYPE, empty
 
 PARTITIONS = ("year", "month")
+SINGLE = "part"  # the one partition of a single table; readers do not see it
 
 
 def table_path(root: str, table: str) -> str:
@@ -49,7 +50,7 @@ def list_tables(spark: SparkSession, root: str) -> list[str]:
 def read_or_empty(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     """A missing table is an empty one with its columns, never an error."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(path).drop(SINGLE)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return empty(spark, like)

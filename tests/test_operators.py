@@ -297,6 +297,18 @@ def test_fallback_covers_the_union_of_symbols_with_one_source_each(spark, rows):
     assert rows(by_day, "close", "source") == [(1.0, "a"), (2.0, "a"), (3.0, "b"), (4.0, "b")]
 
 
+def test_a_large_owner_table_is_not_broadcast_and_gives_the_same(spark, rows, monkeypatch):
+    a = spark.createDataFrame([("a", day(0), 1.0)], BAR)
+    b = spark.createDataFrame([("a", day(2), 3.0), ("b", day(0), 4.0)], BAR)
+    monkeypatch.setattr("quotemill.operators.sized.BROADCAST_ROWS", 1)
+    got = fallback.fallback_by_key([("a", a), ("b", b)])
+    assert "rightHint=(strategy=broadcast)" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got, "symbol", "close", "source") == [("a", 1.0, "a"), ("b", 4.0, "b")]
+    monkeypatch.undo()
+    hinted = fallback.fallback_by_key([("a", a), ("b", b)])
+    assert "rightHint=(strategy=broadcast)" in hinted._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_first_source_with_rows_wins_whole(spark):
     full = spark.createDataFrame([("a", day(0), 1.0)], BAR)
 
