@@ -8,6 +8,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.scalars import consistency_band, null_if_nan, relative_difference
 from ..schemas import COMPARED_FIELDS, DEFAULT_TOLERANCE, TOLERANCE
@@ -141,9 +142,9 @@ def overall_consistency(by_symbol: DataFrame) -> DataFrame:
 
 
 def _distribution(differences: DataFrame, label: Column, name: str) -> DataFrame:
-    # the outer table has one row per label, so its total needs no second pass
     counted = differences.groupBy(label.alias(name)).agg(F.count(F.lit(1)).alias("n_diffs"))
-    total = counted.agg(F.sum("n_diffs")).scalar()
+    # over one row a label; a second aggregate would compare the sources again
+    total = F.sum("n_diffs").over(Window.partitionBy())
     return counted.withColumn("share", F.col("n_diffs") / total)
 
 

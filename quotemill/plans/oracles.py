@@ -211,7 +211,7 @@ _GAPS = """
 
 
 # query -> (SQL, views it reads)
-_SQL: dict[str, tuple[str, ...]] = {
+_SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
     "s1_scan_bars": (f"SELECT {_BAR} FROM bars_daily WHERE year(date) BETWEEN 2013 AND 2026", "bars_daily"),
     "s2_minute_scan": ("""SELECT * FROM bars_min
         WHERE kline_time >= DATE '2024-01-01' AND kline_time < DATE '2024-02-01'""", "bars_min"),
@@ -530,7 +530,7 @@ _SQL: dict[str, tuple[str, ...]] = {
         "bars_daily", "source_c"),
     "c1_source_diffs": ("SELECT * FROM diffs", "diffs"),
     "c2_run_task": (f"""
-        SELECT {_BAR}, 1 AS seq FROM source_c WHERE date >= DATE '2024-01-03'""", "source_c"),
+        SELECT {_BAR}, 1 AS seq FROM source_c WHERE date >= DATE '2013-01-01'""", "source_c"),
     "c4_completeness_message": (f"""
         SELECT nullif(concat_ws(', ',
                  CASE WHEN weekdays - days > 0

@@ -840,7 +840,7 @@ def c1_source_diffs(t: Tables) -> DataFrame:
 def c2_run_task(t: Tables) -> DataFrame:
     root = _scratch(t, "task")
     task = {
-        "name": "etf_daily", "start_date": "2024-01-03", "validate": "daily", "order": ["seq"],
+        "name": "etf_daily", "start_date": "2013-01-01", "validate": "daily", "order": ["seq"],
         "transform": [{"action": "add_column", "name": "seq", "value": 1}],
         "completeness": {"check_gaps": True},
         "target": [{"root": root, "table": "etf_daily", "layout": "year"}],
