@@ -14,8 +14,8 @@ def build_session(master: str | None = None, app: str = "quotemill", **conf: str
     """A session with the settings the operators are tuned for.
 
     Shuffle partitions are a starting count only: adaptive execution merges small ones
-    and splits skewed joins at run time. On a cluster pass ``shuffle_partitions`` as
-    input bytes / 256 MB.
+    and splits skewed joins at run time. On a cluster set ``spark.sql.shuffle.partitions``
+    to input bytes / 256 MB or so.
     """
     builder = (
         SparkSession.builder.appName(app)
