@@ -9,8 +9,13 @@
    that is six standard deviations off. Of the others first each class's pair with its smallest partner is verified
    on full sets and connected classes are grouped; then the pairs between different groups.
 4. What that leaves open are pairs of members of one bucket that are in different groups. In
-   buckets of three and more their signatures are compared, in blocks of bounded size, and
-   pairs that agree in enough positions are verified as well. No bucket is capped.
+   buckets of three and more each member is paired with the member closest to all of its
+   block, the likeliest origin of a group of copies, and these pairs are verified.
+5. In buckets that still hold several groups all signatures are compared, in blocks of bounded size.
+   Members with a likely partner in another group, not seen in an earlier band, come
+   together once more with their full sets, and all links among them are counted exactly. A
+   block returns a forest of its links, so rows stay in proportion to members. No bucket is
+   capped.
 
 A link of similarity 0.85 shares no band with a probability of (1 - 0.85^5)^40 = 7e-11.
 
@@ -36,6 +41,7 @@ from .superminhash import POSITIONS, WORDS, band_keys, set_id, shingles, short_f
 
 BAND_ROWS = 5
 BLOCK = 1024
+SETS_BLOCK = 256
 
 
 def agreeing(percent: int, positions: int = POSITIONS) -> int:
@@ -99,25 +105,121 @@ def _similar(pairs: DataFrame, signed: DataFrame, least: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long")
 
 
-def _between_groups(least: int):
+def _stars(least: int):
+    """Pairs of each member with the member that is closest to all of the block.
+
+    At every position the value most members have is taken; the member that agrees with most
+    of these values is the likeliest origin of the others.
+    """
+    def choose(members: pd.DataFrame) -> pd.DataFrame:
+        own = np.frombuffer(b"".join(members["signature"]), np.uint16).reshape(len(members), POSITIONS)
+        ordered = np.sort(own, axis=0)
+        starts = np.vstack([np.ones((1, POSITIONS), bool), ordered[1:] != ordered[:-1]])
+        common = np.empty(POSITIONS, np.uint16)
+        for p in range(POSITIONS):
+            at = np.flatnonzero(starts[:, p])
+            common[p] = ordered[at[np.diff([*at, len(own)]).argmax()], p]
+        center = int((own == common).sum(1).argmax())
+        group = members["root"].to_numpy()
+        near = ((own == own[center]).sum(1) >= least) & (group != group[center])
+        ids = members["class"].to_numpy()
+        return pd.DataFrame({"a": np.minimum(ids[near], ids[center]), "b": np.maximum(ids[near], ids[center])})
+
+    return choose
+
+
+def _likely_members(least: int):
+    """Members of a bucket with a likely partner in another group, of the pairs that share no
+    earlier band."""
+    def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"bucket": np.empty(0, np.int64), "class": np.empty(0, np.int64)})
+        own, other = (np.frombuffer(b"".join(x["signature"]), np.uint16).reshape(len(x), POSITIONS) for x in (left, right))
+        bands, facing = (np.array(x["bands"].tolist(), np.int64) for x in (left, right))
+        earlier = int(np.flatnonzero(bands[0] == key[0])[0])
+        group, groups = left["root"].to_numpy(), right["root"].to_numpy()
+        found: set[int] = set()
+        a, b = left["class"].to_numpy(), right["class"].to_numpy()
+        for i in range(len(own)):
+            apart = np.flatnonzero(groups != group[i])
+            near = apart[(other[apart] == own[i]).sum(1) >= least] if len(apart) else apart
+            near = near[~(facing[near, :earlier] == bands[i, :earlier]).any(1)]
+            if len(near):
+                found.add(int(a[i]))
+                found.update(b[near].tolist())
+        return pd.DataFrame({"bucket": np.full(len(found), key[0], np.int64), "class": np.array(sorted(found), np.int64)})
+
+    return compare
+
+
+def _exact_links(percent: int):
+    """Links between groups in a block, of exact common counts; a forest of them."""
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        own = np.frombuffer(b"".join(left["signature"]), np.uint16).reshape(len(left), POSITIONS)
-        other = np.frombuffer(b"".join(right["signature"]), np.uint16).reshape(len(right), POSITIONS)
-        a, b, group = left["class"].to_numpy(), right["class"].to_numpy(), right["root"].to_numpy()
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        own, other = ([np.asarray(s, np.int64) for s in x["shingles"]] for x in (left, right))
+        common = common_counts(own, other)
+        n, m = (np.array([len(s) for s in x]) for x in (own, other))
+        group, groups = left["root"].to_numpy(), right["root"].to_numpy()
+        linked = (100 * common >= percent * (n[:, None] + m[None] - common)) & (group[:, None] != groups[None])
+        a, b = left["class"].to_numpy(), right["class"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
         found = []
-        for root, at in left.groupby("root").indices.items():
-            others = np.flatnonzero(group != root)
-            if not len(others):
-                continue
-            facing = other[others]
-            for i in at:
-                near = others[(facing == own[i]).sum(1) >= least]
-                found += [(min(a[i], b[j]), max(a[i], b[j])) for j in near]
+        for i, j in zip(*np.nonzero(linked)):
+            x, y = root(int(group[i])), root(int(groups[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((min(a[i], b[j]), max(a[i], b[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return compare
 
 
+def common_counts(own: list[np.ndarray], other: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of membership matrices over
+    the elements that both sides have."""
+    out = np.zeros((len(own), len(other)), np.int64)
+    elements = np.intersect1d(np.unique(np.concatenate(own)), np.unique(np.concatenate(other)))
+    if not len(elements):
+        return out
+    places = []
+    for sets in (own, other):
+        flat = np.concatenate(sets)
+        at = np.searchsorted(elements, flat)
+        at[at == len(elements)] = 0
+        have = elements[at] == flat
+        rows, at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[have], at[have]
+        order = np.argsort(at, kind="stable")
+        places.append((rows[order], at[order]))
+    for begin in range(0, len(elements), width):
+        parts = []
+        for sets, (rows, at) in zip((own, other), places):
+            low, high = np.searchsorted(at, [begin, begin + width])
+            part = np.zeros((len(sets), min(width, len(elements) - begin)), np.float32)
+            part[rows[low:high], at[low:high] - begin] = 1
+            parts.append(part)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def _block_pairs(members: DataFrame, size: int, function, schema: str) -> DataFrame:
+    """``function`` over all pairs of blocks of ``size`` members of each bucket."""
+    counts = kept(members.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks")), "dedup-blocks")
+    dealt = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.withColumn("facing", every).where("block <= facing")
+    right = dealt.withColumn("facing", F.col("block")).withColumn("block", every).where("block <= facing")
+    right = right.toDF(*right.columns)  # columns of its own, for the cogroup with the same table
+    key = ["bucket", "block", "facing"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(function, schema)
+
+
 def _grouped(signed: DataFrame, links: DataFrame) -> DataFrame:
     """class, root: every class with the smallest class it is linked with, itself included."""
     roots = components(links)
@@ -181,25 +283,30 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
     links = kept(links.unionByName(_verified(second, sets, percent)), "dedup-links")
     groups = kept(_grouped(signed.select("class").distinct(), links), "dedup-groups")
 
-    in_groups = shared.where("members > 2").join(groups, "class")
-    open_buckets = in_groups.groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
-    open_buckets = kept(open_buckets.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "dedup-open-buckets")
-    if not open_buckets.isEmpty():
-        members = (
-            in_groups.select("bucket", "class", "root").join(open_buckets, "bucket")
-            .join(signed.select("class", "signature"), "class")
-            .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
-        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        left = members.withColumn("facing", every).where("block <= facing")
-        right = members.withColumn("facing", F.col("block")).withColumn("block", every).where("block <= facing")
-        right = right.toDF(*right.columns)  # columns of its own, for the cogroup with the same table
-        key = ["bucket", "block", "facing"]
-        likely = kept(
-            left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_between_groups(least), "a long, b long").distinct(),
-            "dedup-likely-inner")
-        sets = full_sets(ends(likely), "dedup-sets-inner")
-        links = kept(links.unionByName(_verified(likely, sets, percent)), "dedup-links")
+    def open_members() -> DataFrame:
+        """bucket, class, root of the buckets of three and more that hold several groups."""
+        in_groups = shared.where("members > 2").join(groups, "class")
+        several = in_groups.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return kept(in_groups.join(several.select("bucket"), "bucket").select("bucket", "class", "root"), "dedup-open-members")
+
+    members = open_members()
+    if not members.isEmpty():
+        short = members.join(signed.select("class", "signature"), "class")
+        sized = kept(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "dedup-blocks")
+        stars = (
+            short.join(sized, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+            .groupBy("bucket", "block").applyInPandas(_stars(least), "a long, b long").distinct())
+        stars = kept(stars.join(likely, ["a", "b"], "left_anti"), "dedup-stars")
+        links = kept(links.unionByName(_verified(stars, full_sets(ends(stars), "dedup-sets"), percent)), "dedup-links")
+        groups = kept(_grouped(signed.select("class").distinct(), links), "dedup-groups")
+        members = open_members()
+    if not members.isEmpty():
+        short = members.join(signed.select("class", "signature", "bands"), "class")
+        chosen = kept(_block_pairs(short, BLOCK, _likely_members(least), "bucket long, class long").distinct(), "dedup-chosen")
+        sets = full_sets(chosen.select("class").distinct(), "dedup-sets")
+        whole = chosen.join(members, ["bucket", "class"]).join(sets, "class")
+        links = kept(links.unionByName(
+            _block_pairs(whole, SETS_BLOCK, _exact_links(percent), "a long, b long").distinct()), "dedup-links")
     # Rows of one id with different sets link the classes of these sets.
     member = narrow.where(linkable).join(classes, "set_id").select("doc_id", "class", "n_shingles")
     repeated = member.groupBy("doc_id").agg(F.min("class").alias("a"), F.collect_set("class").alias("all")).where(F.size("all") > 1)
