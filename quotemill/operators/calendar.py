@@ -44,27 +44,38 @@ def missing_days(
     last: int | None = None,
     as_of: str | dt.date | None = None,
     through: str = "own",
+    universe: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, date) of open days on which a key has no row.
+    """(key, date) of open days on which a key has no row; ``date`` may be a timestamp.
 
     A key is expected from its first day to its last (``through='own'``) or to the newest
     day of the table or ``as_of`` (``through='table'``). ``last`` looks at the last N open
-    days only. The expected days are listed out of each key's own span, one aggregated row
-    per key, and meet the calendar in an equi-join.
+    days only: the days listed and the rows they are compared with begin there. With a
+    ``universe``, a frame of keys, each of its keys is expected on every day looked at,
+    whether it has a row at all or not; no history is read to find its first day.
     """
     days = _calendar_days(calendar, date)
     if as_of is not None:
         days = days.where(F.col(date) <= F.to_date(F.lit(str(as_of))))
     if last is not None:
         days = days.orderBy(F.col(date).desc()).limit(last)
-    spans = df.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
-    if through == "table":
-        end = F.to_date(F.lit(str(as_of))) if as_of is not None else df.agg(F.max(date)).scalar()
-        spans = spans.withColumn("_last", end)
-    spans = spans.where(F.col("_first") <= F.col("_last"))
+    bounds = days.agg(F.min(date), F.max(date)).first()  # two days
+    if bounds[0] is None:
+        return df.select(key, F.to_date(date).alias(date)).limit(0)
+    begin, final = (F.lit(d).cast("date") for d in bounds)
+    present = df.select(key, F.to_date(date).alias(date))
+    if universe is not None:
+        spans = universe.select(key).distinct().select(key, begin.alias("_first"), final.alias("_last"))
+    else:
+        spans = present.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+        if through == "table":
+            end = final if as_of is not None else F.lit(present.agg(F.max(date)).first()[0]).cast("date")
+            spans = spans.withColumn("_last", end)
+        spans = spans.withColumn("_first", F.greatest("_first", begin)).where(F.col("_first") <= F.col("_last"))
     listed = spans.select(key, F.explode(F.sequence("_first", "_last")).alias(date))
     expected = listed.join(F.broadcast(days), date, "left_semi").select(key, date)
-    return expected.join(df.select(key, date).distinct(), [key, date], "left_anti")
+    recent = df.where(F.col(date) >= begin).select(key, F.to_date(date).alias(date))
+    return expected.join(recent.distinct(), [key, date], "left_anti")
 
 
 def _gap_columns(date: Column) -> list[Column]:
@@ -92,6 +103,7 @@ def completeness(
     aggs = _gap_columns(F.col(date))
     if pct:
         aggs.append(extreme_moves(pct, threshold).alias("extreme_moves"))
+    df = df.withColumn(date, to_day(date)) if dict(df.dtypes)[date] == "string" else df
     grouped = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     expected = weekdays_between("first_date", "last_date")
     missing = F.when(F.col("_dated") < 2, 0).otherwise(F.greatest(expected - F.col("days"), F.lit(0)))
@@ -131,7 +143,7 @@ def completeness_message(df: DataFrame, spec: dict, date: str = "date") -> DataF
 def rows_of_missing(
     missing: DataFrame, source: DataFrame, key: str = "symbol", date: str = "date"
 ) -> DataFrame:
-    """What a source can deliver for the missing (key, date) pairs."""
-    return source.join(missing.select(key, date), [key, date], "left_semi")
-
-
+    """What a source can deliver for the missing (key, day) pairs."""
+    wanted = missing.select(F.col(key).alias("_key"), F.col(date).alias("_day"))
+    same = (source[key] == F.col("_key")) & (F.to_date(source[date]) == F.col("_day"))
+    return source.join(wanted, same, "left_semi")

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import top_n_per_key
+from .keyed import same_key, top_n_per_key
 from .sized import settled
 
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
 Source = DataFrame | Callable[[], DataFrame]
 
 
@@ -35,14 +38,16 @@ def fallback_by_key(
     else:
         seen = reduce(DataFrame.unionByName, [t.select(*keys, "_source").distinct() for t in tagged])
         owner = settled(seen.groupBy(*keys).agg(F.min("_source").alias("_source")))
-        owned = rows.join(owner, [*keys, "_source"], "left_semi")
+        owned = rows.alias("base").join(
+            owner.alias("found"), same_key([*keys, "_source"], True), "left_semi")
     names = F.array(*[F.lit(name) for name, _ in sources])
     return owned.withColumn(out, F.get(names, F.col("_source"))).drop("_source")
 
 
 def first_with_rows(sources: Sequence[tuple[str, Source]]) -> tuple[str, DataFrame]:
     """The first source with any row, whole. Looking costs one row a source, in order;
-    later sources are not touched. A source that cannot be read counts as empty."""
+    later sources are not touched. A source that does not exist or cannot be opened counts as empty; any other
+    failure, such as a wrong cast or a lost cluster, is not a reason to take another source."""
     tried = []
     for name, source in sources:
         try:
@@ -50,6 +55,10 @@ def first_with_rows(sources: Sequence[tuple[str, Source]]) -> tuple[str, DataFra
             if not df.isEmpty():
                 return name, df
             tried.append(f"{name}: no rows")
-        except Exception as error:  # an unreadable source is what the chain is for
-            tried.append(f"{name}: {type(error).__name__}: {error}")
+        except OSError as error:
+            tried.append(f"{name}: {error}")
+        except AnalysisException as error:
+            if error.getCondition() not in ABSENT:
+                raise
+            tried.append(f"{name}: absent")
     raise ValueError("all sources are empty: " + "; ".join(tried))

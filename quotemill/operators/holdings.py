@@ -52,9 +52,9 @@ def _by_ratio() -> list:
     return [F.col("stk_mkv_ratio").desc_nulls_last(), F.col("symbol").asc()]
 
 
-def top_holdings(latest: DataFrame, n: int = 5) -> DataFrame:
+def top_holdings(latest: DataFrame, n: int = 5, by: Sequence[str] = ("fund_code",)) -> DataFrame:
     """The n largest positions of every fund with their rank, nulls last, ties by symbol."""
-    return top_n_per_key(latest, ["fund_code"], _by_ratio(), n, rank="rank")
+    return top_n_per_key(latest, list(by), _by_ratio(), n, rank="rank")
 
 
 def overlap(latest: DataFrame, least: float = 3.0, n: int | None = 20) -> DataFrame:
@@ -68,14 +68,14 @@ def overlap(latest: DataFrame, least: float = 3.0, n: int | None = 20) -> DataFr
     return shared if n is None else shared.orderBy(F.col("fund_count").desc(), "symbol").limit(n)
 
 
-def concentration(latest: DataFrame) -> DataFrame:
-    """Per fund: positions, weight of the three and of the five largest."""
-    sizes = latest.groupBy("fund_code").agg(F.count(F.lit(1)).alias("n_holdings"))
-    largest = top_holdings(latest, 5).groupBy("fund_code").agg(
+def concentration(positions: DataFrame, by: Sequence[str] = ("fund_code",)) -> DataFrame:
+    """Per fund, or per fund and period: positions, weight of the three and of the five largest."""
+    sizes = positions.groupBy(*by).agg(F.count(F.lit(1)).alias("n_holdings"))
+    largest = top_holdings(positions, 5, by).groupBy(*by).agg(
         exact_sum(F.when(F.col("rank") <= 3, F.col("stk_mkv_ratio"))).alias("top3"),
         exact_sum("stk_mkv_ratio").alias("top5"),
     )
-    return sizes.join(largest, "fund_code")
+    return sizes.join(largest, list(by))
 
 
 def fund_holdings(holdings: DataFrame, funds: str | Sequence[str] | DataFrame) -> DataFrame:

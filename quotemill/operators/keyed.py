@@ -29,15 +29,19 @@ def top_n_per_key(
 ) -> DataFrame:
     """The first ``n`` rows of every key under ``order``, which must be total.
 
-    ``slices`` adds a level that ranks within (key, input slice) first. It is worth its
-    extra shuffle only for a large ``n`` over very many input files, when even ``n`` rows
-    a map task are too many for one reducer. The slice only decides where a row is ranked
-    first, never whether it stays.
+    Up to the session's group-limit threshold the cut is made in front of the shuffle. For a
+    greater ``n``, and wherever ``slices`` says so, rows are ranked within (key, slice of
+    the input) first, so that a key with very many rows spreads over many tasks and at
+    most ``n`` rows of each slice go on. The slice only decides where a row is ranked first,
+    never whether it stays.
     """
     col = rank or "_rank"
-    if slices > 1:
-        df = df.withColumn("_slice", F.spark_partition_id() % F.lit(slices))
-        df = top_n_per_key(df, [*keys, "_slice"], order, n).drop("_slice")
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if slices > 1 or n > limit:
+        slice_of = F.spark_partition_id() % F.lit(slices) if slices > 1 else F.spark_partition_id()
+        within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+        df = df.withColumn("_slice", slice_of).withColumn("_rank", F.row_number().over(within))
+        df = df.where(F.col("_rank") <= n).drop("_slice", "_rank")
     window = Window.partitionBy(*keys).orderBy(*order)
     df = df.withColumn(col, F.row_number().over(window)).where(F.col(col) <= n)
     return df if rank else df.drop(col)
@@ -64,7 +68,7 @@ def same_key(keys: Sequence[str], null_safe: bool, left: str = "base", right: st
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Rows whose key does not occur in ``other``."""
-    found = other.select(*keys).distinct().alias("found")
+    found = other.select(*keys).alias("found")
     return df.alias("base").join(found, same_key(keys, null_safe), "left_anti").select(*df.columns)
 
 
@@ -85,7 +89,7 @@ def merge_by_key(
     else:
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
         fresh = keep_last(batch.where(complete), keys, order).unionByName(batch.where(~complete))
-    kept = without_keys(existing, batch, keys, null_safe)
+    kept = without_keys(existing, fresh, keys, null_safe)
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 

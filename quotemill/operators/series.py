@@ -87,7 +87,7 @@ def close_matrix_long(
 
 def close_matrix(
     df: DataFrame,
-    symbols: Sequence[str],
+    symbols: Sequence[str] | None = None,
     days: int | None = None,
     key: str = "symbol",
     date: str = "date",
@@ -95,11 +95,10 @@ def close_matrix(
 ) -> DataFrame:
     """One row per date, one column per listed key; a missing bar is null.
 
-    The list is required: it fixes the schema and saves the job that would look it up.
-    A full outer join of single series is what this replaces, by one aggregation.
+    A list fixes the schema; without one all keys are looked up, by one more job. A full outer join of single series is what this replaces, by one aggregation.
     """
     long = df.select(date, key, value) if days is None else close_matrix_long(df, days, key, date, value)
-    return long.groupBy(date).pivot(key, list(symbols)).agg(F.max(value))
+    return long.groupBy(date).pivot(key, list(symbols) if symbols is not None else None).agg(F.max(value))
 
 
 def between_dates(df: DataFrame, start: str | dt.date, end: str | dt.date, time: str = "kline_time") -> DataFrame:

@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import scratch_root
+from ..session import scratch_path
 
-BROADCAST_ROWS = 200_000
 
-
-def settled(df: DataFrame, most: int | None = None) -> DataFrame:
-    """The frame computed once into the shared folder, to be broadcast if it has few rows.
+def settled(df: DataFrame) -> DataFrame:
+    """The frame computed once, as a table in the shared folder.
 
     For sides Catalyst cannot estimate, such as the distinct keys of a large table: without
-    this both sides of the join are shuffled before adaptive execution learns the size.
-    Above ``most`` rows the join stays a shuffled one, in which adaptive execution splits
-    hot keys. The checkpoint also cuts the lineage and survives the loss of executors.
+    this both sides of the join are shuffled before adaptive execution learns the size. The
+    planner knows the bytes of a written table and broadcasts it below the session's
+    threshold; above it the join stays a shuffled one, in which adaptive execution splits
+    hot keys. It also cuts the lineage and survives the loss of executors.
     """
-    scratch_root(df.sparkSession)
-    computed = df.checkpoint()
-    few = computed.count() <= (BROADCAST_ROWS if most is None else most)
-    return F.broadcast(computed) if few else computed
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,26 +5,30 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.calendar import completeness_message, is_trading_day, missing_days, rows_of_missing
-from ..operators.columns import apply_transforms, date_column, normalize_names, select_existing
+from ..operators.columns import (
+    apply_transforms, date_column, days_as_dates, normalize_names, select_existing,
+)
 from ..operators.fallback import Source, fallback_by_key, first_with_rows
-from ..operators.quality import last_update
+from ..operators.quality import inventory, last_update, profiles, quality_report, unreadable
 from ..operators.series import task_range
 from ..operators.validate import clean, is_ok, report, summary_line, with_order
-from ..schemas import DATASETS, Dataset
-from ..session import scratch_path
+from ..schemas import DATASETS, QUALITY_LIMITS, UPDATE_LOG, Dataset
+from ..session import delete_path, scratch_path
 from ..sinks.store import log_rows, read_log, upsert, write_series, write_table, write_to_targets
-from ..sources.store import read_table, table_exists, table_path, without_partitions
+from ..sources.store import list_tables, read_table, stored_layout, table_exists, table_path, without_partitions
 
 
 def prepare(df: DataFrame, task: dict, as_of: str | dt.date | None = None) -> DataFrame:
-    """Fields, transforms, standard names and date range of a task, in this order."""
+    """Fields, transforms, standard names, days as DATE and date range of a task, in this order."""
     df = select_existing(df, task.get("fields"))
-    df = normalize_names(apply_transforms(df, task.get("transform")))
+    df = days_as_dates(normalize_names(apply_transforms(df, task.get("transform"))))
     date = date_column(df)
     if date is None:
         return df
@@ -44,28 +48,38 @@ def run_task(
     sources: Sequence[tuple[str, Source]],
     as_of: str | dt.date | None = None,
     dry_run: bool = False,
+    log_root: str | None = None,
+    run_time: str | None = None,
+    spark: SparkSession | None = None,
 ) -> dict:
     """One task: source chain, prepare, validate, completeness, write to every target.
 
     ``task``: name, fields, transform, incremental, lookback_days, start_date, end_date,
     validate, order, completeness, target (a dict or a list: root, table, if_exists, keys,
-    order, layout). Findings are reported and never hold back the write. The cleaned rows
-    are computed once, into the shared folder, and counted and written from there.
+    order, layout). Findings are reported and never hold back the write. The prepared rows
+    are computed once, into the shared folder, and reported, cleaned and written from there;
+    the copies are deleted at the end. With ``log_root`` the run, failed or not, is a record
+    of the update log there.
     """
     begun = time.monotonic()
     result = {"task": task["name"], "dry_run": dry_run}
+    spark = spark or SparkSession.active()
+    copies: list[str] = []
+
+    def copied(rows: DataFrame) -> DataFrame:
+        copies.append(scratch_path(spark, "task"))
+        rows.write.parquet(copies[-1])
+        return spark.read.schema(rows.schema).parquet(copies[-1])
+
     try:
         chain = [(name, _prepared(source, task, as_of)) for name, source in sources]
         used, rows = first_with_rows(chain)
+        rows = copied(rows)
         findings: list[dict] = []
         if task.get("validate"):
             rules = with_order(task["validate"], task.get("order", ()))
             findings = [r.asDict() for r in report(rows, rules).collect()]  # a row per rule
-            rows = clean(rows, rules)
-        spark = rows.sparkSession
-        copy = scratch_path(spark, "task")
-        rows.write.parquet(copy)
-        rows = spark.read.parquet(copy)
+            rows = copied(clean(rows, rules))
         fetched = rows.count()
         if not fetched:
             raise ValueError(f"{used} has no valid rows")
@@ -83,7 +97,23 @@ def run_task(
         }
     except Exception as error:  # a failed task is a result like any other
         result |= {"status": "error", "error": f"{type(error).__name__}: {error}", "rows_written": 0}
-    return result | {"elapsed": round(time.monotonic() - begun, 2)}
+    result["elapsed"] = round(time.monotonic() - begun, 2)
+    if log_root and not dry_run:
+        record = task_record(spark, result, run_time or dt.datetime.now(dt.UTC).strftime("%Y-%m-%d %H:%M:%S"))
+        write_table(record, log_root, "update_log", "append")
+    for copy in copies:
+        delete_path(spark, copy)
+    return result
+
+
+def task_record(spark: SparkSession, result: dict, run_time: str) -> DataFrame:
+    """A run of a task as one record of the update log."""
+    fields = {
+        "table_name": result["task"], "run_type": "task", "run_date": run_time[:10], "data_date": run_time[:10],
+        "source": result.get("source_used"), "status": result["status"], "error_msg": result.get("error"),
+        "rows_count": result["rows_written"], "start_time": run_time, "duration_ms": int(result["elapsed"] * 1000),
+    }
+    return spark.createDataFrame([tuple(fields.get(f.name) for f in UPDATE_LOG.fields)], UPDATE_LOG)
 
 
 def _prepared(source: Source, task: dict, as_of: str | dt.date | None) -> Source:
@@ -148,13 +178,15 @@ def update_day(
     calendar: DataFrame,
     sources: Sequence[tuple[str, DataFrame]],
     run_time: str,
-    order: Sequence[str] = ("date",),
+    order: Sequence[str] = (),
     time: str = "date",
 ) -> str:
     """Take in one trading day: nothing on a closed day or if the log has the day already.
 
     For every symbol the first source with rows of that day delivers. Only the partition of
-    the day is rewritten. Returns closed, current, empty or updated.
+    the day (its year, or its month in a table stored by month) is rewritten. Of rows that
+    repeat a key the last by ``order`` stays, then by the other columns. Returns closed,
+    current, empty or updated.
     """
     if not is_trading_day(calendar, day):
         return "closed"
@@ -176,15 +208,23 @@ def backfill_missing(
     run_time: str,
     days: int | None = 30,
     as_of: str | None = None,
-    order: Sequence[str] = ("date",),
+    order: Sequence[str] = (),
     time: str = "date",
+    universe: DataFrame | None = None,
 ) -> str:
-    """Find the open days the stored symbols lack and take them from the first source that
-    has them, day by day and symbol by symbol."""
+    """Find the open days through ``as_of`` that symbols lack and take them from the first
+    source that has them, day by day and symbol by symbol.
+
+    Symbols are those stored, each from its first day on, or those of ``universe``, stored
+    or not. With ``days`` only the newest open days are looked at, and only the partitions
+    that can hold them are compared.
+    """
     stored = without_partitions(read_table(spark, root, table))
-    missing = missing_days(stored, calendar, date=time, last=days, as_of=as_of)
-    offers = [(name, rows_of_missing(missing, df, date=time)) for name, df in sources]
-    rows = fallback_by_key(offers, ("symbol", time), unique=True).drop("source")
+    missing = missing_days(
+        stored, calendar, date=time, last=days, as_of=as_of, through="table", universe=universe)
+    offers = [
+        (name, rows_of_missing(missing, df, date=time).withColumn("_day", F.to_date(time))) for name, df in sources]
+    rows = fallback_by_key(offers, ("symbol", "_day")).drop("source", "_day")
     return _take_in(spark, rows, root, table, order, time, "backfill-missing", run_time, as_of)
 
 
@@ -193,11 +233,42 @@ def _take_in(
     run_type: str, run_time: str, data_date: str | None,
 ) -> str:
     copy = scratch_path(spark, "rows")
-    rows.write.parquet(copy)
-    rows = spark.read.parquet(copy)
-    if rows.isEmpty():
-        return "empty"
-    upsert(rows, root, table, ("symbol", time), order, "year", time, copied=True)
-    records = log_rows(rows, table, run_type, "chain", run_time, data_date=data_date)
-    write_table(records, root, "update_log", "append")
+    try:
+        rows.write.parquet(copy)
+        rows = spark.read.schema(rows.schema).parquet(copy)
+        if rows.isEmpty():
+            return "empty"
+        known = DATASETS.get(table)
+        layout = stored_layout(spark, root, table) or (known.layout if known else "year")
+        total = [*order, *sorted(c for c in rows.columns if c not in (*order, "symbol", time))]
+        upsert(rows, root, table, ("symbol", time), total, layout, time, copied=True)
+        records = log_rows(rows, table, run_type, "chain", run_time, data_date=data_date)
+        write_table(records, root, "update_log", "append")
+    finally:
+        delete_path(spark, copy)
     return "updated"
+
+
+def quality_of_store(
+    spark: SparkSession, root: str, as_of: str | dt.date, limits: dict[str, tuple[int, int]] | None = None,
+) -> DataFrame:
+    """The quality report of a store: every table that has limits, an error row for one that
+    is absent or cannot be read."""
+    limits = QUALITY_LIMITS if limits is None else limits
+    tables, errors = {}, {}
+    for name in limits:
+        try:
+            if not table_exists(spark, root, name):
+                raise FileNotFoundError("no such table")
+            tables[name] = without_partitions(read_table(spark, root, name))
+        except (AnalysisException, FileNotFoundError) as error:
+            errors[name] = str(error).splitlines()[0]
+    if not tables:
+        return reduce(DataFrame.unionByName, [unreadable(spark.range(1), n, e) for n, e in errors.items()])
+    return quality_report(tables, as_of, limits, errors)
+
+
+def inventory_of_store(spark: SparkSession, root: str) -> DataFrame:
+    """Every table of a store with its rows, newest day and size bar."""
+    names = list_tables(spark, root)
+    return inventory(profiles({n: without_partitions(read_table(spark, root, n)) for n in names}))

@@ -93,6 +93,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT h.* FROM holdings h
         JOIN (SELECT fund_code, max(date) AS date FROM holdings GROUP BY 1) n
           ON h.fund_code = n.fund_code AND h.date = n.date"""),
+    "changes": (("bars_daily",), """
+        SELECT *, CASE WHEN prev = 0 THEN CASE WHEN close > 0 THEN CAST('Infinity' AS DOUBLE) END
+                       ELSE (close / prev - 1) * 100 END AS pct_chg
+        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev FROM bars_daily) w"""),
+    "three_years": (("bars_daily",), """
+        SELECT symbol, CAST(date - INTERVAL 24 MONTH AS DATE) AS date, open, high, low, close, volume, amount FROM bars_daily
+        UNION ALL
+        SELECT symbol, CAST(date - INTERVAL 12 MONTH AS DATE), open, high, low, close, volume, amount FROM bars_daily
+        WHERE CAST(substr(symbol, 1, 6) AS INT) % 3 <> 0
+        UNION ALL
+        SELECT symbol, date, open, high, low, close, volume, amount FROM bars_daily
+        WHERE CAST(substr(symbol, 1, 6) AS INT) % 3 <> 0"""),
     "last10": (("bars_daily",), """
         SELECT symbol, date, open, high, low, close, volume, amount,
                CASE WHEN prev = 0 THEN CASE WHEN close > 0 THEN CAST('Infinity' AS DOUBLE) END
@@ -212,9 +224,8 @@ _GAPS = """
 
 # query -> (SQL, views it reads)
 _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
-    "s1_scan_bars": (f"SELECT {_BAR} FROM bars_daily WHERE year(date) BETWEEN 2013 AND 2026", "bars_daily"),
-    "s2_minute_scan": ("""SELECT * FROM bars_min
-        WHERE kline_time >= DATE '2024-01-01' AND kline_time < DATE '2024-02-01'""", "bars_min"),
+    "s1_scan_bars": (f"SELECT {_BAR} FROM bars_daily", "bars_daily"),
+    "s2_minute_scan": ("SELECT * FROM bars_min", "bars_min"),
     "s3_unpartitioned": ("SELECT * FROM fund_basic", "fund_basic"),
     "s4_read_where": ("SELECT symbol, close, date FROM bars_daily WHERE close > open", "bars_daily"),
     "s6_code_list": ("SELECT code FROM universe", "universe"),
@@ -460,7 +471,7 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
     "a10_completeness": (_GAPS.format(key="symbol,", group="GROUP BY symbol", weekdays=_WEEKDAYS), "bars_open"),
     "a10_completeness_pooled": (_GAPS.format(key="", group="", weekdays=_WEEKDAYS), "bars_open"),
     "a11_extreme_moves": ("""
-        SELECT symbol, count(*) FILTER (abs(pct_chg) > 11) AS extreme_moves FROM last10 GROUP BY 1""", "last10"),
+        SELECT symbol, count(*) FILTER (abs(pct_chg) > 11) AS extreme_moves FROM changes GROUP BY 1""", "changes"),
     "a12_fetch_metadata": ("""
         SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date,
                'symbol,trade_date,open,high,low,close,volume,amount' AS columns FROM bars_daily""", "bars_daily"),
@@ -477,7 +488,12 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
                CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) AS DOUBLE) / count(stk_mkv_ratio) AS avg_ratio
         FROM latest_per_fund WHERE stk_mkv_ratio >= 3 GROUP BY 1""", "latest_per_fund"),
     "a15_concentration": (_CONCENTRATION.format(view="latest"), "latest"),
-    "w4_top_k_sum": (_CONCENTRATION.format(view="latest_per_fund"), "latest_per_fund"),
+    "w4_top_k_sum": ("""
+        SELECT fund_code, date, count(*) AS n_holdings,
+               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 3) AS DOUBLE) AS top3,
+               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) FILTER (rn <= 5) AS DOUBLE) AS top5
+        FROM (SELECT *, row_number() OVER (PARTITION BY fund_code, date ORDER BY stk_mkv_ratio DESC, symbol) AS rn
+              FROM holdings) r GROUP BY 1, 2""", "holdings"),
     "a16_consistency": ("SELECT * FROM by_symbol", "by_symbol"),
     "a16_consistency_all_cells": ("""
         SELECT symbol, count(*) AS n_cells, count(*) FILTER (rel > threshold) AS n_diffs,
@@ -529,8 +545,15 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
         SELECT DISTINCT symbol FROM bars_daily WHERE symbol NOT IN (SELECT symbol FROM source_c)""",
         "bars_daily", "source_c"),
     "c1_source_diffs": ("SELECT * FROM diffs", "diffs"),
-    "c2_run_task": (f"""
-        SELECT {_BAR}, 1 AS seq FROM source_c WHERE date >= DATE '2013-01-01'""", "source_c"),
+    "c2_run_task": ("""
+        SELECT symbol, CAST(p[1] AS DATE) AS date, try_cast(p[2] AS DOUBLE) AS open,
+               try_cast(p[4] AS DOUBLE) AS high, try_cast(p[5] AS DOUBLE) AS low,
+               try_cast(p[3] AS DOUBLE) AS close, try_cast(p[6] AS DOUBLE) AS volume,
+               try_cast(p[7] AS DOUBLE) AS amount, try_cast(p[9] AS DOUBLE) AS pct_chg,
+               CAST(NULL AS DOUBLE) AS change, CAST(NULL AS DOUBLE) AS turnover_rate, 1 AS seq
+        FROM (SELECT symbol, string_split(line, ',') AS p FROM raw_lines) r
+        WHERE len(p) >= 7 AND try_cast(p[3] AS DOUBLE) IS NOT NULL AND CAST(p[1] AS DATE) >= DATE '2024-01-08'""",
+        "raw_lines"),
     "c4_completeness_message": (f"""
         SELECT nullif(concat_ws(', ',
                  CASE WHEN weekdays - days > 0
@@ -539,7 +562,7 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
                       THEN CAST(extreme AS STRING) || ' extreme moves (>11)' END), '') AS message
         FROM (SELECT *, {_WEEKDAYS} AS weekdays
               FROM (SELECT min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS days,
-                           count(*) FILTER (abs(pct_chg) > 11) AS extreme FROM last10) g) w""", "last10"),
+                           count(*) FILTER (abs(pct_chg) > 11) AS extreme FROM changes) g) w""", "changes"),
     "c5_quality_report": ("SELECT * FROM checked", "checked"),
     "c5_alerts": ("""SELECT "table", status FROM checked WHERE status <> 'ok'""", "checked"),
     "c6_holdings_analysis": ("""
@@ -571,8 +594,21 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
     "c10_backfill_missing": (f"""
         , missing AS (
           SELECT s.symbol, c.date
-          FROM (SELECT symbol, min(date) AS a, max(date) AS z FROM source_c GROUP BY 1) s
-          JOIN trade_calendar c ON c.date BETWEEN s.a AND s.z AND c.is_open = '1'
+          FROM (SELECT symbol, min(date) AS a FROM source_c GROUP BY 1) s
+          JOIN trade_calendar c ON c.date BETWEEN s.a AND DATE '2024-01-30' AND c.is_open = '1'
+          WHERE NOT EXISTS (SELECT 1 FROM source_c b WHERE b.symbol = s.symbol AND b.date = c.date)),
+        from_b AS (SELECT b.* FROM source_b b JOIN missing m ON b.symbol = m.symbol AND b.date = m.date)
+        SELECT {_BAR} FROM source_c UNION ALL SELECT {_BAR} FROM from_b UNION ALL
+        SELECT a.symbol, a.date, open, high, low, close, volume, amount
+        FROM bars_daily a JOIN missing m ON a.symbol = m.symbol AND a.date = m.date
+        WHERE NOT EXISTS (SELECT 1 FROM from_b b WHERE b.symbol = a.symbol AND b.date = a.date)""",
+        "bars_daily", "source_b", "source_c", "trade_calendar"),
+    "c10_backfill_universe": (f"""
+        , missing AS (
+          SELECT s.symbol, c.date
+          FROM (SELECT DISTINCT symbol FROM bars_daily) s
+          JOIN (SELECT DISTINCT date FROM trade_calendar WHERE is_open = '1' AND date <= DATE '2024-01-30'
+                ORDER BY date DESC LIMIT 10) c ON true
           WHERE NOT EXISTS (SELECT 1 FROM source_c b WHERE b.symbol = s.symbol AND b.date = c.date)),
         from_b AS (SELECT b.* FROM source_b b JOIN missing m ON b.symbol = m.symbol AND b.date = m.date)
         SELECT {_BAR} FROM source_c UNION ALL SELECT {_BAR} FROM from_b UNION ALL
@@ -580,6 +616,65 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
         FROM bars_daily a JOIN missing m ON a.symbol = m.symbol AND a.date = m.date
         WHERE NOT EXISTS (SELECT 1 FROM from_b b WHERE b.symbol = a.symbol AND b.date = a.date)""",
         "bars_daily", "source_b", "source_c", "trade_calendar"),
+    "c9_update_minutes": ("""
+        SELECT symbol, kline_time - INTERVAL 31 DAY AS kline_time, open, high, low, close, volume, amount FROM bars_min
+        UNION ALL SELECT symbol, kline_time, open, high, low, close, volume, amount FROM bars_min
+        WHERE kline_time < DATE '2024-01-31'""", "bars_min"),
+    "k1_overwrite_one_symbol": ("""
+        SELECT symbol, CAST(date - INTERVAL 12 MONTH AS DATE) AS date, open, high, low, close, volume, amount FROM bars_daily
+        UNION ALL SELECT symbol, date, open, high, low, CASE WHEN symbol LIKE '%.SH' THEN close * 2 ELSE close END, volume, amount
+        FROM bars_daily""", "bars_daily"),
+    "k4_upsert_null_date": (f"""
+        SELECT {_BAR} FROM bars_daily UNION ALL
+        SELECT symbol, NULL, max(open), max(high), max(low),
+               CASE WHEN symbol LIKE '%.SH' THEN max(close) * 2 ELSE max(close) END, max(volume), max(amount)
+        FROM bars_daily GROUP BY symbol""", "bars_daily"),
+    "k4_upsert_new_column": ("""
+        SELECT symbol, CAST(date - INTERVAL 12 MONTH AS DATE) AS date, open, high, low, close, volume, amount,
+               CAST(NULL AS DOUBLE) AS pct_chg FROM bars_daily
+        UNION ALL SELECT symbol, date, open, high, low, CASE WHEN symbol LIKE '%.SH' THEN close * 2 ELSE close END,
+               volume, amount, CASE WHEN symbol LIKE '%.SH' THEN NULL ELSE 1.5 END FROM bars_daily""", "bars_daily"),
+    "j4_symbol_fallback_null": (f"""
+        , c AS (SELECT * REPLACE (CASE WHEN volume % 5 <> 0 THEN symbol END AS symbol) FROM source_c),
+        a AS (SELECT * REPLACE (CASE WHEN volume % 5 <> 0 THEN symbol END AS symbol) FROM bars_daily)
+        SELECT {_BAR}, 'c' AS source FROM c UNION ALL
+        SELECT {_BAR}, 'a' FROM a WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.symbol IS NOT DISTINCT FROM a.symbol)""",
+        "bars_daily", "source_c"),
+    "a21_task_log": ("""
+        SELECT 'etf_daily' AS table_name, 1 AS ok, 0 AS failed,
+               (SELECT count(*) FROM (SELECT string_split(line, ',') AS p FROM raw_lines) r
+                WHERE len(p) >= 7 AND try_cast(p[3] AS DOUBLE) IS NOT NULL) AS rows_written
+        UNION ALL SELECT 'etf_nav', 0, 1, 0""", "raw_lines"),
+    "w2_newest_from_store": ("""
+        SELECT symbol, date, open, high, low, close, volume, amount,
+               CASE WHEN prev = 0 THEN CASE WHEN close > 0 THEN CAST('Infinity' AS DOUBLE) END
+                    ELSE (close / prev - 1) * 100 END AS pct_chg
+        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev
+              FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM three_years) r
+              WHERE rn <= 40) w""", "three_years"),
+    "w6_closes_from_store": ("""
+        SELECT date, symbol, close FROM three_years
+        WHERE date IN (SELECT DISTINCT date FROM three_years ORDER BY date DESC LIMIT 35)""", "three_years"),
+    "c5_quality_store": ("""
+        SELECT 'etf_daily' AS "table", count(*) AS rows, min(date) AS min_date, max(date) AS max_date,
+               concat_ws('; ',
+                 CASE WHEN date_diff('day', max(date), DATE '2024-01-30') > 3 THEN 'STALE: ' || CAST(date_diff('day', max(date), DATE '2024-01-30') AS VARCHAR)
+                      || ' days since ' || CAST(max(date) AS VARCHAR) || ', allowed 3' END,
+                 CASE WHEN count(*) < 30 THEN 'LOW_ROWS: ' || CAST(count(*) AS VARCHAR) || ' < 30' END) AS issues,
+               CASE WHEN count(*) < 30 OR date_diff('day', max(date), DATE '2024-01-30') > 3 THEN 'warn' ELSE 'ok' END AS status
+        FROM bars_daily
+        UNION ALL SELECT unnest(['trade_calendar', 'etf_basic', 'etf_adj_factor', 'etf_share', 'etf_nav', 'index_daily',
+                                 'fund_portfolio', 'stk_limit', 'etf_spot_ths', 'etf_scale_sse', 'etf_minute']),
+               0, NULL, NULL, 'ERROR: no such table', 'error'""", "bars_daily"),
+    "c6_headline": ("""
+        SELECT max(date) AS latest_date, count(DISTINCT fund_code) AS n_funds,
+               count(DISTINCT symbol) AS n_stocks FROM latest_per_fund""", "latest_per_fund"),
+    "c6_overlap": ("""
+        SELECT symbol, count(DISTINCT fund_code) AS fund_count,
+               CAST(sum(CAST(stk_mkv_ratio AS DECIMAL(28,10))) AS DOUBLE) / count(stk_mkv_ratio) AS avg_ratio
+        FROM latest_per_fund WHERE stk_mkv_ratio >= 3 GROUP BY 1
+        ORDER BY fund_count DESC, symbol LIMIT 20""", "latest_per_fund"),
+    "c6_concentration": (_CONCENTRATION.format(view="latest_per_fund"), "latest_per_fund"),
     "c11_fund_holdings": ("SELECT * FROM holdings WHERE fund_code IN (SELECT symbol FROM fund_basic)",
                           "holdings", "fund_basic"),
     "c11_open_days_of_year": ("""

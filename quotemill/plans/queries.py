@@ -56,6 +56,15 @@ def _daily_store(t: Tables) -> str:
         t.bars_daily(), root, "etf_daily", "year", time="date"))
 
 
+def _years_store(t: Tables) -> str:
+    """Daily bars of three years; a symbol in three has stopped after the first."""
+    bars = t.bars_daily()
+    goes_on = F.substring("symbol", 1, 6).cast("int") % 3 != 0
+    parts = [bars.withColumn("date", F.add_months("date", -24)), bars.withColumn("date", F.add_months("date", -12)).where(goes_on), bars.where(goes_on)]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _stored(t, "years", lambda root: sink.write_series(whole, root, "etf_daily", "year", time="date"))
+
+
 def _minute_store(t: Tables) -> str:
     return _stored(t, "etf_min1", lambda root: sink.write_series(
         t.bars_min(), root, "etf_min1", "month"))
@@ -102,12 +111,13 @@ def _divides(n: int, column: str = "volume") -> Column:
 
 @query
 def s1_scan_bars(t: Tables) -> DataFrame:
-    return store.read_series(t.spark, _daily_store(t), "etf_daily", start_year=2013, end_year=2026)
+    return store.read_series(t.spark, _daily_store(t), "etf_daily")
 
 
 @query
 def s2_minute_scan(t: Tables) -> DataFrame:
-    return store.read_range(t.spark, _minute_store(t), "etf_min1", None, "2024-01-01", "2024-01-31")
+    first, last = t.bars_min().agg(F.to_date(F.min("kline_time")), F.to_date(F.max("kline_time"))).first()
+    return store.read_range(t.spark, _minute_store(t), "etf_min1", None, first, last)
 
 
 @query
@@ -301,6 +311,47 @@ def k3_write_modes(t: Tables) -> DataFrame:
     return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
 
 
+@query
+def k1_overwrite_one_symbol(t: Tables) -> DataFrame:
+    """Half of the symbols written again, into a store that has the others and another year."""
+    root = _scratch(t, "series")
+    sink.write_series(_two_years(t), root, "etf_daily", "year", time="date")
+    again = t.bars_daily().where(F.col("symbol").endswith(".SH")).withColumn("close", F.col("close") * 2)
+    sink.write_series(again, root, "etf_daily", "year", time="date")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
+def _two_years(t: Tables) -> DataFrame:
+    """The daily bars and the same a year earlier."""
+    bars = t.bars_daily()
+    return bars.withColumn("date", F.add_months("date", -12)).unionByName(bars)
+
+
+@query
+def k4_upsert_null_date(t: Tables) -> DataFrame:
+    """Rows without a date are a partition of their own; a batch replaces those of its symbols."""
+    root = _scratch(t, "undated")
+    undated = t.bars_daily().groupBy("symbol").agg(
+        F.lit(None).cast("date").alias("date"), *[F.max(c).alias(c) for c in ("open", "high", "low", "close", "volume", "amount")])
+    sink.write_series(t.bars_daily().unionByName(undated), root, "etf_daily", "year", time="date")
+    batch = undated.where(F.col("symbol").endswith(".SH")).withColumn("close", F.col("close") * 2)
+    sink.upsert(batch, root, "etf_daily", ["symbol", "date"], ["close"], "year")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
+@query
+def k4_upsert_new_column(t: Tables) -> DataFrame:
+    """A column that comes later is null for the rows before it, and stays for those that have it."""
+    root = _scratch(t, "columns")
+    bars = t.bars_daily()
+    sink.write_series(bars.withColumn("date", F.add_months("date", -12)), root, "etf_daily", "year", time="date")
+    order = ["close"]
+    sink.upsert(bars.withColumn("pct_chg", F.lit(1.5)), root, "etf_daily", ["symbol", "date"], order, "year")
+    late = bars.where(F.col("symbol").endswith(".SH")).withColumn("close", F.col("close") * 2)
+    sink.upsert(late, root, "etf_daily", ["symbol", "date"], order, "year")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
 @query
 def k4_upsert(t: Tables) -> DataFrame:
     root = _scratch(t, "upsert")
@@ -527,12 +578,9 @@ def j1_holdings_named(t: Tables) -> DataFrame:
     return holdings.named_holdings(t.holdings(), t.fund_basic())
 
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 @query
 def j2_close_matrix(t: Tables) -> DataFrame:
-    return series.close_matrix(t.bars_by_type(), EVENT_TYPES)
+    return series.close_matrix(t.bars_by_type())
 
 
 @query
@@ -547,6 +595,13 @@ def j4_symbol_fallback(t: Tables) -> DataFrame:
     return fallback.fallback_by_key([("c", t.source_c()), ("a", t.bars_daily())])
 
 
+@query
+def j4_symbol_fallback_null(t: Tables) -> DataFrame:
+    """Rows without a symbol are one key: the first source that has such rows delivers them."""
+    nameless = [df.withColumn("symbol", F.when(~_divides(5), F.col("symbol"))) for df in (t.source_c(), t.bars_daily())]
+    return fallback.fallback_by_key([("c", nameless[0]), ("a", nameless[1])])
+
+
 @query
 def j4_day_fallback(t: Tables) -> DataFrame:
     chain = [("c", t.source_c()), ("b", t.source_b()), ("a", t.bars_daily())]
@@ -671,7 +726,7 @@ def a10_completeness_pooled(t: Tables) -> DataFrame:
 
 @query
 def a11_extreme_moves(t: Tables) -> DataFrame:
-    bars = series.last_n_bars(t.bars_daily(), 10)
+    bars = series.pct_change(t.bars_daily(), span="month")
     return bars.groupBy("symbol").agg(calendar.extreme_moves("pct_chg", 11.0).alias("extreme_moves"))
 
 
@@ -751,6 +806,18 @@ def a21_run_summary(t: Tables) -> DataFrame:
     return quality.run_summary(t.run_log())
 
 
+@query
+def a21_task_log(t: Tables) -> DataFrame:
+    """The log of two runs of tasks, of which one has no source."""
+    root = _scratch(t, "tasks")
+    target = [{"root": root, "table": "etf_daily", "layout": "year"}]
+    lines = payloads.parse_bar_lines(t.raw_lines())
+    absent = lambda: t.spark.read.parquet(f"{root}/absent")
+    for name, source in (("etf_daily", lines), ("etf_nav", absent)):
+        jobs.run_task({"name": name, "target": target}, [("landed", source)], AS_OF, log_root=root, run_time=RUN_TIME)
+    return quality.run_summary(sink.read_log(t.spark, root), by="table_name")
+
+
 @query
 def a22_rows_by_symbol(t: Tables) -> DataFrame:
     return quality.rows_by_symbol(t.bars_daily())
@@ -773,6 +840,17 @@ def w2_last_n_bars(t: Tables) -> DataFrame:
     return series.last_n_bars(t.bars_daily(), 10)
 
 
+@query
+def w2_newest_from_store(t: Tables) -> DataFrame:
+    """The newest 40 bars of a symbol, from a store of several years."""
+    return store.newest_bars(t.spark, _years_store(t), "etf_daily", 40)
+
+
+@query
+def w6_closes_from_store(t: Tables) -> DataFrame:
+    return store.newest_closes(t.spark, _years_store(t), "etf_daily", 35)
+
+
 @query
 def w3_top5_holdings(t: Tables) -> DataFrame:
     return holdings.top_holdings(_latest(t))
@@ -781,7 +859,7 @@ def w3_top5_holdings(t: Tables) -> DataFrame:
 @query
 def w4_top_k_sum(t: Tables) -> DataFrame:
     """Of every period, not only the latest."""
-    return holdings.concentration(holdings.latest_period(t.holdings(), per_fund=True))
+    return holdings.concentration(t.holdings(), by=("fund_code", "date"))
 
 
 @query
@@ -796,7 +874,7 @@ def w6_close_matrix_long(t: Tables) -> DataFrame:
 
 @query
 def w6_close_matrix(t: Tables) -> DataFrame:
-    return series.close_matrix(t.bars_by_type(), EVENT_TYPES, days=10)
+    return series.close_matrix(t.bars_by_type(), days=10)
 
 
 @query
@@ -840,13 +918,13 @@ def c1_source_diffs(t: Tables) -> DataFrame:
 def c2_run_task(t: Tables) -> DataFrame:
     root = _scratch(t, "task")
     task = {
-        "name": "etf_daily", "start_date": "2013-01-01", "validate": "daily", "order": ["seq"],
+        "name": "etf_daily", "start_date": "2024-01-08", "validate": "daily", "order": ["seq"],
         "transform": [{"action": "add_column", "name": "seq", "value": 1}],
         "completeness": {"check_gaps": True},
         "target": [{"root": root, "table": "etf_daily", "layout": "year"}],
     }
-    vendor = t.source_c().withColumnsRenamed({"symbol": "ts_code", "date": "trade_date"})
-    result = jobs.run_task(task, [("none", vendor.limit(0)), ("c", vendor)], AS_OF)
+    lines = payloads.parse_bar_lines(t.raw_lines())  # days as text
+    result = jobs.run_task(task, [("none", lines.limit(0)), ("lines", lines)], AS_OF)
     if result["status"] != "ok":
         raise RuntimeError(result["error"])
     return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
@@ -854,7 +932,7 @@ def c2_run_task(t: Tables) -> DataFrame:
 
 @query
 def c4_completeness_message(t: Tables) -> DataFrame:
-    bars = series.last_n_bars(t.bars_daily(), 10)
+    bars = series.pct_change(t.bars_daily(), span="month")
     return calendar.completeness_message(bars, {"pct_change_col": "pct_chg", "gap_threshold": 11.0})
 
 
@@ -865,6 +943,12 @@ def c5_quality_report(t: Tables) -> DataFrame:
          "trade_calendar": t.trade_calendar()}, AS_OF, LIMITS))
 
 
+@query
+def c5_quality_store(t: Tables) -> DataFrame:
+    """All tables with limits over a store that has one of them."""
+    return _as_text(jobs.quality_of_store(t.spark, _daily_store(t), AS_OF))
+
+
 @query
 def c5_alerts(t: Tables) -> DataFrame:
     return quality.alerts(_quality(t)).select("table", "status")
@@ -872,15 +956,32 @@ def c5_alerts(t: Tables) -> DataFrame:
 
 @query
 def c6_holdings_analysis(t: Tables) -> DataFrame:
-    return holdings.analysis(t.holdings(), t.fund_basic(), per_fund=True)["top_holdings"]
+    return _analysis(t)["top_holdings"]
+
+
+def _analysis(t: Tables) -> dict[str, DataFrame]:
+    return holdings.analysis(t.holdings(), t.fund_basic(), per_fund=True)
+
+
+@query
+def c6_headline(t: Tables) -> DataFrame:
+    return _analysis(t)["headline"]
+
+
+@query
+def c6_overlap(t: Tables) -> DataFrame:
+    return _analysis(t)["overlap"]
+
+
+@query
+def c6_concentration(t: Tables) -> DataFrame:
+    return _analysis(t)["concentration"]
 
 
 @query
 def c7_inventory(t: Tables) -> DataFrame:
     """Of a store: every table in it, as found."""
-    root = _meta_store(t)
-    names = store.list_tables(t.spark, root)
-    return quality.inventory(quality.profiles({n: store.read_table(t.spark, root, n) for n in names}))
+    return jobs.inventory_of_store(t.spark, _meta_store(t))
 
 
 @query
@@ -912,6 +1013,33 @@ def c9_update_day(t: Tables) -> DataFrame:
     return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
 
 
+@query
+def c9_update_minutes(t: Tables) -> DataFrame:
+    """The same for minute bars, in a table stored by month that has earlier months."""
+    root = _scratch(t, "store")
+    bars = t.bars_min()
+    day = F.to_date(F.lit(AS_OF))
+    earlier = bars.withColumn("kline_time", (F.col("kline_time") - F.expr("INTERVAL 31 DAYS")).cast("timestamp_ntz"))
+    sink.write_series(earlier.unionByName(bars.where(F.col("kline_time") < day)), root, "etf_min1", "month")
+    done = jobs.update_day(
+        t.spark, root, "etf_min1", AS_OF, t.trade_calendar(), [("none", bars.limit(0)), ("a", bars)], RUN_TIME, time="kline_time")
+    if done != "updated":
+        raise RuntimeError(done)
+    return store.read_series(t.spark, root, "etf_min1")
+
+
+@query
+def c10_backfill_universe(t: Tables) -> DataFrame:
+    """The newest ten open days, for all symbols there are, stored so far or not."""
+    root = _scratch(t, "store")
+    sink.write_series(t.source_c(), root, "etf_daily", "year", time="date")
+    chain = [("b", t.source_b()), ("a", t.bars_daily())]
+    jobs.backfill_missing(
+        t.spark, root, "etf_daily", t.trade_calendar(), chain, RUN_TIME, days=10, as_of=AS_OF,
+        universe=t.bars_daily().select("symbol"))
+    return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
+
+
 @query
 def c10_backfill_missing(t: Tables) -> DataFrame:
     root = _scratch(t, "store")

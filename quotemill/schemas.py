@@ -55,31 +55,48 @@ class Dataset:
     priority: int = 2
 
 
-def _group(group: str, names: str, layout: str, tag: str | None, priority: int) -> list[Dataset]:
-    return [Dataset(name, group, layout, tag, priority) for name in names.split()]
-
-
-# Names, layouts, tag columns and priorities of the stored datasets.
+# Names, groups, layouts, tag columns and priorities of the stored datasets.
 DATASETS = {
     d.name: d
     for d in [
-        *_group("universe", "etf_universe index_universe stock_universe code_info", "single", None, 0),
-        *_group("daily", "etf_daily", "year", "symbol", 0),
-        *_group("minute", "etf_min1", "month", "symbol", 0),
-        *_group("adjustment", "etf_adj stock_adj", "single", "code", 1),
-        *_group("daily", "index_daily stock_daily", "year", "symbol", 1),
-        *_group("minute", "etf_min5 index_min1 index_min5", "month", "symbol", 1),
-        *_group("fund", "etf_nav etf_share", "single", "code", 1),
-        *_group("index", "index_constituent index_weight", "single", "index_code", 1),
-        *_group("financial", "balance_sheet income cash_flow profit_express profit_notice",
-                "single", "code", 1),
-        *_group("event", "stock_margin_summary stock_margin_detail stock_block_trading "
-                "stock_longhubang stock_dividend stock_equity_structure stock_holder_num "
-                "stock_share_holder stock_equity_pledge stock_right_issue", "single", "code", 2),
-        *_group("industry", "industry_base industry_constituent industry_daily industry_weight",
-                "single", "industry_code", 2),
-        *_group("universe", "hist_code_list", "single", None, 2),
-        *_group("fund", "etf_pcf", "single", "code", 2),
+        Dataset("etf_universe", "universe", "single", None, 0),
+        Dataset("index_universe", "universe", "single", None, 0),
+        Dataset("stock_universe", "universe", "single", None, 0),
+        Dataset("code_info", "universe", "single", None, 0),
+        Dataset("etf_daily", "daily", "year", "symbol", 0),
+        Dataset("etf_min1", "minute", "month", "symbol", 0),
+        Dataset("etf_adj", "adjustment", "single", "code", 1),
+        Dataset("stock_adj", "adjustment", "single", "code", 1),
+        Dataset("index_daily", "daily", "year", "symbol", 1),
+        Dataset("stock_daily", "daily", "year", "symbol", 1),
+        Dataset("etf_min5", "minute", "month", "symbol", 1),
+        Dataset("index_min1", "minute", "month", "symbol", 1),
+        Dataset("index_min5", "minute", "month", "symbol", 1),
+        Dataset("etf_nav", "fund", "single", "code", 1),
+        Dataset("etf_share", "fund", "single", "code", 1),
+        Dataset("index_constituent", "index", "single", "index_code", 1),
+        Dataset("index_weight", "index", "single", "index_code", 1),
+        Dataset("balance_sheet", "financial", "single", "code", 1),
+        Dataset("income", "financial", "single", "code", 1),
+        Dataset("cash_flow", "financial", "single", "code", 1),
+        Dataset("profit_express", "financial", "single", "code", 1),
+        Dataset("profit_notice", "financial", "single", "code", 1),
+        Dataset("stock_margin_summary", "event", "single", "code", 2),
+        Dataset("stock_margin_detail", "event", "single", "code", 2),
+        Dataset("stock_block_trading", "event", "single", "code", 2),
+        Dataset("stock_longhubang", "event", "single", "code", 2),
+        Dataset("stock_dividend", "event", "single", "code", 2),
+        Dataset("stock_equity_structure", "event", "single", "code", 2),
+        Dataset("stock_holder_num", "event", "single", "code", 2),
+        Dataset("stock_share_holder", "event", "single", "code", 2),
+        Dataset("stock_equity_pledge", "event", "single", "code", 2),
+        Dataset("stock_right_issue", "event", "single", "code", 2),
+        Dataset("industry_base", "industry", "single", "industry_code", 2),
+        Dataset("industry_constituent", "industry", "single", "industry_code", 2),
+        Dataset("industry_daily", "industry", "single", "industry_code", 2),
+        Dataset("industry_weight", "industry", "single", "industry_code", 2),
+        Dataset("hist_code_list", "universe", "single", None, 2),
+        Dataset("etf_pcf", "fund", "single", "code", 2),
     ]
 }
 
@@ -93,23 +110,35 @@ UNIVERSE_OF_TYPE = {
 # Bar period -> fund table.
 TABLE_OF_PERIOD = {"day": "etf_daily", "1min": "etf_min1", "5min": "etf_min5"}
 
-# Requested data type -> delivered table, where the two differ.
-DELIVERED_AS = {
+# Requested data type -> delivered table.
+DELIVERED = {
     "etf_daily": "fund_daily",
     "etf_adj": "fund_adj",
     "etf_adj_factor": "fund_adj",
     "etf_share": "fund_share",
     "etf_nav": "fund_nav",
+    "stock_basic": "stock_basic",
+    "daily": "daily",
+    "adj_factor": "adj_factor",
+    "etf_basic": "etf_basic",
+    "fund_basic": "fund_basic",
+    "fund_daily": "fund_daily",
+    "fund_adj": "fund_adj",
+    "fund_share": "fund_share",
+    "fund_nav": "fund_nav",
+    "fund_mins": "fund_mins",
+    "index_daily": "index_daily",
+    "index_basic": "index_basic",
+    "index_weight": "index_weight",
+    "trade_cal": "trade_cal",
+    "money_flow": "money_flow",
+    "limit_list": "limit_list",
+    "stk_limit": "stk_limit",
+    "suspend_d": "suspend_d",
+    "namechange": "namechange",
+    "fund_portfolio": "fund_portfolio",
 }
 
-# The data types delivered under their own name.
-DELIVERED_SAME = (
-    "stock_basic", "daily", "adj_factor", "etf_basic", "fund_basic", "fund_daily", "fund_adj",
-    "fund_share", "fund_nav", "fund_mins", "index_daily", "index_basic", "index_weight",
-    "trade_cal", "money_flow", "limit_list", "stk_limit", "suspend_d", "namechange",
-    "fund_portfolio",
-)
-
 # Vendor column -> standard column, in order of precedence.
 STANDARD_NAMES = [
     ("trade_date", "date"), ("cal_date", "date"), ("nav_date", "date"), ("end_date", "date"),

@@ -56,3 +56,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that is no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -18,7 +18,8 @@ DATABASE_TYPES = {
     "double": "FLOAT", "float": "REAL", "boolean": "BIT", "timestamp": "DATETIME2",
     "timestamp_ntz": "DATETIME2", "date": "DATETIME2",
 }
-LONGEST_TEXT = 4000
+LONGEST_TEXT = 4000  # the longest sized text; longer values need the unbounded type
+UNBOUNDED_TEXT = "NVARCHAR(MAX)"
 
 
 def read_database(
@@ -81,13 +82,14 @@ def text_profile(df: DataFrame) -> DataFrame:
 def database_types(df: DataFrame) -> DataFrame:
     """(column, type) a table for this frame needs; text as wide as twice its longest value,
     ``YYYYMMDD`` text in a column named after a date as a date."""
-    width = F.least(F.col("max_length") * 2, F.lit(LONGEST_TEXT)).cast("string")
-    sized = F.when(F.col("max_length") > 0, F.concat(F.lit("NVARCHAR("), width, F.lit(")")))
+    width = F.col("max_length") * 2
+    limited = F.concat(F.lit("NVARCHAR("), F.least(width, F.lit(LONGEST_TEXT)).cast("string"), F.lit(")"))
+    sized = F.when(F.col("max_length") > LONGEST_TEXT, F.lit(UNBOUNDED_TEXT)).when(F.col("max_length") > 0, limited)
     is_date = F.lower("column").contains("date") & (F.col("values") > 0) & (F.col("dates") == F.col("values"))
     texts = text_profile(df).select(
         "column", F.when(is_date, "DATETIME2").otherwise(F.coalesce(sized, F.lit("NVARCHAR(255)"))).alias("type")
     )
-    plain = [(n, DATABASE_TYPES.get(t, "NVARCHAR(4000)")) for n, t in df.dtypes if t != "string"]
+    plain = [(n, DATABASE_TYPES.get(t, UNBOUNDED_TEXT)) for n, t in df.dtypes if t != "string"]
     if not plain:
         return texts
     return texts.unionByName(df.sparkSession.createDataFrame(plain, "column STRING, type STRING"))

@@ -13,12 +13,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from ..operators.columns import date_column, symbol_column
-from ..operators.keyed import merge_by_key, merge_by_version
+from ..operators.columns import date_column, days_as_dates, symbol_column
+from ..operators.keyed import merge_by_key, merge_by_version, same_key, without_keys
 from ..schemas import UPDATE_LOG
-from ..session import scratch_path
-from ..sources.store import SINGLE, read_or_empty, table_exists, table_path
+from ..session import delete_path, scratch_path
+from ..sources.store import (
+    SINGLE, keep_schema, read_or_empty, stored_layout, stored_rows, stored_schema, table_exists, table_path,
+)
 
 # A single table is one partition, so that it is replaced as the others are: the new files
 # are written aside and take the place of the old ones when the job commits.
@@ -42,10 +45,32 @@ def _spread(df: DataFrame, columns: Sequence[str], partitions: int | None) -> Da
     return ranged.drop("_slice").sortWithinPartitions(*columns)
 
 
+def _check_layout(spark: SparkSession, root: str, table: str, layout: str) -> None:
+    """A table keeps the layout it was begun with; files of two layouts cannot be read."""
+    stored = stored_layout(spark, root, table)
+    if stored is not None and stored != layout:
+        raise ValueError(f"{table} is stored by {stored}, not by {layout}")
+
+
 def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:
-    """``overwrite`` replaces the partitions the frame has, and no other."""
+    """``overwrite`` replaces the partitions the frame has, and no other.
+
+    The table's schema is kept beside its data and grows by the columns that are new.
+    """
+    spark = df.sparkSession
     writer = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+    known = stored_schema(spark, path)
+    if known is None and table_exists(spark, path, ""):
+        known = stored_rows(spark, path).schema
     writer.partitionBy(*LAYOUTS[layout]).parquet(path)
+    fields = {f.name: f for f in known.fields} if known else {}
+    for field in df.schema.fields:
+        fields.setdefault(field.name, field)
+        if fields[field.name].dataType != field.dataType:
+            raise TypeError(f"{field.name} is stored as {fields[field.name].dataType.simpleString()}")
+    whole = StructType([StructField(f.name, f.dataType, True) for f in fields.values()])
+    if whole != known:
+        keep_schema(spark, path, whole)
 
 
 def write_series(
@@ -58,7 +83,13 @@ def write_series(
     mode: str = "overwrite",
     partitions: int | None = None,
 ) -> None:
-    """Write bars; ``overwrite`` replaces only the years (months) the frame has."""
+    """Write bars; ``overwrite`` replaces the rows of each (year or month, symbol) the frame
+    has and leaves the other symbols of those periods."""
+    df = days_as_dates(df)
+    _check_layout(df.sparkSession, root, table, layout)
+    if mode == "overwrite" and table_exists(df.sparkSession, root, table):
+        _exchange(df, root, table, layout, time, symbol)
+        return
     parted = with_partitions(df, layout, time)
     spread = _spread(parted, [*LAYOUTS[layout], symbol, time], partitions)
     _save(spread, table_path(root, table), layout, mode)
@@ -66,6 +97,7 @@ def write_series(
 
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
     """Write or replace a single table. An empty frame replaces nothing."""
+    _check_layout(df.sparkSession, root, table, "single")
     _save(with_partitions(df, "single"), table_path(root, table), "single", mode)
 
 
@@ -76,7 +108,8 @@ def _touched(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
 
 def _in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[tuple]) -> DataFrame:
     def one(value: tuple) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(columns, value)])
+        # Rows without a date are a partition as well.
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, value)])
 
     return df.where(reduce(lambda a, b: a | b, map(one, values), F.lit(False)))
 
@@ -91,19 +124,37 @@ def _combine(
     whether its keys can be broadcast to the existing rows.
     """
     spark, path, columns = df.sparkSession, table_path(root, table), LAYOUTS[layout]
+    _check_layout(spark, root, table, layout)
     parted = with_partitions(df, layout, time)
     found = table_exists(spark, root, table)
-    if found and not copied:
-        copy = scratch_path(spark, "batch")
-        parted.write.parquet(copy)
-        parted = spark.read.parquet(copy)
-    existing = spark.read.parquet(path) if found else parted.limit(0)
-    if found and layout != "single":
-        existing = _in_partitions(existing, columns, _touched(parted, columns))
-    merged = combine(existing, parted)
-    if layout != "single":
-        merged = _spread(merged, [*columns, symbol, time], None)
-    _save(merged, path, layout, "overwrite")
+    copy = None
+    try:
+        if found and not copied:
+            copy = scratch_path(spark, "batch")
+            parted.write.parquet(copy)
+            parted = spark.read.schema(parted.schema).parquet(copy)
+        existing = stored_rows(spark, path) if found else parted.limit(0)
+        if found and layout != "single":
+            existing = _in_partitions(existing, columns, _touched(parted, columns))
+        merged = combine(existing, parted)
+        if layout != "single":
+            merged = _spread(merged, [*columns, symbol, time], None)
+        _save(merged, path, layout, "overwrite")
+    finally:
+        if copy:
+            delete_path(spark, copy)
+
+
+def _exchange(
+    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, copied: bool = False
+) -> None:
+    """The batch takes the place of the stored rows of its (period, symbol) pairs."""
+    pair = [*LAYOUTS[layout], symbol]
+
+    def exchange(old: DataFrame, new: DataFrame) -> DataFrame:
+        return without_keys(old, new.select(*pair).distinct(), pair).unionByName(new, allowMissingColumns=True)
+
+    _combine(df, root, table, layout, time, symbol, exchange, copied)
 
 
 def upsert(
@@ -148,13 +199,14 @@ def write(
 ) -> None:
     """Append, replace or fail.
 
-    In a partitioned table ``replace`` and ``fail`` look at (year, symbol): replace
+    In a partitioned table ``replace`` and ``fail`` look at (period, symbol): replace
     exchanges the rows of those pairs and leaves the other symbols of the year. Append with
     keys is an upsert. A table without a date column is written without partitions.
     """
     spark = df.sparkSession
     time = date_column(df)
     layout = layout if time else "single"
+    df = days_as_dates(df) if layout != "single" else df
     dated, columns = layout != "single", LAYOUTS[layout]
     symbol = symbol_column(df)
     if if_exists == "append" and keys:
@@ -168,14 +220,7 @@ def write(
             write_table(df, root, table, "append")
     elif if_exists == "replace":
         if dated:
-            pair = [*columns, symbol]
-
-            def exchange(old: DataFrame, new: DataFrame) -> DataFrame:
-                given = new.select(*pair).distinct()
-                kept = old.join(given, pair, "left_anti").select(*old.columns)
-                return kept.unionByName(new, allowMissingColumns=True)
-
-            _combine(df, root, table, layout, time, symbol, exchange, copied)
+            _exchange(df, root, table, layout, time, symbol, copied)
         else:
             write_table(df, root, table, "overwrite")
     elif if_exists == "fail":
@@ -184,7 +229,9 @@ def write(
             parted = with_partitions(df, layout, time)
             existing = read_or_empty(spark, table_path(root, table), parted.schema)
             existing = _in_partitions(existing, columns, _touched(parted, columns))
-            if not existing.select(*pair).join(parted.select(*pair).distinct(), pair, "left_semi").isEmpty():
+            taken = existing.select(*pair).distinct().alias("base").join(
+                parted.select(*pair).distinct().alias("found"), same_key(pair, True), "left_semi")
+            if not taken.isEmpty():
                 raise FileExistsError(f"{table} already has some of these symbols and years")
             write_series(df, root, table, layout, symbol, time, "append")
         else:
@@ -202,14 +249,19 @@ def write_to_targets(
     shared folder, which outlives a lost executor as a cache does not. ``copied`` says the
     frame is one already. Returns rows written, summed over targets."""
     spark = df.sparkSession
-    if len(targets) > 1 and not copied:
-        copy = scratch_path(spark, "targets")
-        df.write.parquet(copy)
-        df, copied = spark.read.parquet(copy), True
-    for target in targets:
-        options = {k: v for k, v in target.items() if k in ("if_exists", "keys", "order", "layout")}
-        write(df, target["root"], target["table"], copied=copied, **options)
-    written = df.count() if rows is None else rows
+    copy = None
+    try:
+        if len(targets) > 1 and not copied:
+            copy = scratch_path(spark, "targets")
+            df.write.parquet(copy)
+            df, copied = spark.read.schema(df.schema).parquet(copy), True
+        for target in targets:
+            options = {k: v for k, v in target.items() if k in ("if_exists", "keys", "order", "layout")}
+            write(df, target["root"], target["table"], copied=copied, **options)
+        written = df.count() if rows is None else rows
+    finally:
+        if copy:
+            delete_path(spark, copy)
     return written * len(targets)
 
 

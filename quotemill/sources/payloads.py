@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import prefixed_code, without_dashes
 from ..operators.columns import select_existing, split_code
-from ..schemas import DELIVERED_AS, DELIVERED_SAME, LOCALIZED_HEADER
+from ..schemas import DELIVERED, LOCALIZED_HEADER
 
+# The fields of a bar line in their order.
 BAR_FIELDS = ("open", "close", "high", "low", "volume", "amount")
 
 
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def _number(text: Column) -> Column:
-    return F.trim(text).try_cast("double")
+    """A decimal number, or null; the cast alone would take ``1d`` for one."""
+    text = F.trim(text)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def _all(tests: list[Column]) -> Column:
@@ -154,10 +160,9 @@ def to_pipeline_bars(df: DataFrame) -> DataFrame:
 
 
 def delivered_table(data_type: str) -> str:
-    name = DELIVERED_AS.get(data_type, data_type)
-    if name not in DELIVERED_SAME:
+    if data_type not in DELIVERED:
         raise ValueError(f"unknown data type {data_type!r}")
-    return name
+    return DELIVERED[data_type]
 
 
 def read_landed(

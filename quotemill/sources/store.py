@@ -7,15 +7,20 @@ does not derive ``year = 2024`` from ``kline_time >= '2024-01-01'`` on plain Par
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.scalars import complete_symbol
 from ..operators.columns import in_symbols, select_existing
-from ..operators.series import between_dates
+from ..operators.keyed import top_n_per_key
+from ..operators.series import between_dates, close_matrix_long, last_n_bars
+from ..operators.sized import settled
 from ..schemas import CODE_INFO, FUND_LIST, SERIES, TABLE_OF_PERIOD, UNIVERSE, UNIVERSE_OF_TYPE, empty
 
 PARTITIONS = ("year", "month")
@@ -39,6 +44,54 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
     return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(path))
 
 
+def stored_layout(spark: SparkSession, root: str, table: str) -> str | None:
+    """single, year or month, as the table's folders say; None if nothing is stored."""
+    fs, path = _files(spark, table_path(root, table))
+    names = _partition_names(fs, path)
+    if any(n.startswith("year=") for n in names):
+        years = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().startswith("year=")]
+        return "month" if any(n.startswith("month=") for n in _partition_names(fs, years[0])) else "year"
+    return "single" if names else None
+
+
+def _partition_names(fs, path) -> list[str]:
+    if not fs.exists(path):
+        return []
+    return [n for n in (f.getPath().getName() for f in fs.listStatus(path)) if not n.startswith(("_", "."))]
+
+
+SCHEMA_FILE = "_schema"  # one schema for all partitions, whichever columns each of them has
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema kept beside the table's data, or None for a table written by others."""
+    fs, file = _files(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    fs, file = _files(spark, f"{path}/{SCHEMA_FILE}")
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(schema.json(), "utf-8"))
+    finally:
+        stream.close()
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All columns that any partition has; null where a partition lacks one."""
+    schema = stored_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def list_tables(spark: SparkSession, root: str) -> list[str]:
     fs, path = _files(spark, root)
     if not fs.exists(path):
@@ -50,7 +103,7 @@ def list_tables(spark: SparkSession, root: str) -> list[str]:
 def read_or_empty(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     """A missing table is an empty one with its columns, never an error."""
     try:
-        return spark.read.parquet(path).drop(SINGLE)
+        return stored_rows(spark, path).drop(SINGLE)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return empty(spark, like)
@@ -72,7 +125,7 @@ def read(
     """Columns that exist, rows that match; all three reach the scan."""
     df = read_table(spark, root, table)
     df = df.where(where) if where is not None else df
-    df = select_existing(df, columns)
+    df = select_existing(df, columns) if columns else without_partitions(df)
     return df.limit(limit) if limit else df
 
 
@@ -103,19 +156,21 @@ def read_series(
     root: str,
     table: str,
     symbols: str | Sequence[str] | DataFrame | None = None,
-    start_year: int = 2013,
-    end_year: int = 2026,
-    ordered: bool = True,
+    start_year: int | None = None,
+    end_year: int | None = None,
+    ordered: bool | None = None,
 ) -> DataFrame:
-    """Bars of one, some or all symbols in an inclusive range of years.
+    """Bars of one, some or all symbols, in an inclusive range of years if one is given.
 
     One symbol comes back in time order. For many the order by time within each symbol is
-    a total sort, so pass ``ordered=False`` where the consumer does not need it.
+    a total sort, which is made only if ``ordered`` asks for it.
     """
     df = read_table(spark, root, table)
     if "year" in df.columns:
-        df = df.where(F.col("year").between(start_year, end_year))
+        df = df.where(F.col("year") >= start_year) if start_year is not None else df
+        df = df.where(F.col("year") <= end_year) if end_year is not None else df
     one = isinstance(symbols, str)
+    ordered = one if ordered is None else ordered
     df = without_partitions(in_symbols(df, [symbols] if one else symbols))
     if not ordered:
         return df
@@ -155,6 +210,89 @@ def read_period(
     return without_partitions(in_symbols(df, symbols))
 
 
+def stored_periods(spark: SparkSession, root: str, table: str) -> list[tuple[int, ...]]:
+    """(year,) or (year, month) of every partition, newest first, from the folder names."""
+    fs, path = _files(spark, table_path(root, table))
+
+    def below(place, name: str) -> list:
+        found = [f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith(f"{name}=")]
+        values = [(p.getName().split("=", 1)[1], p) for p in found]
+        return [(int(v), p) for v, p in values if v.isdigit()]
+
+    if not fs.exists(path):
+        return []
+    periods = []
+    for year, place in below(path, "year"):
+        months = below(place, "month")
+        periods += [(year, month) for month, _ in months] if months else [(year,)]
+    return sorted(periods, reverse=True)
+
+
+def in_periods(df: DataFrame, periods: Sequence[tuple[int, ...]]) -> DataFrame:
+    """The rows of the listed partitions; only these are read."""
+    years: dict[int, list[int]] = {}
+    for year, *month in periods:
+        years.setdefault(year, []).extend(month)
+    tests = [(F.col("year") == y) & (F.col("month").isin(m) if m else F.lit(True)) for y, m in years.items()]
+    return df.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
+
+
+def _newest_first(periods: list[tuple[int, ...]]):
+    """Runs of partitions, newest first, each twice as long as the one before."""
+    begin, length = 0, 1
+    while begin < len(periods):
+        yield periods[begin:begin + length]
+        begin, length = begin + length, 2 * length
+
+
+def newest_bars(
+    spark: SparkSession, root: str, table: str, n: int = 250, symbols: Sequence[str] | DataFrame | None = None,
+) -> DataFrame:
+    """The newest ``n`` bars of every symbol (or the listed ones, bare codes completed), with percent change.
+
+    The newest partitions are read first; older ones are read only for symbols that have
+    fewer than ``n`` bars so far, until all have them or nothing is left.
+    """
+    df = read_table(spark, root, table)
+    time = time_column(df)
+    if symbols is None:
+        lacking = df.select("symbol").distinct()
+    elif isinstance(symbols, DataFrame):
+        lacking = symbols.select(complete_symbol("symbol").alias("symbol")).distinct()
+    else:
+        lacking = spark.createDataFrame([(s,) for s in symbols], "symbol string").select(
+            complete_symbol("symbol").alias("symbol")).distinct()
+    lacking = settled(lacking)
+    periods = stored_periods(spark, root, table)
+    parts = []
+    for run in _newest_first(periods):
+        rows = in_periods(df, run).join(lacking, "symbol", "left_semi")
+        parts.append(settled(top_n_per_key(rows, ["symbol"], [F.col(time).desc()], n)))
+        found = reduce(DataFrame.unionByName, parts)
+        counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n)
+        lacking = settled(lacking.join(counts, "symbol", "left_anti"))
+        if lacking.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, parts) if parts else df
+    return without_partitions(last_n_bars(found, n, time=time))
+
+
+def newest_closes(
+    spark: SparkSession, root: str, table: str, days: int = 60, symbols: Sequence[str] | DataFrame | None = None,
+) -> DataFrame:
+    """(date, symbol, close) of the newest ``days`` days the table has, from the partitions that hold them."""
+    df = read_table(spark, root, table)
+    time = time_column(df)
+    day = F.to_date(time).alias("date")
+    read: list[tuple[int, ...]] = []
+    for run in _newest_first(stored_periods(spark, root, table)):
+        read += run
+        if in_periods(df, read).select(day).distinct().limit(days).count() >= days:
+            break
+    rows = in_periods(df, read).select(day, "symbol", "close")
+    return close_matrix_long(in_symbols(rows, symbols), days)
+
+
 def code_list(spark: SparkSession, root: str, security_type: str = "EXTRA_ETF") -> DataFrame:
     """The codes of a security type, as a frame to semi-join with."""
     if security_type not in UNIVERSE_OF_TYPE:

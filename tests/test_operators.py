@@ -297,16 +297,20 @@ def test_fallback_covers_the_union_of_symbols_with_one_source_each(spark, rows):
     assert rows(by_day, "close", "source") == [(1.0, "a"), (2.0, "a"), (3.0, "b"), (4.0, "b")]
 
 
-def test_a_large_owner_table_is_not_broadcast_and_gives_the_same(spark, rows, monkeypatch):
-    a = spark.createDataFrame([("a", day(0), 1.0)], BAR)
-    b = spark.createDataFrame([("a", day(2), 3.0), ("b", day(0), 4.0)], BAR)
-    monkeypatch.setattr("quotemill.operators.sized.BROADCAST_ROWS", 1)
-    got = fallback.fallback_by_key([("a", a), ("b", b)])
-    assert "rightHint=(strategy=broadcast)" not in got._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(got, "symbol", "close", "source") == [("a", 1.0, "a"), ("b", 4.0, "b")]
-    monkeypatch.undo()
-    hinted = fallback.fallback_by_key([("a", a), ("b", b)])
-    assert "rightHint=(strategy=broadcast)" in hinted._jdf.queryExecution().optimizedPlan().toString()
+def test_owner_table_is_broadcast_by_its_bytes_only(spark, rows):
+    a = spark.createDataFrame([("a", day(0), 1.0), (None, day(0), 5.0)], BAR)
+    b = spark.createDataFrame([("a", day(2), 3.0), ("b", day(0), 4.0), (None, day(1), 6.0)], BAR)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    try:
+        for bytes_ in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bytes_)
+            got = fallback.fallback_by_key([("a", a), ("b", b)])
+            plans.append(got._jdf.queryExecution().sparkPlan().toString())
+            assert rows(got, "symbol", "close", "source") == [("a", 1.0, "a"), ("b", 4.0, "b"), (None, 5.0, "a")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ["Broadcast" in p for p in plans] == [False, True]
 
 
 def test_first_source_with_rows_wins_whole(spark):
@@ -322,6 +326,11 @@ def test_first_source_with_rows_wins_whole(spark):
     assert used == "z" and df is full
     with pytest.raises(ValueError, match="gone"):
         fallback.first_with_rows([("x", broken), ("y", full.limit(0))])
+    absent = lambda: spark.read.parquet("/no/such/table")
+    assert fallback.first_with_rows([("x", absent), ("z", full)])[0] == "z"
+    wrong = full.where(F.col("symbol").cast("int") > 0)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):  # a typing error is no reason to go on
+        fallback.first_with_rows([("x", wrong), ("z", full)])
 
 
 # -- comparison ------------------------------------------------------------------

@@ -56,6 +56,11 @@ def test_ranked_keys_are_cut_before_the_shuffle(bars):
         assert shuffles(df) == 1
 
 
+def test_large_n_ranks_within_slices_of_the_input_first(bars):
+    plan = keyed.top_n_per_key(bars, ["symbol"], [F.col("date").desc()], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number()") == 2 and "hashpartitioning(symbol" in plan and "_slice" in plan
+
+
 def test_sliced_top_n_ranks_within_slices_first(bars):
     sliced = keyed.top_n_per_key(bars, ["symbol"], [F.col("date").desc()], 3, slices=4)
     plain = keyed.top_n_per_key(bars, ["symbol"], [F.col("date").desc()], 3)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from functools import reduce
 from pathlib import Path
 
 import pytest
@@ -44,7 +45,7 @@ def test_year_is_taken_from_each_row_and_other_years_stay(spark, root):
     assert {p.name for p in Path(root, "t").glob("year=*")} == {"year=2023", "year=2024"}
     before = files(root, "t", "year=2023")
     sink.write_series(bars(spark, ("c", 6, 9)), root, "t", time="date")
-    assert stored(spark, root) == [("a", 0, 1.0), ("b", 0, 3.0), ("c", 6, 9.0)]
+    assert stored(spark, root) == [("a", 0, 1.0), ("a", 5, 2.0), ("b", 0, 3.0), ("c", 6, 9.0)]
     assert files(root, "t", "year=2023") == before
     assert all("zstd" in f for f in before)
 
@@ -236,11 +237,17 @@ def test_daily_update_runs_once_a_trading_day(spark, root):
 
 def test_missing_days_are_filled_from_the_chain(spark, root):
     sink.write_series(bars(spark, ("a", 2, 1), ("a", 6, 1), ("b", 2, 1)), root, "t", time="date")
-    chain = [("x", bars(spark, ("a", 3, 5), ("b", 3, 5))), ("y", bars(spark, ("a", 3, 6), ("a", 4, 7), ("a", 8, 7)))]
+    chain = [("x", bars(spark, ("a", 3, 5), ("b", 3, 5))), ("y", bars(spark, ("a", 3, 6), ("a", 4, 7), ("a", 10, 7)))]
     args = (spark, root, "t", calendar_of(spark), chain, "2024-01-20 18:00:00")
     assert jobs.backfill_missing(*args, days=None) == "updated"
-    assert stored(spark, root) == [("a", 2, 1.0), ("a", 3, 5.0), ("a", 4, 7.0), ("a", 6, 1.0), ("b", 2, 1.0)]
+    assert stored(spark, root) == [("a", 2, 1.0), ("a", 3, 5.0), ("a", 4, 7.0), ("a", 6, 1.0), ("b", 2, 1.0), ("b", 3, 5.0)]
     assert jobs.backfill_missing(*args, days=None) == "empty"
+    newest = jobs.backfill_missing(*args, days=None, as_of=str(day(10)))  # days after the last row are missing as well
+    assert newest == "updated" and ("a", 10, 7.0) in stored(spark, root)
+    universe = spark.createDataFrame([("a",), ("b",), ("c",)], "symbol string")
+    late = [("x", bars(spark, ("c", 4, 2)))]
+    assert jobs.backfill_missing(spark, root, "t", calendar_of(spark), late, "2024-01-20 18:00:00", as_of=str(day(10)), universe=universe) == "updated"
+    assert ("c", 4, 2.0) in stored(spark, root)
 
 
 def test_backfill_goes_on_after_a_failure(spark, root, tmp_path):
@@ -277,3 +284,64 @@ def test_stream_ignores_redelivery_and_late_old_files(spark, root, tmp_path):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# -- losing nothing ----------------------------------------------------------------
+
+def test_a_table_keeps_its_layout(spark, root):
+    sink.write_series(bars(spark, ("a", 2, 1)), root, "t", "month", time="date")
+    assert store.stored_layout(spark, root, "t") == "month"
+    for write in (lambda: sink.write_series(bars(spark, ("a", 3, 1)), root, "t", "year", time="date"),
+                  lambda: sink.write_table(bars(spark, ("a", 3, 1)), root, "t"),
+                  lambda: sink.upsert(bars(spark, ("a", 3, 1)), root, "t", ["symbol", "date"], ["close"], "year")):
+        with pytest.raises(ValueError, match="stored by month"):
+            write()
+    assert stored(spark, root) == [("a", 2, 1.0)]
+
+
+def test_daily_update_takes_the_layout_of_the_table(spark, root):
+    sink.write_series(bars(spark, ("a", 2, 1)), root, "t", "month", time="date")
+    done = jobs.update_day(spark, root, "t", str(day(3)), calendar_of(spark), [("x", bars(spark, ("a", 3, 5), ("a", 3, 4)))], "2024-01-04 18:00:00")
+    assert done == "updated" and stored(spark, root) == [("a", 2, 1.0), ("a", 3, 5.0)]
+
+
+def test_scratch_is_empty_after_writes(spark, root, tmp_path):
+    from quotemill.session import scratch_root
+    from pathlib import Path
+
+    folder = Path(scratch_root(spark).removeprefix("file:"))
+
+    def copies():
+        return {p.name for p in folder.iterdir() if p.name.split("-")[0] in ("batch", "targets", "task", "rows")}
+
+    before = copies()
+    sink.upsert(bars(spark, ("a", 2, 1)), root, "t", ["symbol", "date"], ["close"], "year")
+    sink.upsert(bars(spark, ("a", 3, 1)), root, "t", ["symbol", "date"], ["close"], "year")
+    targets = [{"root": root, "table": n, "layout": "year"} for n in ("u", "v")]
+    assert jobs.run_task({"name": "x", "target": targets}, [("s", bars(spark, ("a", 2, 1)))])["rows_written"] == 2
+    assert copies() == before
+
+
+def test_text_days_become_dates(spark, root):
+    text = spark.createDataFrame([("a", "20240103", 1.0), ("a", "2024-01-04", 2.0)], "symbol string, date string, close double")
+    task = {"name": "t", "start_date": "2024-01-04", "target": {"root": root, "table": "t", "layout": "year"}}
+    assert jobs.run_task(task, [("s", text)])["status"] == "ok"
+    sink.write(text, root, "u", layout="year")
+    read = lambda t: sorted((r.date.isoformat(), r.close) for r in store.read_series(spark, root, t).collect())
+    assert read("t") == [("2024-01-04", 2.0)] and read("u") == [("2024-01-03", 1.0), ("2024-01-04", 2.0)]
+
+
+def test_unbounded_reads_return_every_year(spark, root):
+    old = bars(spark, ("a", 2, 1)).withColumn("date", F.add_months("date", -12 * 40))
+    sink.write_series(old.unionByName(bars(spark, ("a", 2, 1))), root, "t", time="date")
+    assert store.read_series(spark, root, "t").count() == 2
+
+
+def test_store_reads_list_the_newest_partitions_only(spark, root):
+    years = [bars(spark, *[("a", d, d) for d in range(6)]).withColumn("date", F.add_months("date", -12 * y)) for y in range(6)]
+    sink.write_series(reduce(lambda x, y: x.unionByName(y), years), root, "t", time="date")
+    rows = store.in_periods(store.read_table(spark, root, "t"), store.stored_periods(spark, root, "t")[:1])
+    assert "year#" in rows._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert store.newest_bars(spark, root, "t", 3).count() == 3
+    assert store.newest_bars(spark, root, "t", 20, ["a", "zz"]).count() == 0  # bare codes are completed
+    assert store.newest_closes(spark, root, "t", 8).count() == 8
