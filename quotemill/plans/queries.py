@@ -356,7 +356,7 @@ def k4_upsert_new_column(t: Tables) -> DataFrame:
 def k4_upsert(t: Tables) -> DataFrame:
     root = _scratch(t, "upsert")
     for part in _halves(t.feed_dup(), "l_shipdate"):
-        sink.upsert(part, root, "feed", FEED_KEYS, t.FEED_ORDER)
+        sink.upsert(part, root, "feed", FEED_KEYS, t.FEED_ORDER, "bucket")
     return store.read_table(t.spark, root, "feed")
 
 
@@ -1073,7 +1073,8 @@ def t1_stream_upsert(t: Tables) -> DataFrame:
     for part in (late, early):
         part.write.mode("append").parquet(landing)
         upsert_stream(
-            t.spark, landing, feed.schema, root, "feed", FEED_KEYS, t.FEED_ORDER, checkpoint
+            t.spark, landing, feed.schema, root, "feed", FEED_KEYS, t.FEED_ORDER, checkpoint,
+            layout="bucket",
         ).awaitTermination()
     return store.read_table(t.spark, root, "feed")
 

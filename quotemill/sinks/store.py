@@ -20,18 +20,21 @@ from ..operators.keyed import merge_by_key, merge_by_version, same_key, without_
 from ..schemas import UPDATE_LOG
 from ..session import delete_path, scratch_path
 from ..sources.store import (
-    SINGLE, keep_schema, read_or_empty, stored_layout, stored_rows, stored_schema, table_exists, table_path,
+    BUCKET, SINGLE, keep_schema, read_or_empty, stored_layout, stored_rows, stored_schema, table_exists, table_path,
 )
 
 # A single table is one partition, so that it is replaced as the others are: the new files
 # are written aside and take the place of the old ones when the job commits.
-LAYOUTS = {"single": (SINGLE,), "year": ("year",), "month": ("year", "month")}
+LAYOUTS = {"single": (SINGLE,), "year": ("year",), "month": ("year", "month"), "bucket": (BUCKET,)}
+BUCKETS = 64
 
 
-def with_partitions(df: DataFrame, layout: str, time: str = "") -> DataFrame:
-    """Year and month of each row, not of the first one."""
+def with_partitions(df: DataFrame, layout: str, time: str = "", keys: Sequence[str] = ()) -> DataFrame:
+    """Year and month of each row, not of the first one; or the bucket its key hashes to."""
     if layout == "single":
         return df.withColumn(SINGLE, F.lit(0))
+    if layout == "bucket":
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
     parts = {"year": F.year(time), "month": F.month(time)}
     return df.withColumns({c: parts[c] for c in LAYOUTS[layout]})
 
@@ -62,7 +65,6 @@ def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:
     known = stored_schema(spark, path)
     if known is None and table_exists(spark, path, ""):
         known = stored_rows(spark, path).schema
-    writer.partitionBy(*LAYOUTS[layout]).parquet(path)
     fields = {f.name: f for f in known.fields} if known else {}
     for field in df.schema.fields:
         fields.setdefault(field.name, field)
@@ -71,6 +73,7 @@ def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:
     whole = StructType([StructField(f.name, f.dataType, True) for f in fields.values()])
     if whole != known:
         keep_schema(spark, path, whole)
+    writer.partitionBy(*LAYOUTS[layout]).parquet(path)
 
 
 def write_series(
@@ -115,7 +118,8 @@ def _in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[tuple
 
 
 def _combine(
-    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine, copied: bool = False
+    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine, copied: bool = False,
+    keys: Sequence[str] = (),
 ) -> None:
     """Rewrite the partitions ``df`` touches with ``combine(existing rows, df)``.
 
@@ -125,7 +129,7 @@ def _combine(
     """
     spark, path, columns = df.sparkSession, table_path(root, table), LAYOUTS[layout]
     _check_layout(spark, root, table, layout)
-    parted = with_partitions(df, layout, time)
+    parted = with_partitions(df, layout, time, keys)
     found = table_exists(spark, root, table)
     copy = None
     try:
@@ -134,11 +138,14 @@ def _combine(
             parted.write.parquet(copy)
             parted = spark.read.schema(parted.schema).parquet(copy)
         existing = stored_rows(spark, path) if found else parted.limit(0)
+        for key in keys if layout == "bucket" else ():
+            if existing.schema[key].dataType != parted.schema[key].dataType:  # it would hash to another bucket
+                raise TypeError(f"{key} is stored as {existing.schema[key].dataType.simpleString()}")
         if found and layout != "single":
             existing = _in_partitions(existing, columns, _touched(parted, columns))
         merged = combine(existing, parted)
         if layout != "single":
-            merged = _spread(merged, [*columns, symbol, time], None)
+            merged = _spread(merged, [*columns, *(keys if layout == "bucket" else (symbol, time))], None)
         _save(merged, path, layout, "overwrite")
     finally:
         if copy:
@@ -172,10 +179,12 @@ def upsert(
     """Keyed write: the batch replaces existing rows of its keys, its last row per key wins.
 
     With ``newest_wins`` the row with the greater ``order`` stays, whichever side it is on.
-    In a partitioned table the key has to hold the time column, so that a key cannot move
-    to another partition; only touched partitions are read and rewritten.
+    In a table partitioned by time the key has to hold the time column, so that a key cannot
+    move to another partition; only touched partitions are read and rewritten. Layout
+    ``bucket`` is for keys without a time: rows are partitioned by a hash of the key, always
+    the same one, and a batch rewrites the buckets of its keys.
     """
-    if layout != "single" and time not in keys:
+    if layout in ("year", "month") and time not in keys:
         raise ValueError(f"the key of a table partitioned by {time} has to hold {time}")
     merge = merge_by_version if newest_wins else merge_by_key
 
@@ -184,7 +193,7 @@ def upsert(
 
     # merging by version into a single table uses the batch only once
     once = newest_wins and layout == "single"
-    _combine(df, root, table, layout, time, symbol, combine, copied or once)
+    _combine(df, root, table, layout, time, symbol, combine, copied or once, keys)
 
 
 def write(
@@ -205,9 +214,11 @@ def write(
     """
     spark = df.sparkSession
     time = date_column(df)
-    layout = layout if time else "single"
-    df = days_as_dates(df) if layout != "single" else df
-    dated, columns = layout != "single", LAYOUTS[layout]
+    if layout == "bucket" and not (if_exists == "append" and keys):
+        raise ValueError("a table in buckets of a key takes keyed appends only")
+    layout = layout if time or layout == "bucket" else "single"
+    dated, columns = layout in ("year", "month"), LAYOUTS[layout]
+    df = days_as_dates(df) if dated else df
     symbol = symbol_column(df)
     if if_exists == "append" and keys:
         if not order:

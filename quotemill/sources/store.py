@@ -25,6 +25,7 @@ from ..schemas import CODE_INFO, FUND_LIST, SERIES, TABLE_OF_PERIOD, UNIVERSE, U
 
 PARTITIONS = ("year", "month")
 SINGLE = "part"  # the one partition of a single table; readers do not see it
+BUCKET = "key_bucket"  # the partition a key hashes to; readers do not see it either
 
 
 def table_path(root: str, table: str) -> str:
@@ -45,12 +46,14 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
 
 
 def stored_layout(spark: SparkSession, root: str, table: str) -> str | None:
-    """single, year or month, as the table's folders say; None if nothing is stored."""
+    """single, year, month or bucket, as the table's folders say; None if nothing is stored."""
     fs, path = _files(spark, table_path(root, table))
     names = _partition_names(fs, path)
     if any(n.startswith("year=") for n in names):
         years = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().startswith("year=")]
         return "month" if any(n.startswith("month=") for n in _partition_names(fs, years[0])) else "year"
+    if any(n.startswith(f"{BUCKET}=") for n in names):
+        return "bucket"
     return "single" if names else None
 
 
@@ -103,7 +106,7 @@ def list_tables(spark: SparkSession, root: str) -> list[str]:
 def read_or_empty(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     """A missing table is an empty one with its columns, never an error."""
     try:
-        return stored_rows(spark, path).drop(SINGLE)
+        return stored_rows(spark, path).drop(SINGLE, BUCKET)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return empty(spark, like)

@@ -345,3 +345,18 @@ def test_store_reads_list_the_newest_partitions_only(spark, root):
     assert store.newest_bars(spark, root, "t", 3).count() == 3
     assert store.newest_bars(spark, root, "t", 20, ["a", "zz"]).count() == 0  # bare codes are completed
     assert store.newest_closes(spark, root, "t", 8).count() == 8
+
+
+def test_an_upsert_rewrites_the_buckets_of_its_keys_only(spark, root):
+    rows = spark.range(500).select(F.concat(F.lit("s"), "id").alias("symbol"), F.col("id").alias("seq"), F.lit(1.0).alias("close"))
+    sink.upsert(rows, root, "t", ["symbol"], ["seq"], "bucket")
+    before = {p.name for p in Path(root, "t").rglob("*.parquet")}
+    batch = spark.createDataFrame([("s7", 900, 2.0), (None, 901, 3.0), (None, 902, 4.0)], "symbol string, seq long, close double")
+    sink.upsert(batch, root, "t", ["symbol"], ["seq"], "bucket")
+    after = {p.name for p in Path(root, "t").rglob("*.parquet")}
+    assert len(before - after) <= 2 and len(before & after) >= len(before) - 2
+    got = {r.symbol: r.close for r in store.read_table(spark, root, "t").collect()}
+    assert len(got) == 501 and (got["s7"], got[None], got["s8"]) == (2.0, 4.0, 1.0)
+    assert store.read_table(spark, root, "t").columns == ["symbol", "seq", "close"]
+    with pytest.raises(TypeError, match="stored as"):  # another type would hash to another bucket
+        sink.upsert(batch.withColumn("symbol", F.lit(7)), root, "t", ["symbol"], ["seq"], "bucket")
