@@ -115,8 +115,11 @@ def identified(docs: DataFrame, *, size: int = PROFILE) -> DataFrame:
     """The documents that have a language, all their columns unchanged.
 
     Rejected are those that are undetermined, for want of a text or of letters, and those that have no n-gram
-    in common with the language predicted. Where nothing could be learned all are rejected.
+    in common with the language predicted. Where nothing could be learned, all that have a letter stay.
     """
+    learned = learn(docs.select("doc_id", "lang", "text"), size)
+    if not learned:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = names = (unused(docs.columns, "lang_pred"), unused(docs.columns, "score"))
-    found = predict(docs, learn(docs.select("doc_id", "lang", "text"), size), docs.columns, size, names)
+    found = predict(docs, learned, docs.columns, size, names)
     return found.where((F.col(lang) != UNDETERMINED) & (F.col(score) > 0)).select(docs.columns)

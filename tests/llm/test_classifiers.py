@@ -65,6 +65,8 @@ def test_language_equals_brute_force(documents):
 def test_language_of_nothing_learned(documents, rows):
     data = [(d, t, None, s) for d, t, _, s in DATA[:4]]
     assert {r[2] for r in rows(language.identify(documents(data)))} == {"und"}
+    kept = language.identified(documents([*data, (90, "12", None, None), (91, None, None, None), (92, "é", None, None)]))
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 3, 4, 92}
     assert rows(language.identify(documents([]))) == []
 
 
