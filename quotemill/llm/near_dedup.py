@@ -108,18 +108,22 @@ def _similar(pairs: DataFrame, signed: DataFrame, least: int) -> DataFrame:
 def _stars(least: int):
     """Pairs of each member with the member that is closest to all of the block.
 
-    At every position the value most members have is taken; the member that agrees with most
-    of these values is the likeliest origin of the others.
+    In a large block the value most members have is taken at every position; the member that
+    agrees with most of these values is the likeliest origin of the others. In a small one it is the
+    member that agrees most with the others.
     """
     def choose(members: pd.DataFrame) -> pd.DataFrame:
         own = np.frombuffer(b"".join(members["signature"]), np.uint16).reshape(len(members), POSITIONS)
-        ordered = np.sort(own, axis=0)
-        starts = np.vstack([np.ones((1, POSITIONS), bool), ordered[1:] != ordered[:-1]])
-        common = np.empty(POSITIONS, np.uint16)
-        for p in range(POSITIONS):
-            at = np.flatnonzero(starts[:, p])
-            common[p] = ordered[at[np.diff([*at, len(own)]).argmax()], p]
-        center = int((own == common).sum(1).argmax())
+        if len(own) <= 32:
+            center = int((own[:, None] == own[None]).sum((1, 2)).argmax())
+        else:
+            ordered = np.sort(own, axis=0)
+            starts = np.vstack([np.ones((1, POSITIONS), bool), ordered[1:] != ordered[:-1]])
+            common = np.empty(POSITIONS, np.uint16)
+            for p in range(POSITIONS):
+                at = np.flatnonzero(starts[:, p])
+                common[p] = ordered[at[np.diff([*at, len(own)]).argmax()], p]
+            center = int((own == common).sum(1).argmax())
         group = members["root"].to_numpy()
         near = ((own == own[center]).sum(1) >= least) & (group != group[center])
         ids = members["class"].to_numpy()
