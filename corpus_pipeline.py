@@ -22,9 +22,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: five words, a similarity of 0.8 or more."""
     ship(spark)
-    return near_dedup.deduplicated(docs, percent=85)
+    return near_dedup.deduplicated(docs, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

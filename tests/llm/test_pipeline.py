@@ -63,3 +63,19 @@ def test_stages_return_the_columns_of_documents(spark, documents, tmp_path):
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_an_empty_table(name, stage, spark, documents, tmp_path):
     assert stage(spark, documents([]), str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_go_from_a_similarity_of_four_fifths(spark, documents, tmp_path):
+    rng = random.Random(11)
+    data = []
+    for group in range(6):
+        words = [f"w{group}x{i}" for i in range(200)]
+        data.append((10 * group, " ".join(words)))
+        for copy in range(1, 6):  # 1 to 5 words changed: similarities from 0.95 to 0.77
+            text = list(words)
+            for at in range(copy):
+                text[20 + 40 * at + rng.randrange(10)] = f"y{group}x{copy}x{at}"
+            data.append((10 * group + copy, " ".join(text)))
+    got = corpus_pipeline.drop_near_duplicates(spark, documents([(d, t, "en", "s") for d, t in data]), str(tmp_path))
+    kept = sorted(d for d, _, _, stays in test_near_dedup.brute(data, 80) if stays)
+    assert sorted(r.doc_id for r in got.collect()) == kept == sorted(10 * g + c for g in range(6) for c in (0, 5))
