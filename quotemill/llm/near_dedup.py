@@ -137,21 +137,22 @@ def _likely_members(least: int):
     earlier band."""
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"bucket": np.empty(0, np.int64), "class": np.empty(0, np.int64)})
+            return pd.DataFrame({"bucket": np.empty(0, np.int64), "class": np.empty(0, np.int64), "variant": np.empty(0, np.int64)})
         own, other = (np.frombuffer(b"".join(x["signature"]), np.uint16).reshape(len(x), POSITIONS) for x in (left, right))
         bands, facing = (np.array(x["bands"].tolist(), np.int64) for x in (left, right))
-        earlier = int(np.flatnonzero(bands[0] == key[0])[0])
+        earlier = int(left["band"].iloc[0])
         group, groups = left["root"].to_numpy(), right["root"].to_numpy()
-        found: set[int] = set()
-        a, b = left["class"].to_numpy(), right["class"].to_numpy()
+        found: set[tuple[int, int]] = set()
+        a, b = (list(zip(x["class"].tolist(), x["variant"].tolist())) for x in (left, right))
         for i in range(len(own)):
             apart = np.flatnonzero(groups != group[i])
             near = apart[(other[apart] == own[i]).sum(1) >= least] if len(apart) else apart
             near = near[~(facing[near, :earlier] == bands[i, :earlier]).any(1)]
             if len(near):
-                found.add(int(a[i]))
-                found.update(b[near].tolist())
-        return pd.DataFrame({"bucket": np.full(len(found), key[0], np.int64), "class": np.array(sorted(found), np.int64)})
+                found.add(a[i])
+                found.update(b[j] for j in near)
+        chosen = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"bucket": np.full(len(chosen), key[0], np.int64), "class": chosen[:, 0], "variant": chosen[:, 1]})
 
     return compare
 
@@ -244,22 +245,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
     narrow = passed.select("doc_id", "n_shingles", "set_id")
     linkable = F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()
     classes = kept(narrow.where(linkable).groupBy("set_id").agg(F.min("doc_id").alias("class")), "dedup-classes")
+    # Where ids repeat, one may stand for several sets; the variant tells these apart.
+    repeating = not narrow.where(linkable).groupBy("doc_id").count().where("count > 1").isEmpty()
+    variant = (F.xxhash64("set_id") if repeating else F.lit(0).cast("long")).alias("variant")
     signed = kept(
         passed.where(linkable).join(classes.withColumnRenamed("set_id", "_set"), (F.col("set_id") == F.col("_set")) & (F.col("doc_id") == F.col("class")))
-        .select("class", "set_id", "bands", "signature").dropDuplicates(["class", "set_id"]),
+        .select("class", variant, "set_id", "bands", "signature").dropDuplicates(["class", "set_id"]),
         "dedup-classes-signed")
-    banded = signed.select("class", F.explode("bands").alias("bucket"))
+    banded = signed.select("class", "variant", F.posexplode("bands").alias("band", "bucket"))
     buckets = kept(
         banded.groupBy("bucket").agg(F.min("class").alias("center"), F.max("class").alias("last"), F.count("*").alias("members"))
         .where("center < last"), "dedup-buckets")
-    shared = kept(banded.join(buckets, "bucket").select("bucket", "class", "center", "members"), "dedup-shared")
+    shared = kept(banded.join(buckets, "bucket").select("bucket", "band", "class", "variant", "center", "members"), "dedup-shared")
     stars = shared.where("class <> center").select(F.col("center").alias("a"), F.col("class").alias("b")).distinct()
     likely = kept(_similar(stars, signed.select("class", "signature"), least), "dedup-likely")
     # Classes that may be needed for verifying: those in any bucket with others.
     wanted = signed.join(shared.select("class").distinct(), "class", "left_semi").select("class", "set_id")
 
-    repeating = not narrow.where(linkable).groupBy("doc_id").count().where("count > 1").isEmpty()
-
     def full_sets(of: DataFrame, name: str) -> DataFrame:
         ids = of.join(wanted, "class").select("class", F.col("set_id").alias("_set"))
         chosen = rows.join(ids.select("class").distinct(), F.col("doc_id") == F.col("class"), "left_semi")
@@ -267,7 +269,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
         made = map_texts(chosen, "text", "set_id binary, shingles array<bigint>", _sets, ["doc_id"])
         return kept(
             made.join(ids, (F.col("doc_id") == F.col("class")) & (F.col("set_id") == F.col("_set")))
-            .select("class", "shingles"), name)
+            .select("class", variant.alias("variant"), "shingles"), name)
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
@@ -288,14 +290,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
     groups = kept(_grouped(signed.select("class").distinct(), links), "dedup-groups")
 
     def open_members() -> DataFrame:
-        """bucket, class, root of the buckets of three and more that hold several groups."""
+        """bucket, band, class, variant, root of the buckets of three and more that hold several groups."""
         in_groups = shared.where("members > 2").join(groups, "class")
         several = in_groups.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        return kept(in_groups.join(several.select("bucket"), "bucket").select("bucket", "class", "root"), "dedup-open-members")
+        return kept(in_groups.join(several.select("bucket"), "bucket").select("bucket", "band", "class", "variant", "root"), "dedup-open-members")
 
     members = open_members()
     if not members.isEmpty():
-        short = members.join(signed.select("class", "signature"), "class")
+        short = members.join(signed.select("class", "variant", "signature"), ["class", "variant"])
         sized = kept(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "dedup-blocks")
         stars = (
             short.join(sized, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
@@ -305,10 +307,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
         groups = kept(_grouped(signed.select("class").distinct(), links), "dedup-groups")
         members = open_members()
     if not members.isEmpty():
-        short = members.join(signed.select("class", "signature", "bands"), "class")
-        chosen = kept(_block_pairs(short, BLOCK, _likely_members(least), "bucket long, class long").distinct(), "dedup-chosen")
+        short = members.join(signed.select("class", "variant", "signature", "bands"), ["class", "variant"])
+        chosen = kept(_block_pairs(short, BLOCK, _likely_members(least), "bucket long, class long, variant long").distinct(), "dedup-chosen")
         sets = full_sets(chosen.select("class").distinct(), "dedup-sets")
-        whole = chosen.join(members, ["bucket", "class"]).join(sets, "class")
+        whole = chosen.join(members, ["bucket", "class", "variant"]).join(sets, ["class", "variant"])
         links = kept(links.unionByName(
             _block_pairs(whole, SETS_BLOCK, _exact_links(percent), "a long, b long").distinct()), "dedup-links")
     # Rows of one id with different sets link the classes of these sets.

@@ -90,6 +90,18 @@ def test_large_buckets_in_small_blocks(documents, rows, monkeypatch):
     assert rows(run(documents, data)) == brute(data)
 
 
+def test_an_id_of_two_texts_in_open_buckets(documents, rows, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng = random.Random(9)
+    data = [(0, " ".join(f"{name}{i}" for i in range(120))) for name in "uv"]  # the smallest id of both sets
+    for i in range(1, 61):
+        text = [f"{'uv'[i % 2]}{j}" for j in range(120)]
+        for _ in range(rng.randint(0, 5)):
+            text[rng.randrange(120)] = f"x{rng.randrange(9)}"
+        data.append((i, " ".join(text)))
+    assert rows(run(documents, data)) == brute(data)
+
+
 def test_odd_rows(documents, rows):
     data = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c"), (None, "a b"), (None, None), (7, "one"), (7, "one"), (9, "a b")]
     got = rows(run(documents, data))
