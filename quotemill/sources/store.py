@@ -283,7 +283,8 @@ def newest_bars(
 def newest_closes(
     spark: SparkSession, root: str, table: str, days: int = 60, symbols: Sequence[str] | DataFrame | None = None,
 ) -> DataFrame:
-    """(date, symbol, close) of the newest ``days`` days the table has, from the partitions that hold them."""
+    """(date, symbol, close) of the newest ``days`` days the table has, from the partitions that hold them;
+    a table without partitions by year is read as a whole."""
     df = read_table(spark, root, table)
     time = time_column(df)
     day = F.to_date(time).alias("date")
@@ -292,7 +293,7 @@ def newest_closes(
         read += run
         if in_periods(df, read).select(day).distinct().limit(days).count() >= days:
             break
-    rows = in_periods(df, read).select(day, "symbol", "close")
+    rows = (in_periods(df, read) if read else df).select(day, "symbol", "close")
     return close_matrix_long(in_symbols(rows, symbols), days)
 
 

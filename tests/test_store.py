@@ -347,6 +347,15 @@ def test_store_reads_list_the_newest_partitions_only(spark, root):
     assert store.newest_closes(spark, root, "t", 8).count() == 8
 
 
+@pytest.mark.parametrize("layout", ["single", "bucket"])
+def test_newest_closes_of_a_table_without_years(spark, root, layout):
+    rows = bars(spark, *[(s, d, d) for s in "ab" for d in range(6)])
+    sink.upsert(rows, root, "t", ["symbol", "date"], ["date"], layout)
+    got = store.newest_closes(spark, root, "t", 4)
+    assert got.count() == 8 and got.select("date").distinct().count() == 4
+    assert store.newest_closes(spark, root, "t", 4, ["zz"]).count() == 0
+
+
 def test_an_upsert_rewrites_the_buckets_of_its_keys_only(spark, root):
     rows = spark.range(500).select(F.concat(F.lit("s"), "id").alias("symbol"), F.col("id").alias("seq"), F.lit(1.0).alias("close"))
     sink.upsert(rows, root, "t", ["symbol"], ["seq"], "bucket")
