@@ -36,7 +36,11 @@ def word_count(text: Column) -> Column:
 def random_key(doc_id: Column, size: Column, seed: int) -> Column:
     """60 uniform bits that depend on the row's id and words and on the seed."""
     named = F.concat_ws("/", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")), size.cast("string"))
-    return F.conv(F.substring(F.md5(named), 1, KEY_BITS // 4), 16, 10).cast("long")
+    return _bits(named)
+
+
+def _bits(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
@@ -150,9 +154,11 @@ def mixed(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
 
     All columns are returned as they are. Texts stay whole: the document in which a cut
     falls is taken once more if at least half of its words are. A row without words is not
-    part of any mix and is left out.
+    part of any mix and is left out. Rows of one source that share the key of its cut are
+    ordered by a hash of the whole row, and as many of them are taken as fill what the cut
+    leaves, to half a row.
     """
-    _, plan = mix_plan(docs, weights=weights, max_epochs=max_epochs, seed=seed)
+    sized, plan = mix_plan(docs, weights=weights, max_epochs=max_epochs, seed=seed)
     # Names of its own, so that columns of the documents cannot clash with the plan's.
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row")).withColumn(
         "_size", word_count(F.col("_row.text"))
@@ -160,8 +166,43 @@ def mixed(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     times = F.when(
         F.col("_size") > 0, F.floor(words_taken(F.col("_size"), F.col("_key")) / F.col("_size") + F.lit(0.5))
     ).otherwise(0).cast("int")
+    planned = row.join(plan, F.col("_row.source").eqNullSafe(F.col("source")))
+    at_cut = F.coalesce(F.col("_key") == F.col("cut_key"), F.lit(False)) & (F.col("_size") > 0)
+    if (
+        sized.where("size > 0").join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        .where("key = cut_key").groupBy("source").count().where("count > 1").isEmpty()
+    ):
+        return _repeated(planned.withColumn("_times", times))
+    return _repeated(planned.where(~at_cut).withColumn("_times", times)).unionByName(
+        _repeated(_tied(planned.where(at_cut))))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The fields of ``_row``, ``_times`` times."""
     return (
-        row.join(plan, F.col("_row.source").eqNullSafe(F.col("source")))
-        .select("_row", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1)))).alias("_copy"), times.alias("_times"))
+        rows.select("_row", F.explode(F.sequence(F.lit(1), F.greatest("_times", F.lit(1)))).alias("_copy"), "_times")
         .where("_times >= 1")
         .select("_row.*"))
+
+
+def _tied(rows: DataFrame) -> DataFrame:
+    """_row, _times of the rows with the key of their source's cut.
+
+    The cut is divided again, over a hash of the whole row. Rows with the hash of that cut
+    are exact repeats: one of them stands for all.
+    """
+    tied = rows.withColumn("_hash", _bits(F.to_json("_row")))
+    sums = kept(tied.select(F.col("_row.source").alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("key"), "cut_words", "cut_size"), "mix-tied")
+    shares = kept(
+        sums.groupBy("source").agg(F.first("cut_size").alias("source_size"), F.first("cut_words").alias("target")), "mix-tied-targets")
+    found = kept(cuts(sums.select("source", "size", "key"), shares).select(
+        F.col("source").alias("_source"), F.col("epochs").alias("_all"), F.col("cut_key").alias("_cut"), F.col("cut_words").alias("_rest")),
+        "mix-tied-cuts")
+    divided = tied.join(found, F.col("_row.source").eqNullSafe(F.col("_source")))
+    here = F.coalesce(F.col("_hash") == F.col("_cut"), F.lit(False))
+    before = F.coalesce(F.col("_hash") < F.col("_cut"), F.lit(False)).cast("long")
+    apart = divided.where(~here).select("_row", (F.col("epochs") + F.col("_all") + before).cast("int").alias("_times"))
+    repeats = divided.where(here).groupBy("_source").agg(
+        F.first("_row").alias("_row"),
+        (F.count("*") * F.first("epochs") + F.floor(F.first("_rest") / F.first("_size") + F.lit(0.5))).cast("int").alias("_times"))
+    return apart.unionByName(repeats.select("_row", "_times"))

@@ -90,6 +90,23 @@ def test_mixed_repeats_whole_rows(documents, rows):
     assert got == {d: n for d, n in want.items() if n}
 
 
+def test_ties_reach_the_target(documents):
+    # Rows of one source without id and of equal size share their key.
+    data = [(None, f"t{i} x", None, "a") for i in range(60)] + [(None, "same words here", None, "b")] * 40
+    data += [(None, f"u{i} y z", "en" if i % 2 else None, "c") for i in range(30)] + [(1, "four words of one", None, "d")]
+    docs = documents(data)
+    target = {r.source: r.target for r in mixing.taken(docs).collect()}
+    got = {}
+    for r in mixing.mixed(docs).collect():
+        got.setdefault(r.source, []).append(r.text)
+    for source, size in (("a", 2), ("b", 3), ("c", 3)):
+        assert abs(len(got[source]) * size - int(target[source])) <= size / 2
+        every = [t for _, t, _, s in data if s == source]
+        assert source == "b" or {got[source].count(t) for t in every} <= {len(got[source]) // len(every), len(got[source]) // len(every) + 1}
+    plan = mixing.mixed(docs)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
 def test_no_python_in_the_plan(documents):
     plan = mixing.mixed(documents(corpus(20)))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
