@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cross_polytope, exact_topk, language, mixing, near_dedup, secret_scan, token_files, toxicity, warc
+from . import (
+    alignment, bpe, cross_polytope, exact_topk, language, mixing, near_dedup, pii, secret_scan, token_files, toxicity, warc, whitening,
+)
 from .shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def vocabulary() -> str:
-    """The byte-level vocabulary of the public tokenizers package, by its path on this machine."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary of the public tokenizers package, by its path on this machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def _query(build: Callable) -> Callable:
@@ -89,3 +91,22 @@ def op9_token_files(read) -> DataFrame:
 def op10_language(read) -> DataFrame:
     """The language of every document by its rank-order profile."""
     return language.identify(read("documents"))
+
+
+@_query
+def op11_align_tokens(read) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies, and how often the linked ids go together."""
+    return alignment.linked(read("documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+@_query
+def op12_whitening(read) -> DataFrame:
+    """Every vector on the first eight components, whitened. A deviation beyond a long is null."""
+    return whitening.whitened(read("embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query
+def op13_personal_data(read) -> DataFrame:
+    """Personal data of every text, and the terms of the text that give it away."""
+    found = pii.personal_data(read("documents").select("doc_id", "text"))
+    return found.select("doc.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.listed_spans(found).alias("spans"))
