@@ -8,10 +8,6 @@ end, and at the end of each document. Within a group every token of A is linked
 groups of a few tokens are expanded token by token, larger ones by their distinct ids with the product
 of their numbers, so that a long run without a common end costs its distinct ids and not their square.
 
-B is encoded word by word, from a bounded memo: no piece holds a space behind another character, so a
-space that follows one starts a new piece whatever surrounds it. That holds for models without
-normalization whose pieces show it, which is tested; texts are encoded as a whole for all others.
-
 Counting. A block is a run of about 2 MB of text of one task. Each block adds up the documents of its
 id pairs before anything is shuffled, so a pair is one row a block, however many documents hold
 it, and no pair is more than its share of a block's distinct pairs. Counts go back to the blocks and from there to the documents.
@@ -25,7 +21,6 @@ whole: memory follows the longest text and its distinct pairs.
 from __future__ import annotations
 
 import hashlib
-import re
 from array import array
 
 import numpy as np
@@ -36,15 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .batches import map_texts, slices
-from .bpe import Memo, byte_alphabet
+from .batches import map_texts, release, slices
+from .bpe import byte_alphabet
 from .scratch import kept
 from .token_files import Encoder
 
 SPACE = "▁"
-REMEMBERED = 200_000
 EXPANDED = 64  # links of a group that are listed token by token
-_WORD_START = re.compile("(?<=[^ ])(?= )")
 
 
 class ByteSide:
@@ -61,45 +54,28 @@ class ByteSide:
             if set(token) <= alphabet.keys():
                 self.bytes_of[i] = bytes(map(alphabet.__getitem__, token))
 
-    def ids(self, text: str) -> bytes:
-        return self.encoder.encode(" " + text)
+    def ids(self, text: str) -> bytes | None:
+        """Ids of a space and the text; None if their bytes are not that."""
+        whole = " " + text
+        ids = self.encoder.encode(whole)
+        joined = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return ids if joined == whole.encode() else None
 
 
 class PieceSide:
     """The vocabulary of pieces."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(len(model))]
         self.bytes_of = [
             bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.by_words = self._plain(path) and not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        # A space alone at the end of a text, which no word follows.
-        self.lone = model.encode("x ")[len(model.encode("x")):]
-        self.words = Memo(remembered, self._word)
-
-    @staticmethod
-    def _plain(path: str) -> bool:
-        from sentencepiece import sentencepiece_model_pb2
-
-        model = sentencepiece_model_pb2.ModelProto()
-        with open(path, "rb") as file:
-            model.ParseFromString(file.read())
-        rules, trained = model.normalizer_spec, model.trainer_spec
-        return bool(
-            trained.model_type == trained.BPE and not trained.user_defined_symbols
-            and not trained.treat_whitespace_as_suffix and rules.add_dummy_prefix and not rules.remove_extra_whitespaces
-            and not rules.precompiled_charsmap and not any(p.type == p.USER_DEFINED for p in model.pieces))
-
-    def _word(self, word: str) -> bytes:
-        return array("I", self.model.encode(word, num_threads=1) if word else self.lone).tobytes()
-
-    def ids(self, text: str) -> bytes:
-        if not self.by_words:
-            return self._word(text)
-        if "  " in text or text[0] == " ":
-            return b"".join([self.words[f[1:]] for f in _WORD_START.split(" " + text)])
-        return b"".join(map(self.words.__getitem__, text.split(" ")))
+
+    def ids(self, text: str) -> bytes | None:
+        """Ids of a text; None if their bytes are not a space and the text."""
+        ids = self.model.encode(text, num_threads=1)
+        joined = b"".join(map(self.bytes_of.__getitem__, ids))
+        return array("I", ids).tobytes() if joined == (" " + text).encode() else None
 
 
 def coalesced(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,21 +130,14 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteSide(path_a), PieceSide(path_b)
         self.lengths = tuple(np.array([len(x) for x in side.bytes_of], np.int64) for side in (self.a, self.b))
+        # A token as it is shown: followed by another of its side, or last of A, or of B, in its group.
         decimal = [str(i) for i in range(max(map(len, self.lengths)))]
-        # A token as it is shown: followed by another of its side, or last of its side in its group.
-        self.shown = [[d + mark for d in decimal] for mark in (",", "|", ";")]
+        self.shown = [d + mark for mark in (",", "|", ";") for d in decimal]
 
     def _ids(self, text: str | None) -> tuple[bytes, bytes]:
-        if not text or (SPACE in text and self.b.by_words):
-            return b"", b""
-        whole = (" " + text).encode()
-        found = []
-        for side in (self.a, self.b):
-            ids = side.ids(text)
-            if b"".join(map(side.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())) != whole:
-                return b"", b""
-            found.append(ids)
-        return tuple(found)
+        b = self.b.ids(text) if text else None
+        a = self.a.ids(text) if b is not None else None
+        return (a, b) if a is not None else (b"", b"")
 
     def align(self, texts: list) -> Batch:
         both = [self._ids(t) for t in texts]
@@ -178,18 +147,19 @@ class Aligner:
 
     def written(self, batch: Batch) -> list[str]:
         """Each document's groups as ``a1,a2|b1;a3|b2,b3``."""
-        comma, bar, semicolon = self.shown
-        shown = []
-        for ids, group, last in ((batch.ids_a, batch.group_a, bar), (batch.ids_b, batch.group_b, semicolon)):
-            text = np.array(list(map(comma.__getitem__, ids.tolist())), object)
-            at = np.flatnonzero(np.append(group[1:] != group[:-1], True)) if len(ids) else []
-            text[at] = list(map(last.__getitem__, ids[at].tolist()))
-            shown.append(text)
-        group = np.concatenate([batch.group_a, batch.group_b])
-        order = np.argsort(group, kind="stable")  # A before B within a group, each in its order
-        text = np.concatenate(shown)[order].tolist()
+        width = len(self.shown) // 3
+        codes = np.empty(len(batch.ids_a) + len(batch.ids_b), np.int64)
+        # A token's place: behind those of its side, and those of the other side in the groups before (for B: and in its own).
+        upto_a, upto_b = np.cumsum(batch.in_a), np.cumsum(batch.in_b)
+        places = (
+            (batch.ids_a, batch.group_a, (upto_b - batch.in_b)[batch.group_a], width),
+            (batch.ids_b, batch.group_b, upto_a[batch.group_b], 2 * width))
+        for ids, group, others, mark in places:
+            last = np.append(group[1:] != group[:-1], True)[:len(ids)]
+            codes[np.arange(len(ids)) + others] = ids + mark * last
         ends = np.cumsum(batch.n_a + batch.n_b).tolist()
-        return ["".join(text[begin:end])[:-1] for begin, end in zip([0, *ends], ends)]
+        shown = self.shown.__getitem__
+        return ["".join(map(shown, codes[begin:end].tolist()))[:-1] for begin, end in zip([0, *ends], ends)]
 
 
 def _nested(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
@@ -251,6 +221,8 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, *, doc_id: str = "doc_id",
                     _nested(pa.array(pairs), once), _nested(pa.array(np.bincount(at, minlength=len(pairs)), pa.int32()), once),
                 ], names=["doc_id", *[part.split()[0] for part in _ALIGNED.split(", ")]])
                 block += 1
+        whole = part = batch = aligner = doc = a = b = times = pairs = at = key = where = total = None
+        release()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, {_ALIGNED}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +13,17 @@ from pyspark.sql import DataFrame
 BATCH_BYTES = 2 << 20
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the machine: the next task of a worker may need it for something else,
+    and other processes of the executor at once."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about BATCH_BYTES of text; a longer text is a run of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -50,6 +63,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c) for c in keep], *[v if isinstance(v, pa.Array) else pa.array(v) for v in map(made.get, names)]],
                     names=[*keep, *names])
+        whole = batch = made = work = None
+        release()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]
     return df.select(*dict.fromkeys([*keep, column])).mapInArrow(run, ", ".join([*fields, schema]))

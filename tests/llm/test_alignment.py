@@ -77,14 +77,6 @@ def wild(n, seed, length=30):
     return ["".join(rng.choice(PARTS) + rng.choice(["", " ", ""]) for _ in range(rng.randint(0, length))) for _ in range(n)]
 
 
-def test_pieces_by_words_are_those_of_whole_texts(libraries):
-    side = alignment.PieceSide(B)
-    assert side.by_words
-    for text in wild(3000, 3):
-        if text and "▁" not in text:
-            assert np.frombuffer(side.ids(text), "<u4").tolist() == libraries[1].encode(text), repr(text)
-
-
 def test_special_strings_are_plain_text(libraries):
     for text in wild(2000, 4):
         if text:
