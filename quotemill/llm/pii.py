@@ -16,7 +16,8 @@ generalised to their shape (word, number, code), if that shape itself stays belo
 ``support`` documents at least; below that nothing is estimated.
 
 At scale. Terms of documents without an entity are counted only, and only those that some entity's documents
-hold; counts are added up in each task before rows are shuffled. Entities with the same documents are one class, and so are
+hold: a Bloom filter of a fixed size tells the tasks, a join does so exactly. Counts are added up in each task
+before rows are shuffled. Entities with the same documents are one class, and so are
 terms with the same documents (told by two 64-bit sums over the documents' numbers): a list of addresses
 in thousands of copies is one class and not the square of its length. Pairs of classes are formed
 only for terms whose share of documents with any entity could reach the threshold.
@@ -32,12 +33,14 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, unused
+from .batches import release, slices, unused
 from .scratch import kept
 
 # Kinds in their order, characters and patterns of the base spans, least and most digits.
@@ -50,7 +53,9 @@ PHONE_DIGITS = (8, 15)
 
 THRESHOLD = 0.95
 SUPPORT = 3
-FLUSHED = 200_000  # distinct terms that a task counts before it hands them on
+FLUSHED = 100_000  # distinct terms that a task counts before it hands them on
+FILTER_BITS = 1 << 22
+FILTER_SHIFTS = (0, 20, 40)
 
 _DOMAIN, _PHONE, _DIGITS = re.compile(DOMAIN), re.compile(PHONE), re.compile("[0-9]+")
 _OTHER = re.compile("[^0-9]")
@@ -188,21 +193,51 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
                     pa.array(terms, pa.list_(pa.struct([("term", pa.string()), ("shape", pa.string()), ("at", pa.list_(pa.int32()))]))),
                 ], names=["doc", *[p.split()[0] for p in _SCANNED.split(", ")]])
                 row += len(texts)
+        whole = part = texts = found = terms = None
+        release()
 
     return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, {_SCANNED}")
 
 
-def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(term, documents) of parts of the corpus: a term comes once a task, more often only where a task has very many."""
+def _positions(term: Column) -> Column:
+    hashed = F.xxhash64(term)
+    return F.array(*[F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit(FILTER_BITS - 1)) for shift in FILTER_SHIFTS])
+
+
+def term_filter(terms: DataFrame) -> np.ndarray:
+    """A Bloom filter of the terms: FILTER_BITS bits however many terms, put together by aggregation."""
+    places = terms.select(F.explode(_positions(F.col("term"))).alias("at"))
+    words = places.groupBy(F.shiftright("at", 5).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at & 31 AS INT))")).alias("bits"))
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for word, bits in words.collect():  # at most FILTER_BITS / 32 rows
+        out[word] = bits
+    return out
+
+
+def passed(terms: list[str], bits: np.ndarray) -> np.ndarray:
+    """Which terms the filter holds; of others about one in a thousand while it is a tenth full."""
+    hashed = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms))
+    held = np.ones(len(terms), bool)
+    for shift in FILTER_SHIFTS:
+        at = (hashed >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
+        held &= (bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & 1 == 1
+    return held
+
+
+def term_counts(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> DataFrame:
+    """(term, documents) of parts of the corpus, for the terms that the filter ``wanted`` holds: a term comes once a
+    task, more often only where a task has very many."""
 
     def run(batches):
         counts: Counter = Counter()
 
         def handed():
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "documents"])
+            terms, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
             counts.clear()
-            return made
+            held = passed(terms, wanted)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([t for t, yes in zip(terms, held) if yes], pa.string()), pa.array(numbers[held])], names=["term", "documents"])
 
         for whole in batches:
             for part in slices(whole, "text"):
@@ -214,6 +249,8 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     yield handed()
         if counts:
             yield handed()
+        whole = part = None
+        release()
 
     return docs.select(docs[text].alias("text")).mapInArrow(run, "term string, documents long")
 
@@ -237,7 +274,7 @@ def disclosing(held: DataFrame, docs: DataFrame, text: str, threshold: float, su
     of_term = marked.select("row", F.explode(both).alias("term"))
     # A pair of term and entity lies within the documents that hold an entity.
     candidates = kept(of_term.groupBy("term").agg(*_class("t0", "t1")).where(F.col("held") >= support), "pii-candidates")
-    counted = term_counts(docs, text).join(candidates.select("term"), "term", "left_semi").groupBy("term").agg(
+    counted = term_counts(docs, term_filter(candidates.select("term")), text).join(candidates.select("term"), "term", "left_semi").groupBy("term").agg(
         F.sum("documents").alias("t_docs"))
     least = (support / n) ** (1 - threshold) * (1 - 1e-9)  # the lowest p(e | t) that can reach the threshold
     terms = kept(

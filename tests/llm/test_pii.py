@@ -154,3 +154,11 @@ def test_sanitized(documents, rows):
     assert kept[0] == ("[word] works at [email] [number]", 32) and kept[1] == ("[word]: [email] [number]", 24)
     assert kept[3] == ("plain words here 4455", 21) and kept[12] == (None, None)
     assert pii.cleaned("ab cd", [("removed", 0, 2), ("phone", 1, 4)]) == "d"
+
+
+def test_filter_holds_all_its_terms(spark):
+    terms = ["river", "Straße", "日本語", "x" * 300, *[f"t{i}" for i in range(3000)]]
+    bits = pii.term_filter(spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert pii.passed(terms, bits).all()
+    assert pii.passed([f"other{i}" for i in range(5000)], bits).mean() < 0.01
+    assert not pii.passed(["a", "b"], pii.term_filter(spark.createDataFrame([], "term string"))).any()
