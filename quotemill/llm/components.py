@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import release
 from .scratch import kept
 
 
@@ -23,12 +23,15 @@ def _forest(batches):
         return top
 
     for batch in batches:
-        for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
     nodes = [x for x in parent if root(x) != x]
-    yield pd.DataFrame({"a": np.array([root(x) for x in nodes], np.int64), "b": np.array(nodes, np.int64)})
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([root(x) for x in nodes], pa.int64()), pa.array(nodes, pa.int64())], names=["a", "b"])
+    nodes = parent = batch = None
+    release()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     its minimum, which adaptive execution splits for a node with very many links.
     """
     now = kept(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
-               .mapInPandas(_forest, "a long, b long").distinct(), "links")
+               .mapInArrow(_forest, "a long, b long").distinct(), "links")
     seen = None
     while True:
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

@@ -14,12 +14,12 @@ language that is first by code point. With no training document at all every doc
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .batches import map_texts, unused
+from .batches import map_texts, release, unused
 from .ngrams import profile, ranked
 from .scratch import kept
 
@@ -38,20 +38,27 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            for begin in range(0, len(batch), TEXTS):
-                part = batch.iloc[begin:begin + TEXTS]
-                for lang, texts in part.groupby("lang")["text"]:
-                    pairs = [ranked(t) for t in texts]
+            for begin in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(begin, TEXTS)
+                found: dict[str, list] = {}
+                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                    found.setdefault(lang, []).append(ranked(text))
+                for lang, pairs in found.items():
                     codes, at = np.unique(np.concatenate([p[0] for p in pairs]), return_inverse=True)
                     counts = np.bincount(at, np.concatenate([p[1] for p in pairs]), len(codes)).astype(np.int64)
-                    yield pd.DataFrame({"lang": lang, "code": codes, "n": counts})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int64()), pa.array(counts)], names=["lang", "code", "n"])
+        batch = part = found = pairs = None
+        release()
 
     counted = (
         docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-        .mapInPandas(count, "lang string, code long, n long")
+        .mapInArrow(count, "lang string, code long, n long")
         .groupBy("lang", "code").agg(F.sum("n").alias("n")))
     order = W.partitionBy("lang").orderBy(F.desc("n"), "code")
-    return counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "code", "rank")
+    # The filter is on the rank as it is, so that Catalyst cuts in front of the shuffle as well.
+    first = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return first.select("lang", "code", (F.col("place") - 1).alias("rank"))
 
 
 class Ranks:

@@ -29,12 +29,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_texts
+from .batches import map_texts, release
 from .components import components
 from .scratch import kept
 from .superminhash import POSITIONS, WORDS, band_keys, set_id, shingles, short_form, signatures
@@ -42,6 +41,7 @@ from .superminhash import POSITIONS, WORDS, band_keys, set_id, shingles, short_f
 BAND_ROWS = 5
 BLOCK = 1024
 SETS_BLOCK = 256
+SETS_SHINGLES = 100_000  # shingles of a block of full sets
 
 
 def agreeing(percent: int, positions: int = POSITIONS) -> int:
@@ -98,11 +98,33 @@ def _similar(pairs: DataFrame, signed: DataFrame, least: int) -> DataFrame:
 
     def compare(batches):
         for batch in batches:
-            own = np.frombuffer(b"".join(batch["own"]), np.uint16).reshape(len(batch), -1)
-            other = np.frombuffer(b"".join(batch["other"]), np.uint16).reshape(len(batch), -1)
-            yield batch.loc[(own == other).sum(1) >= least, ["a", "b"]]
+            for begin in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(begin, BLOCK)
+                near = (_positions(part.column("own")) == _positions(part.column("other"))).sum(1) >= least
+                yield part.select(["a", "b"]).filter(pa.array(near))
+        batch = part = near = None
+        release()
 
-    return pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "own", "other").mapInArrow(compare, "a long, b long")
+
+
+def _positions(signatures: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures.to_pylist()), np.uint16).reshape(len(signatures), POSITIONS)
+
+
+def _numbers(members: pa.Table, column: str) -> np.ndarray:
+    return members.column(column).to_numpy()
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """Rows of lists of numbers, without copies."""
+    whole = column.combine_chunks()
+    values, ends = whole.values.to_numpy(), whole.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _stars(least: int):
@@ -112,8 +134,8 @@ def _stars(least: int):
     agrees with most of these values is the likeliest origin of the others. In a small one it is the
     member that agrees most with the others.
     """
-    def choose(members: pd.DataFrame) -> pd.DataFrame:
-        own = np.frombuffer(b"".join(members["signature"]), np.uint16).reshape(len(members), POSITIONS)
+    def choose(members: pa.Table) -> pa.Table:
+        own = _positions(members.column("signature"))
         if len(own) <= 32:
             center = int((own[:, None] == own[None]).sum((1, 2)).argmax())
         else:
@@ -124,10 +146,10 @@ def _stars(least: int):
                 at = np.flatnonzero(starts[:, p])
                 common[p] = ordered[at[np.diff([*at, len(own)]).argmax()], p]
             center = int((own == common).sum(1).argmax())
-        group = members["root"].to_numpy()
+        group = _numbers(members, "root")
         near = ((own == own[center]).sum(1) >= least) & (group != group[center])
-        ids = members["class"].to_numpy()
-        return pd.DataFrame({"a": np.minimum(ids[near], ids[center]), "b": np.maximum(ids[near], ids[center])})
+        ids = _numbers(members, "class")
+        return _pairs(np.minimum(ids[near], ids[center]), np.maximum(ids[near], ids[center]))
 
     return choose
 
@@ -135,15 +157,15 @@ def _stars(least: int):
 def _likely_members(least: int):
     """Members of a bucket with a likely partner in another group, of the pairs that share no
     earlier band."""
-    def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"bucket": np.empty(0, np.int64), "class": np.empty(0, np.int64), "variant": np.empty(0, np.int64)})
-        own, other = (np.frombuffer(b"".join(x["signature"]), np.uint16).reshape(len(x), POSITIONS) for x in (left, right))
-        bands, facing = (np.array(x["bands"].tolist(), np.int64) for x in (left, right))
-        earlier = int(left["band"].iloc[0])
-        group, groups = left["root"].to_numpy(), right["root"].to_numpy()
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("bucket", "class", "variant")})
+        own, other = (_positions(x.column("signature")) for x in (left, right))
+        bands, facing = (np.array(x.column("bands").to_pylist(), np.int64) for x in (left, right))
+        earlier = int(left.column("band")[0].as_py())
+        group, groups = _numbers(left, "root"), _numbers(right, "root")
         found: set[tuple[int, int]] = set()
-        a, b = (list(zip(x["class"].tolist(), x["variant"].tolist())) for x in (left, right))
+        a, b = (list(zip(_numbers(x, "class").tolist(), _numbers(x, "variant").tolist())) for x in (left, right))
         for i in range(len(own)):
             apart = np.flatnonzero(groups != group[i])
             near = apart[(other[apart] == own[i]).sum(1) >= least] if len(apart) else apart
@@ -152,22 +174,23 @@ def _likely_members(least: int):
                 found.add(a[i])
                 found.update(b[j] for j in near)
         chosen = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"bucket": np.full(len(chosen), key[0], np.int64), "class": chosen[:, 0], "variant": chosen[:, 1]})
+        bucket = np.full(len(chosen), key[0].as_py(), np.int64)
+        return pa.table({"bucket": bucket, "class": chosen[:, 0].copy(), "variant": chosen[:, 1].copy()})
 
     return compare
 
 
 def _exact_links(percent: int):
     """Links between groups in a block, of exact common counts; a forest of them."""
-    def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        own, other = ([np.asarray(s, np.int64) for s in x["shingles"]] for x in (left, right))
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _pairs(np.empty(0), np.empty(0))
+        own, other = (_lists(x.column("shingles")) for x in (left, right))
         common = common_counts(own, other)
         n, m = (np.array([len(s) for s in x]) for x in (own, other))
-        group, groups = left["root"].to_numpy(), right["root"].to_numpy()
+        group, groups = _numbers(left, "root"), _numbers(right, "root")
         linked = (100 * common >= percent * (n[:, None] + m[None] - common)) & (group[:, None] != groups[None])
-        a, b = left["class"].to_numpy(), right["class"].to_numpy()
+        a, b = _numbers(left, "class"), _numbers(right, "class")
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -181,7 +204,8 @@ def _exact_links(percent: int):
             if x != y:
                 parent[max(x, y)] = min(x, y)
                 found.append((min(a[i], b[j]), max(a[i], b[j])))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return _pairs(pairs[:, 0], pairs[:, 1])
 
     return compare
 
@@ -213,16 +237,20 @@ def common_counts(own: list[np.ndarray], other: list[np.ndarray], width: int = 4
     return out
 
 
-def _block_pairs(members: DataFrame, size: int, function, schema: str) -> DataFrame:
-    """``function`` over all pairs of blocks of ``size`` members of each bucket."""
-    counts = kept(members.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks")), "dedup-blocks")
+def _block_pairs(members: DataFrame, size: int, function, schema: str, weight=None) -> DataFrame:
+    """``function`` over all pairs of blocks of ``size`` members of each bucket, or of fewer if they weigh more than
+    SETS_SHINGLES together."""
+    blocks = F.ceil(F.count("*") / size)
+    if weight is not None:
+        blocks = F.greatest(blocks, F.ceil(F.sum(weight) / SETS_SHINGLES))
+    counts = kept(members.groupBy("bucket").agg(blocks.cast("int").alias("blocks")), "dedup-blocks")
     dealt = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = dealt.withColumn("facing", every).where("block <= facing")
     right = dealt.withColumn("facing", F.col("block")).withColumn("block", every).where("block <= facing")
     right = right.toDF(*right.columns)  # columns of its own, for the cogroup with the same table
     key = ["bucket", "block", "facing"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(function, schema)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(function, schema)
 
 
 def _grouped(signed: DataFrame, links: DataFrame) -> DataFrame:
@@ -301,7 +329,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
         sized = kept(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "dedup-blocks")
         stars = (
             short.join(sized, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-            .groupBy("bucket", "block").applyInPandas(_stars(least), "a long, b long").distinct())
+            .groupBy("bucket", "block").applyInArrow(_stars(least), "a long, b long").distinct())
         stars = kept(stars.join(likely, ["a", "b"], "left_anti"), "dedup-stars")
         links = kept(links.unionByName(_verified(stars, full_sets(ends(stars), "dedup-sets"), percent)), "dedup-links")
         groups = kept(_grouped(signed.select("class").distinct(), links), "dedup-groups")
@@ -312,7 +340,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
         sets = full_sets(chosen.select("class").distinct(), "dedup-sets")
         whole = chosen.join(members, ["bucket", "class", "variant"]).join(sets, ["class", "variant"])
         links = kept(links.unionByName(
-            _block_pairs(whole, SETS_BLOCK, _exact_links(percent), "a long, b long").distinct()), "dedup-links")
+            _block_pairs(whole, SETS_BLOCK, _exact_links(percent), "a long, b long", F.size("shingles")).distinct()), "dedup-links")
     # Rows of one id with different sets link the classes of these sets.
     member = narrow.where(linkable).join(classes, "set_id").select("doc_id", "class", "n_shingles")
     repeated = member.groupBy("doc_id").agg(F.min("class").alias("a"), F.collect_set("class").alias("all")).where(F.size("all") > 1)
