@@ -73,6 +73,30 @@ def to_day(date: str | Column) -> Column:
     return F.coalesce(dashed, plain)
 
 
+# Fixed value: the form of a time with separators.
+MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"
+
+
+def to_moment(time: str | Column) -> Column:
+    """TIMESTAMP without zone from text or number: ``YYYYMMDD``, ``YYYYMMDDHHMM[SS]``, ``YYYY-MM-DD`` (or with
+    slashes) and ``YYYY-MM-DD HH:MM[:SS[.f]]`` (or with a T); else null."""
+    text = F.translate(F.trim(col(time).cast("string")), "/", "-")
+    digits = F.when(text.rlike("^[0-9]+$"), F.length(text))
+
+    def joined(*parts: tuple[int, str]) -> Column:
+        pieces, at = [], 1
+        for width, mark in parts:
+            pieces += [F.lit(mark), F.substring(text, at, width)]
+            at += width
+        return F.concat(*pieces)
+
+    day = ((4, ""), (2, "-"), (2, "-"))
+    shown = (
+        F.when(digits == 8, joined(*day)).when(digits == 12, joined(*day, (2, " "), (2, ":")))
+        .when(digits == 14, joined(*day, (2, " "), (2, ":"), (2, ":"))).when(text.rlike(MOMENT), text))
+    return shown.try_cast("timestamp_ntz")
+
+
 def without_dashes(date: str | Column) -> Column:
     return F.replace(col(date), F.lit("-"), F.lit(""))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 from collections.abc import Sequence
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import int_date, to_day, weekdays_between
+from .keyed import same_key
 
 
 def open_days(calendar: DataFrame, date: str = "date") -> DataFrame:
@@ -36,6 +38,18 @@ def on_trading_days(df: DataFrame, calendar: DataFrame, date: str = "date") -> D
     return df.join(F.broadcast(_calendar_days(calendar, date)), date, "left_semi")
 
 
+BITS = 62  # open days in one word, short of the sign
+
+
+def open_days_through(calendar: DataFrame, last: int | None = None, as_of: str | dt.date | None = None) -> list[dt.date]:
+    """The open days up to ``as_of``, or the newest ``last`` of them, ascending: some 250 a year, whatever the data."""
+    days = _calendar_days(calendar, "date")
+    if as_of is not None:
+        days = days.where(F.col("date") <= F.to_date(F.lit(str(as_of))))
+    days = days.orderBy(F.col("date").desc())
+    return sorted(r[0] for r in (days.limit(last) if last is not None else days).collect())
+
+
 def missing_days(
     df: DataFrame,
     calendar: DataFrame,
@@ -45,6 +59,7 @@ def missing_days(
     as_of: str | dt.date | None = None,
     through: str = "own",
     universe: DataFrame | None = None,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """(key, date) of open days on which a key has no row; ``date`` may be a timestamp.
 
@@ -52,30 +67,55 @@ def missing_days(
     day of the table or ``as_of`` (``through='table'``). ``last`` looks at the last N open
     days only: the days listed and the rows they are compared with begin there. With a
     ``universe``, a frame of keys, each of its keys is expected on every day looked at,
-    whether it has a row at all or not; no history is read to find its first day.
+    whether it has a row at all or not. ``spans``, (key, first, last), tells the first and last days of keys, if they are known
+    without reading the history.
+
+    Open days are numbered; a key's days are bits of words of 62 days each. Words of days present, one aggregate over the
+    rows, meet the words of days expected, and only what is lacking becomes rows again.
     """
-    days = _calendar_days(calendar, date)
-    if as_of is not None:
-        days = days.where(F.col(date) <= F.to_date(F.lit(str(as_of))))
-    if last is not None:
-        days = days.orderBy(F.col(date).desc()).limit(last)
-    bounds = days.agg(F.min(date), F.max(date)).first()  # two days
-    if bounds[0] is None:
-        return df.select(key, F.to_date(date).alias(date)).limit(0)
-    begin, final = (F.lit(d).cast("date") for d in bounds)
-    present = df.select(key, F.to_date(date).alias(date))
+    listed = open_days_through(calendar, last, as_of)
+    none = df.select(key, F.to_date(date).alias(date)).limit(0)
+    if not listed:
+        return none
+    spark, begin, final = df.sparkSession, listed[0], listed[-1]
+    numbered = F.broadcast(spark.createDataFrame(list(zip(listed, range(len(listed)))), "_day date, _number int"))
+    present = df.where((F.col(date) >= F.lit(begin)) & (F.col(date) < F.date_add(F.lit(final), 1)))
+    present = present.select(key, F.to_date(date).alias("_day")).join(numbered, "_day")
+    bit = F.expr(f"shiftleft(1L, _number % {BITS})")
+    have = present.groupBy(key, F.floor(F.col("_number") / BITS).cast("int").alias("_word")).agg(F.bit_or(bit).alias("_have"))
     if universe is not None:
-        spans = universe.select(key).distinct().select(key, begin.alias("_first"), final.alias("_last"))
+        spans = universe.select(key).distinct().select(key, F.lit(begin).alias("first"), F.lit(final).alias("last"))
     else:
-        spans = present.groupBy(key).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+        if spans is None:
+            spans = df.groupBy(key).agg(F.min(date).alias("first"), F.max(date).alias("last"))
+        spans = spans.select(key, F.to_date("first").alias("first"), F.to_date("last").alias("last"))
         if through == "table":
-            end = final if as_of is not None else F.lit(present.agg(F.max(date)).first()[0]).cast("date")
-            spans = spans.withColumn("_last", end)
-        spans = spans.withColumn("_first", F.greatest("_first", begin)).where(F.col("_first") <= F.col("_last"))
-    listed = spans.select(key, F.explode(F.sequence("_first", "_last")).alias(date))
-    expected = listed.join(F.broadcast(days), date, "left_semi").select(key, date)
-    recent = df.where(F.col(date) >= begin).select(key, F.to_date(date).alias(date))
-    return expected.join(recent.distinct(), [key, date], "left_anti")
+            end = final if as_of is not None else spans.agg(F.max("last")).first()[0]
+            if end is None:
+                return none
+            spans = spans.withColumn("last", F.lit(end))
+        spans = spans.select(
+            key, F.greatest("first", F.lit(begin)).alias("first"), F.least("last", F.lit(final)).alias("last")).where("first <= last")
+    # The number of the first open day at or after each day, and of the last at or before it.
+    days = [begin + dt.timedelta(n) for n in range((final - begin).days + 1)]
+    placed = F.broadcast(spark.createDataFrame(
+        [(d, bisect.bisect_left(listed, d), bisect.bisect_right(listed, d) - 1) for d in days], "_day date, _next int, _previous int"))
+    numbers = (
+        spans.join(placed.select(F.col("_day").alias("first"), F.col("_next").alias("_from")), "first")
+        .join(placed.select(F.col("_day").alias("last"), F.col("_previous").alias("_to")), "last")
+        .where("_from <= _to").select(key, "_from", "_to"))
+    words = numbers.select("*", F.explode(
+        F.expr(f"sequence(CAST(_from div {BITS} AS INT), CAST(_to div {BITS} AS INT))")).alias("_word"))
+    low = F.expr(f"shiftleft(1L, greatest(_from - _word * {BITS}, 0)) - 1L")
+    high = F.expr(f"shiftleft(1L, least(_to - _word * {BITS}, {BITS - 1}) + 1) - 1L")
+    expected = words.select(F.col(key), "_word", high.bitwiseXOR(low).alias("_expected")).alias("base")
+    both = expected.join(have.alias("found"), same_key([key, "_word"], True), "left").select(
+        F.col(f"base.{key}").alias(key), "base._word",
+        F.col("_expected").bitwiseAND(F.bitwise_not(F.coalesce("_have", F.lit(0).cast("bigint")))).alias("_lacking"))
+    bits = F.expr(f"filter(sequence(0, {BITS - 1}), b -> shiftright(_lacking, b) & 1L = 1L)")
+    lacking = both.where("_lacking <> 0").select(key, "_word", F.explode(bits).alias("_bit"))
+    named = lacking.select(key, (F.col("_word") * BITS + F.col("_bit")).alias("_number")).join(numbered, "_number")
+    return named.select(key, F.col("_day").alias(date))
 
 
 def _gap_columns(date: Column) -> list[Column]:

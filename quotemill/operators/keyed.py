@@ -96,3 +96,16 @@ def merge_by_key(
 def merge_by_version(existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Upsert in which the row with the greater ``order`` stays, whichever side it is on."""
     return keep_last(existing.unionByName(batch, allowMissingColumns=True), keys, order)
+
+
+def last_versions(base: DataFrame, appended: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A table with one row a key and versions appended to it: of each key the row with the greatest ``order``.
+
+    Only rows of the base whose key was appended are ranked; the others pass by, by a join whose
+    side is the appended keys.
+    """
+    newest = keep_last(appended, keys, order)
+    found = newest.select(*keys).alias("found")
+    met = base.alias("base").join(found, same_key(keys, True), "left_semi").select(*base.columns)
+    ranked = keep_last(met.unionByName(newest, allowMissingColumns=True), keys, order)
+    return without_keys(base, newest, keys).unionByName(ranked, allowMissingColumns=True)

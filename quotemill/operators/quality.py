@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -68,27 +68,51 @@ def check_table(
 
     Duplicates are looked for only where columns named date and symbol exist.
     """
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *_dates(df), _duplicates_of(df).alias("dupes"))
+    return _judged(counted.withColumn("table", F.lit(name)), F.lit(least), F.lit(fresh_days), as_of)
+
+
+def _duplicates_of(df: DataFrame) -> Column:
     lower = {c.lower(): c for c in df.columns}
-    dupes = F.lit(0).cast("bigint")
     if "date" in lower and "symbol" in lower:
-        dupes = duplicate_count(lower["date"], lower["symbol"])
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), *_dates(df), dupes.alias("_dupes"))
+        return duplicate_count(lower["date"], lower["symbol"])
+    return F.lit(0).cast("bigint")
+
+
+def duplicates(df: DataFrame) -> int:
+    """Rows that repeat a (date, symbol); 0 without columns of these names, of which no row is read then."""
+    return df.agg(_duplicates_of(df)).first()[0] if {"date", "symbol"} <= {c.lower() for c in df.columns} else 0
+
+
+def _judged(counted: DataFrame, least: Column, fresh_days: Column, as_of: str | dt.date) -> DataFrame:
+    """Issues and status of rows (table, rows, min_date, max_date, dupes)."""
     age = F.datediff(_day(as_of), "max_date")
     text = F.col
     issues = F.array_compact(F.array(
         F.when(age > fresh_days, F.concat(
             F.lit("STALE: "), age.cast("string"), F.lit(" days since "),
-            text("max_date").cast("string"), F.lit(f", allowed {fresh_days}"))),
+            text("max_date").cast("string"), F.lit(", allowed "), fresh_days.cast("string"))),
         F.when(text("rows") < least, F.concat(
-            F.lit("LOW_ROWS: "), text("rows").cast("string"), F.lit(f" < {least}"))),
-        F.when(text("_dupes") > 0, F.concat(F.lit("DUPLICATES: "), text("_dupes").cast("string"))),
+            F.lit("LOW_ROWS: "), text("rows").cast("string"), F.lit(" < "), least.cast("string"))),
+        F.when(text("dupes") > 0, F.concat(F.lit("DUPLICATES: "), text("dupes").cast("string"))),
     ))
     return counted.select(
-        F.lit(name).alias("table"), "rows", "min_date", "max_date", issues.alias("issues"),
+        "table", "rows", "min_date", "max_date", issues.alias("issues"),
         F.when(F.size(issues) > 0, "warn").otherwise("ok").alias("status"),
     )
 
 
+def report_of_counts(
+    spark: SparkSession, tables: dict[str, tuple], as_of: str | dt.date, limits: dict[str, tuple[int, int]], errors: dict[str, str],
+) -> DataFrame:
+    """The quality report from (rows, first day, last day, duplicates) of every table, and the errors of others."""
+    counts = spark.createDataFrame(
+        [(name, *row, *limits[name]) for name, row in tables.items()],
+        "`table` string, rows bigint, min_date date, max_date date, dupes bigint, _least bigint, _days int")
+    found = _judged(counts, F.col("_least"), F.col("_days"), as_of)
+    return _stack([found, *(unreadable(found, name, error) for name, error in errors.items())])
+
+
 def unreadable(df_like: DataFrame, name: str, error: str) -> DataFrame:
     """The row of a table that could not be read."""
     row = df_like.sparkSession.range(1)

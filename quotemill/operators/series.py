@@ -112,14 +112,17 @@ def on_day(df: DataFrame, day: str | dt.date, time: str = "kline_time") -> DataF
     return between_dates(df, day, day, time)
 
 
-def lookback(df: DataFrame, as_of: str | dt.date, days: int, date: str = "date") -> DataFrame:
-    """Rows of [as_of - days, as_of]."""
+def in_lookback(as_of: str | dt.date, days: int, date: str = "date") -> Column:
     last = F.to_date(F.lit(str(as_of)))
-    return df.where(F.col(date).between(F.date_sub(last, days), last))
+    return (F.col(date) >= F.date_sub(last, days)) & (F.col(date) < F.date_add(last, 1))
 
 
-def task_range(
-    df: DataFrame,
+def lookback(df: DataFrame, as_of: str | dt.date, days: int, date: str = "date") -> DataFrame:
+    """Rows of the days [as_of - days, as_of]."""
+    return df.where(in_lookback(as_of, days, date))
+
+
+def in_task_range(
     *,
     incremental: bool = False,
     as_of: str | dt.date | None = None,
@@ -127,14 +130,20 @@ def task_range(
     start: str | None = None,
     end: str | None = None,
     date: str = "date",
-) -> DataFrame:
-    """The date range of a task: the lookback if incremental, else its own start and end."""
+) -> Column:
+    """Whether a row is in the range of a task: the lookback if incremental, else its own start and end, days inclusive."""
     if incremental:
         if as_of is None:
             raise ValueError("an incremental range needs as_of")
-        return lookback(df, as_of, lookback_days, date)
+        return in_lookback(as_of, lookback_days, date)
+    within = F.lit(True)
     if start:
-        df = df.where(F.col(date) >= F.to_date(F.lit(start)))
+        within = within & (F.col(date) >= F.to_date(F.lit(start)))
     if end:
-        df = df.where(F.col(date) <= F.to_date(F.lit(end)))
-    return df
+        within = within & (F.col(date) < F.date_add(F.to_date(F.lit(end)), 1))
+    return within
+
+
+def task_range(df: DataFrame, **limits) -> DataFrame:
+    """The date range of a task, see ``in_task_range``."""
+    return df.where(in_task_range(**limits))

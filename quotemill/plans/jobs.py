@@ -4,43 +4,55 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.calendar import completeness_message, is_trading_day, missing_days, rows_of_missing
+from ..operators.calendar import completeness_message, is_trading_day, missing_days, open_days_through, rows_of_missing
 from ..operators.columns import (
-    apply_transforms, date_column, days_as_dates, normalize_names, select_existing,
+    apply_transforms, date_column, in_symbols, normalize_names, select_existing, symbol_column, times_as_such, unreadable_times,
 )
 from ..operators.fallback import Source, fallback_by_key, first_with_rows
-from ..operators.quality import inventory, last_update, profiles, quality_report, unreadable
-from ..operators.series import task_range
+from ..operators.quality import duplicates, inventory, last_update, report_of_counts
+from ..operators.series import between_dates, in_task_range
+from ..operators.sized import settled
 from ..operators.validate import clean, is_ok, report, summary_line, with_order
 from ..schemas import DATASETS, QUALITY_LIMITS, UPDATE_LOG, Dataset
 from ..session import delete_path, scratch_path
 from ..sinks.store import log_rows, read_log, upsert, write_series, write_table, write_to_targets
-from ..sources.store import list_tables, read_table, stored_layout, table_exists, table_path, without_partitions
+from ..sources.store import (
+    in_months, list_tables, read_table, stored_layout, stored_profile, symbol_spans, table_exists, table_path, without_partitions,
+)
 
 
-def prepare(df: DataFrame, task: dict, as_of: str | dt.date | None = None) -> DataFrame:
-    """Fields, transforms, standard names, days as DATE and date range of a task, in this order."""
-    df = select_existing(df, task.get("fields"))
-    df = days_as_dates(normalize_names(apply_transforms(df, task.get("transform"))))
+def named(df: DataFrame, task: dict) -> DataFrame:
+    """Fields, transforms, standard names and symbols of a task, in this order."""
+    df = normalize_names(apply_transforms(select_existing(df, task.get("fields")), task.get("transform")))
+    symbol = symbol_column(df)
+    return in_symbols(df, task.get("symbols"), symbol) if symbol else df
+
+
+def _prepared(df: DataFrame, task: dict, as_of: str | dt.date | None) -> tuple[DataFrame, Column]:
+    """Named rows with times as such, in the date range of the task; and which of them, kept whatever the range, have a time
+    that cannot be read."""
+    df = named(df, task)
     date = date_column(df)
     if date is None:
-        return df
-    return task_range(
-        df,
-        incremental=task.get("incremental", False),
-        as_of=as_of,
-        lookback_days=task.get("lookback_days", 5),
-        start=task.get("start_date"),
-        end=task.get("end_date"),
-        date=date,
-    )
+        return df, F.lit(False)
+    flag = "_unreadable"
+    timed = times_as_such(df.withColumn(flag, unreadable_times(df)), refuse=False)
+    within = in_task_range(
+        incremental=task.get("incremental", False), as_of=as_of, lookback_days=task.get("lookback_days", 5),
+        start=task.get("start_date"), end=task.get("end_date"), date=date)
+    return timed.where(within | F.col(flag)), F.col(flag)
+
+
+def prepare(df: DataFrame, task: dict, as_of: str | dt.date | None = None) -> DataFrame:
+    """Fields, transforms, standard names, symbols, times as such and date range of a task, in this order. Rows whose
+    time cannot be read are left out (``run_task`` counts them)."""
+    rows, unreadable_ = _prepared(df, task, as_of)
+    return rows.where(~unreadable_).drop("_unreadable")
 
 
 def run_task(
@@ -54,11 +66,11 @@ def run_task(
 ) -> dict:
     """One task: source chain, prepare, validate, completeness, write to every target.
 
-    ``task``: name, fields, transform, incremental, lookback_days, start_date, end_date,
-    validate, order, completeness, target (a dict or a list: root, table, if_exists, keys,
-    order, layout). Findings are reported and never hold back the write. The prepared rows
-    are computed once, into the shared folder, and reported, cleaned and written from there;
-    the copies are deleted at the end. With ``log_root`` the run, failed or not, is a record
+    ``task``: name, fields, transform, symbols (a list, or a frame with them), incremental, lookback_days, start_date,
+    end_date, validate, order, completeness, target (a dict or a list: root, table, if_exists, keys,
+    order, layout). Findings are reported and never hold back the write. Rows whose time cannot be read are set aside and
+    counted (``unreadable``). A source is run once: its prepared rows go into the shared folder, and are looked at,
+    reported, cleaned and written from there; the copies are deleted at the end. With ``log_root`` the run, failed or not, is a record
     of the update log there.
     """
     begun = time.monotonic()
@@ -72,9 +84,20 @@ def run_task(
         return spark.read.schema(rows.schema).parquet(copies[-1])
 
     try:
-        chain = [(name, _prepared(source, task, as_of)) for name, source in sources]
-        used, rows = first_with_rows(chain)
-        rows = copied(rows)
+        unreadable_rows: dict[str, int] = {}
+
+        def loaded(name: str, source: Source) -> Source:
+            def load() -> DataFrame:
+                rows, bad = _prepared(source() if callable(source) else source, task, as_of)
+                rows = copied(rows)
+                if "_unreadable" not in rows.columns:
+                    return rows
+                unreadable_rows[name] = rows.where(bad).count()
+                return rows.where(~bad).drop("_unreadable")
+
+            return load
+
+        used, rows = first_with_rows([(name, loaded(name, source)) for name, source in sources])
         findings: list[dict] = []
         if task.get("validate"):
             rules = with_order(task["validate"], task.get("order", ()))
@@ -93,7 +116,7 @@ def run_task(
         result |= {
             "status": "ok", "rows_fetched": fetched, "rows_written": written, "source_used": used,
             "validation": summary_line(findings), "valid": is_ok(findings), "issues": findings,
-            "completeness": message,
+            "completeness": message, "unreadable": unreadable_rows.get(used, 0),
         }
     except Exception as error:  # a failed task is a result like any other
         result |= {"status": "error", "error": f"{type(error).__name__}: {error}", "rows_written": 0}
@@ -116,13 +139,6 @@ def task_record(spark: SparkSession, result: dict, run_time: str) -> DataFrame:
     return spark.createDataFrame([tuple(fields.get(f.name) for f in UPDATE_LOG.fields)], UPDATE_LOG)
 
 
-def _prepared(source: Source, task: dict, as_of: str | dt.date | None) -> Source:
-    def load() -> DataFrame:
-        return prepare(source() if callable(source) else source, task, as_of)
-
-    return load
-
-
 def _landed(spark: SparkSession, landed: str, dataset: Dataset) -> DataFrame:
     df = spark.read.parquet(table_path(landed, dataset.name))
     if dataset.layout != "single" and "symbol" not in df.columns:
@@ -141,7 +157,8 @@ def backfill(
     """Write every landed dataset to the store, in order of priority, and log the rows.
 
     A dataset is a landed folder; per-key deliveries are ``<tag>=<key>`` folders below it,
-    which become the tag column. One that fails is logged and the others go on.
+    which become the tag column. One that fails is logged and the others go on. The log has the rows of this
+    delivery, whatever the store had before.
     """
     known = DATASETS if datasets is None else datasets
     present = [d for d in known.values() if table_exists(spark, landed, d.name)]
@@ -154,10 +171,7 @@ def backfill(
             else:
                 when = "kline_time" if "kline_time" in df.columns else "date"
                 write_series(df, root, dataset.name, dataset.layout, time=when)
-            stored = read_table(spark, root, dataset.name)
-            records = log_rows(
-                stored, dataset.name, "backfill", source, run_time, by_symbol=dataset.layout != "single"
-            )
+            records = log_rows(df, dataset.name, "backfill", source, run_time, by_symbol=dataset.layout != "single")
             write_table(records, root, "update_log", "append")
             results.append({"table": dataset.name, "status": "ok"})
         except Exception as error:
@@ -216,14 +230,23 @@ def backfill_missing(
     source that has them, day by day and symbol by symbol.
 
     Symbols are those stored, each from its first day on, or those of ``universe``, stored
-    or not. With ``days`` only the newest open days are looked at, and only the partitions
-    that can hold them are compared.
+    or not. With ``days`` only the newest open days are looked at: the store's partitions and the sources' rows
+    outside of them are not read. Which symbols there are and since when the store's spans tell, not its bars.
     """
-    stored = without_partitions(read_table(spark, root, table))
-    missing = missing_days(
-        stored, calendar, date=time, last=days, as_of=as_of, through="table", universe=universe)
+    listed = open_days_through(calendar, days, as_of)
+    if not listed:
+        return "empty"
+    begin, final = listed[0], listed[-1]
+    stored = read_table(spark, root, table)
+    spans = None if universe is not None else symbol_spans(spark, root, table)
+    if spans is None and universe is None:
+        spans = stored.groupBy("symbol").agg(F.to_date(F.min(time)).alias("first"), F.to_date(F.max(time)).alias("last"))
+    near = without_partitions(between_dates(in_months(stored, begin, final), begin, final, time))
+    missing = settled(missing_days(
+        near, calendar, date=time, last=days, as_of=as_of, through="table", universe=universe, spans=spans))
     offers = [
-        (name, rows_of_missing(missing, df, date=time).withColumn("_day", F.to_date(time))) for name, df in sources]
+        (name, rows_of_missing(missing, between_dates(df, begin, final, time), date=time).withColumn("_day", F.to_date(time)))
+        for name, df in sources]
     rows = fallback_by_key(offers, ("symbol", "_day")).drop("source", "_day")
     return _take_in(spark, rows, root, table, order, time, "backfill-missing", run_time, as_of)
 
@@ -249,26 +272,37 @@ def _take_in(
     return "updated"
 
 
+def _each_table(spark: SparkSession, root: str, names: Sequence[str], found: Callable[[str], tuple]) -> tuple[dict, dict]:
+    """(what was found, errors) of tables looked at one by one, so that the error of one stays its own."""
+    rows, errors = {}, {}
+    for name in names:
+        try:
+            if not table_exists(spark, root, name):
+                raise FileNotFoundError("no such table")
+            rows[name] = found(name)
+        except Exception as error:  # whatever is wrong with a table is a row of the report
+            errors[name] = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+    return rows, errors
+
+
 def quality_of_store(
     spark: SparkSession, root: str, as_of: str | dt.date, limits: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """The quality report of a store: every table that has limits, an error row for one that
-    is absent or cannot be read."""
+    """The quality report of a store: every table that has limits, an error row for one that is absent or cannot be
+    read. Rows and days come from the files' footers, duplicates from two columns."""
     limits = QUALITY_LIMITS if limits is None else limits
-    tables, errors = {}, {}
-    for name in limits:
-        try:
-            if not table_exists(spark, root, name):
-                raise FileNotFoundError("no such table")
-            tables[name] = without_partitions(read_table(spark, root, name))
-        except (AnalysisException, FileNotFoundError) as error:
-            errors[name] = str(error).splitlines()[0]
-    if not tables:
-        return reduce(DataFrame.unionByName, [unreadable(spark.range(1), n, e) for n, e in errors.items()])
-    return quality_report(tables, as_of, limits, errors)
+
+    def found(name: str) -> tuple:
+        rows, first, last = stored_profile(spark, root, name)
+        return rows, first, last, duplicates(without_partitions(read_table(spark, root, name)))
+
+    tables, errors = _each_table(spark, root, list(limits), found)
+    return report_of_counts(spark, tables, as_of, limits, errors)
 
 
 def inventory_of_store(spark: SparkSession, root: str) -> DataFrame:
-    """Every table of a store with its rows, newest day and size bar."""
-    names = list_tables(spark, root)
-    return inventory(profiles({n: without_partitions(read_table(spark, root, n)) for n in names}))
+    """Every table of a store with its rows, newest day and size bar, from the files' footers. A table that cannot be read
+    has null rows."""
+    tables, errors = _each_table(spark, root, list_tables(spark, root), lambda name: stored_profile(spark, root, name))
+    found = [(name, *row) for name, row in tables.items()] + [(name, None, None, None) for name in errors]
+    return inventory(spark.createDataFrame(found, '`table` string, rows bigint, min_date date, max_date date'))

@@ -196,7 +196,8 @@ def with_views(body: str, *names: str) -> str:
         add(name)
     if not order:
         return body
-    listed = "WITH " + ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in order)
+    # materialized: several bodies read a view many times
+    listed = "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n][1]})" for n in order)
     # a body that starts with a comma goes on with the list
     return listed + ("" if body.startswith(",") else "\n") + body
 
@@ -286,6 +287,8 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
     "k1_write_series": ("""
         SELECT *, CAST(year(kline_time) AS INT) AS year, CAST(month(kline_time) AS INT) AS month
         FROM bars_min""", "bars_min"),
+    "k1_minute_text": ("SELECT * FROM bars_min", "bars_min"),
+    "k2_replace_columns": ("SELECT csname, CAST(length(symbol) AS INT) AS symbol FROM fund_basic", "fund_basic"),
     "k2_write_table": ("SELECT * FROM fund_basic WHERE csname IS NOT NULL", "fund_basic"),
     "k3_write_modes": ("""
         SELECT symbol, date, open, high, low,
@@ -680,6 +683,43 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
     "c11_open_days_of_year": ("""
         SELECT date, CAST(strftime(date, '%Y%m%d') AS INT) AS day FROM trade_calendar
         WHERE is_open = '1' AND year(date) = 1998""", "trade_calendar"),
+    "s11_rejected": ("""
+        SELECT symbol, line AS record, CASE WHEN len(p) < 7 THEN 'fewer than seven fields' ELSE 'close is no number' END AS reason
+        FROM (SELECT symbol, line, string_split(line, ',') AS p FROM raw_lines) r
+        WHERE len(p) < 7 OR try_cast(p[3] AS DOUBLE) IS NULL""", "raw_lines"),
+    "s12_rejected": ("""
+        SELECT symbol, CAST(date AS STRING) AS day, 'open is no number' AS reason FROM bars_daily
+        WHERE volume % 7 = 0 AND CAST(substr(symbol, 1, 6) AS INT) % 9 <> 0
+        UNION ALL
+        SELECT symbol, NULL, 'no JSON with a list of records' FROM bars_daily
+        WHERE CAST(substr(symbol, 1, 6) AS INT) % 9 = 0 GROUP BY symbol, date_trunc('month', date)""", "bars_daily"),
+    "s14_minute_stored": ("""
+        SELECT kline_time, close AS price, CAST(volume AS DOUBLE) AS volume, CAST(0 AS DOUBLE) AS amount, symbol
+        FROM bars_min""", "bars_min"),
+    "k4_upsert_files": ("""
+        SELECT symbol, date, open, high, low, CASE WHEN date = DATE '2024-01-15' THEN close * 2 ELSE close END AS close,
+               volume, amount FROM bars_daily WHERE date <= DATE '2024-01-16'""", "bars_daily"),
+    "k4_upsert_wider": ("""
+        SELECT symbol, date, open, high, low, close,
+               CAST(CASE WHEN symbol LIKE '%.SH' THEN volume + 3000000000 ELSE volume END AS BIGINT) AS volume, amount
+        FROM bars_daily""", "bars_daily"),
+    "k4_compact": (f"SELECT {_BAR} FROM bars_daily", "bars_daily"),
+    "c2_minute_task": ("""
+        SELECT *, (SELECT count(*) FROM bars_min WHERE symbol IN ('click', 'view') AND minute(kline_time) % 7 = 0) AS set_aside
+        FROM bars_min WHERE symbol IN ('click', 'view') AND minute(kline_time) % 7 <> 0
+          AND kline_time < DATE '2024-01-26'""", "bars_min"),
+    "c5_corrupt_table": ("""
+        SELECT 'etf_daily' AS "table", count(*) AS rows,
+               CASE WHEN count(*) < 30 OR date_diff('day', max(date), DATE '2024-01-30') > 3 THEN 'warn' ELSE 'ok' END AS status
+        FROM bars_daily UNION ALL SELECT 'etf_share', 0, 'error'""", "bars_daily"),
+    "c8_backfill_again": ("""
+        SELECT CASE WHEN symbol LIKE '%.SH' THEN '2024-01-29 18:00:00' ELSE '2024-01-30 18:00:00' END AS start_time,
+               'etf_daily' AS table_name, symbol, count(*) AS rows_count, 'ok' AS status
+        FROM bars_daily GROUP BY symbol""", "bars_daily"),
+    "w2_spans_of_store": ("""
+        SELECT symbol, min(date) AS first_date, max(date) AS last_date, count(*) AS n_rows
+        FROM three_years GROUP BY symbol""", "three_years"),
+    "t1_compacted": (_LAST_OF_FEED.format(way="DESC"), "feed_dup"),
     "t1_stream_upsert": (_LAST_OF_FEED.format(way="DESC"), "feed_dup"),
 }
 

@@ -14,6 +14,7 @@ from ..operators import (
 from ..session import scratch_path
 from ..sinks import database, store as sink
 from ..sources import payloads, store
+from ..sources.commits import live_files, write_note
 from ..streaming.incremental import upsert_stream
 from . import jobs
 from .fixtures import Tables
@@ -172,6 +173,25 @@ def s12_json_bars(t: Tables) -> DataFrame:
     return payloads.parse_json_bars(landed)
 
 
+@query
+def s11_rejected(t: Tables) -> DataFrame:
+    """The lines that cannot be read, and why."""
+    return payloads.rejected(payloads.examine_bar_lines(t.raw_lines()))
+
+
+@query
+def s12_rejected(t: Tables) -> DataFrame:
+    """The objects that cannot be read, and the payloads that are cut off."""
+    entry = F.struct(
+        F.col("date").cast("string").alias("day"),
+        F.when(_divides(7), "x").otherwise(F.col("open").cast("string")).alias("open"), "high", "low", "close", "volume")
+    whole = F.to_json("entries")
+    cut = F.when(F.substring("symbol", 1, 6).cast("int") % 9 == 0, F.substring(whole, 1, 10)).otherwise(whole)
+    landed = _by_month(t.bars_daily(), entry).select("symbol", cut.alias("payload"))
+    out = payloads.rejected(payloads.examine_json_bars(landed))
+    return out.select("symbol", F.get_json_object("record", "$.day").alias("day"), "reason")
+
+
 @query
 def s12_json_props(t: Tables) -> DataFrame:
     parsed = F.from_json("props", "k bigint")
@@ -214,6 +234,19 @@ def s14_minute_tokens(t: Tables) -> DataFrame:
     return payloads.parse_minute_tokens(landed.select("symbol", payload.alias("payload")))
 
 
+@query
+def s14_minute_stored(t: Tables) -> DataFrame:
+    """Minute ticks with the payload's day: parsed, stored by month, read back."""
+    token = F.concat_ws(" ", F.date_format("kline_time", "HHmm"), F.col("close").cast("string"), F.col("volume").cast("string"))
+    landed = t.bars_min().groupBy("symbol", F.to_date("kline_time").alias("day")).agg(F.collect_list(token).alias("tokens"))
+    body = F.concat(F.lit('{"data":{"data":'), F.to_json("tokens"), F.lit("}}"))
+    payload = F.concat(F.lit("min_data="), _object(fx.prefixed_code("symbol"), body))
+    ticks = payloads.parse_minute_tokens(landed.select("symbol", "day", payload.alias("payload")), day="day")
+    root = _scratch(t, "ticks")
+    sink.write_series(ticks, root, "etf_min1", "month")
+    return store.read_series(t.spark, root, "etf_min1")
+
+
 @query
 def s15_spot_list(t: Tables) -> DataFrame:
     item = F.struct(
@@ -293,6 +326,24 @@ def k1_write_series(t: Tables) -> DataFrame:
     return store.read_table(t.spark, root, "etf_min1")
 
 
+@query
+def k1_minute_text(t: Tables) -> DataFrame:
+    """Minute bars whose time came as text."""
+    root = _scratch(t, "series")
+    text = t.bars_min().withColumn("kline_time", F.date_format("kline_time", "yyyy-MM-dd HH:mm:ss"))
+    sink.write_series(text, root, "etf_min1", "month")
+    return store.read_series(t.spark, root, "etf_min1")
+
+
+@query
+def k2_replace_columns(t: Tables) -> DataFrame:
+    """A single table replaced as a whole: other columns, and another type of one that stays."""
+    root = _scratch(t, "single")
+    sink.write_table(t.fund_basic().withColumn("note", F.lit("old")), root, "etf_basic")
+    sink.write_table(t.fund_basic().select("csname", F.length("symbol").alias("symbol")), root, "etf_basic")
+    return store.read_table(t.spark, root, "etf_basic")
+
+
 @query
 def k2_write_table(t: Tables) -> DataFrame:
     root = _scratch(t, "single")
@@ -369,6 +420,44 @@ def k4_upsert_bars(t: Tables) -> DataFrame:
     return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
 
 
+@query
+def k4_upsert_files(t: Tables) -> DataFrame:
+    """One day again, and one day more, into a year that was written day by day: files without a key of the batch stay."""
+    root = _scratch(t, "files")
+    bars, day = t.bars_daily(), F.to_date(F.lit("2024-01-15"))
+    sink.write_series(bars.where(F.col("date") < day), root, "etf_daily", "year", time="date")
+    sink.upsert(bars.where(F.col("date") == day), root, "etf_daily", ["symbol", "date"], ["close"], "year")
+    before = set(live_files(t.spark, f"{root}/etf_daily"))
+    again = bars.where(F.col("date") == day).withColumn("close", F.col("close") * 2)
+    more = bars.where(F.col("date") == F.date_add(day, 1))
+    sink.upsert(again.unionByName(more), root, "etf_daily", ["symbol", "date"], ["close"], "year")
+    if len(before - set(live_files(t.spark, f"{root}/etf_daily"))) != 1:
+        raise RuntimeError("the one file of the day was to be rewritten")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
+@query
+def k4_upsert_wider(t: Tables) -> DataFrame:
+    """A batch with a wider type of a column than the table has; rows in files that stay are read with it as well."""
+    root = _scratch(t, "wider")
+    bars = t.bars_daily().withColumn("volume", F.col("volume").cast("int"))
+    sink.write_series(bars, root, "etf_daily", "year", time="date")
+    late = bars.where(F.col("symbol").endswith(".SH")).withColumn("volume", F.col("volume").cast("bigint") + 3_000_000_000)
+    sink.upsert(late, root, "etf_daily", ["symbol", "date"], ["close"], "year")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
+@query
+def k4_compact(t: Tables) -> DataFrame:
+    """A year written in twelve runs, its small files merged."""
+    root = _scratch(t, "compact")
+    for i in range(12):
+        part = t.bars_daily().where(F.day("date") % 12 == i)
+        sink.write_series(part, root, "etf_daily", "year", time="date", mode="append", partitions=1)
+    sink.compact(t.spark, root, "etf_daily")
+    return store.read_series(t.spark, root, "etf_daily")
+
+
 @query
 def k5_merge_null_keys(t: Tables) -> DataFrame:
     order = ["date", "seq"]
@@ -846,6 +935,13 @@ def w2_newest_from_store(t: Tables) -> DataFrame:
     return store.newest_bars(t.spark, _years_store(t), "etf_daily", 40)
 
 
+@query
+def w2_spans_of_store(t: Tables) -> DataFrame:
+    """First and last day and bars of every symbol of a store of several years, from its notes."""
+    spans = store.symbol_spans(t.spark, _years_store(t), "etf_daily")
+    return spans.select("symbol", F.col("first").alias("first_date"), F.col("last").alias("last_date"), F.col("rows").alias("n_rows"))
+
+
 @query
 def w6_closes_from_store(t: Tables) -> DataFrame:
     return store.newest_closes(t.spark, _years_store(t), "etf_daily", 35)
@@ -930,6 +1026,22 @@ def c2_run_task(t: Tables) -> DataFrame:
     return store.without_partitions(store.read_table(t.spark, root, "etf_daily"))
 
 
+@query
+def c2_minute_task(t: Tables) -> DataFrame:
+    """Minute bars of two symbols whose time came as numbers in text; what cannot be read is set aside and counted."""
+    root = _scratch(t, "task")
+    time = F.when(F.minute("kline_time") % 7 == 0, "soon").otherwise(F.date_format("kline_time", "yyyyMMddHHmm"))
+    task = {
+        "name": "etf_min1", "symbols": ["click", "view"], "end_date": "2024-01-25",
+        "validate": {"required": ["symbol"], "dedup_keys": ["symbol", "kline_time"]}, "order": ["volume"],
+        "target": {"root": root, "table": "etf_min1", "layout": "month", "keys": ["symbol", "kline_time"], "order": ["volume"]},
+    }
+    result = jobs.run_task(task, [("minutes", t.bars_min().withColumn("kline_time", time))], AS_OF)
+    if result["status"] != "ok":
+        raise RuntimeError(result["error"])
+    return store.read_series(t.spark, root, "etf_min1").withColumn("set_aside", F.lit(result["unreadable"]).cast("bigint"))
+
+
 @query
 def c4_completeness_message(t: Tables) -> DataFrame:
     bars = series.pct_change(t.bars_daily(), span="month")
@@ -949,6 +1061,17 @@ def c5_quality_store(t: Tables) -> DataFrame:
     return _as_text(jobs.quality_of_store(t.spark, _daily_store(t), AS_OF))
 
 
+@query
+def c5_corrupt_table(t: Tables) -> DataFrame:
+    """A table with a file that is no Parquet is an error row; the other tables have theirs."""
+    root = _scratch(t, "store")
+    sink.write_series(t.bars_daily(), root, "etf_daily", "year", time="date")
+    sink.write_table(t.fund_basic(), root, "etf_share")
+    write_note(t.spark, f"{root}/etf_share/part=0/part-broken.parquet", {"no": "table"})
+    limits = {name: LIMITS.get(name, (1, 3)) for name in ("etf_daily", "etf_share")}
+    return jobs.quality_of_store(t.spark, root, AS_OF, limits).select("table", "rows", "status")
+
+
 @query
 def c5_alerts(t: Tables) -> DataFrame:
     return quality.alerts(_quality(t)).select("table", "status")
@@ -999,6 +1122,17 @@ def c8_backfill(t: Tables) -> DataFrame:
     )
 
 
+@query
+def c8_backfill_again(t: Tables) -> DataFrame:
+    """Two deliveries into one table: the log has the rows of each, not of the store."""
+    root = _scratch(t, "store")
+    for market, when in ((".SH", "2024-01-29 18:00:00"), (".SZ", RUN_TIME)):
+        landed = _scratch(t, "landed")
+        t.bars_daily().where(F.col("symbol").endswith(market)).write.parquet(f"{landed}/etf_daily")
+        jobs.backfill(t.spark, landed, root, when)
+    return sink.read_log(t.spark, root).select("start_time", "table_name", "symbol", "rows_count", "status")
+
+
 @query
 def c9_update_day(t: Tables) -> DataFrame:
     """The store up to the last day but one, then two runs for the last day: one has an effect."""
@@ -1078,3 +1212,20 @@ def t1_stream_upsert(t: Tables) -> DataFrame:
         ).awaitTermination()
     return store.read_table(t.spark, root, "feed")
 
+
+@query
+def t1_compacted(t: Tables) -> DataFrame:
+    """The same feed in batches, folded into the table's files after every second one and at the end."""
+    landing, root, checkpoint = _scratch(t, "landing"), _scratch(t, "table"), _scratch(t, "progress")
+    feed = t.feed_dup()
+    for part in (*reversed(_halves(feed, "l_shipdate")), feed.where("l_linenumber = 1")):
+        part.write.mode("append").parquet(landing)
+        upsert_stream(
+            t.spark, landing, feed.schema, root, "feed", FEED_KEYS, t.FEED_ORDER, checkpoint,
+            layout="bucket", compact_after=2,
+        ).awaitTermination()
+    sink.compact(t.spark, root, "feed")
+    if store.appended_versions(t.spark, store.table_path(root, "feed")):
+        raise RuntimeError("versions were left")
+    return store.read_table(t.spark, root, "feed")
+

@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
-    DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    ByteType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType,
+    TimestampNTZType,
 )
 
 TYPES = {
@@ -15,6 +16,23 @@ TYPES = {
 }
 
 
+# Each type and those that hold all its values and that Parquet files of it can be read as.
+WIDER = {
+    ByteType(): (ShortType(), IntegerType(), LongType(), DoubleType()),
+    ShortType(): (IntegerType(), LongType(), DoubleType()),
+    IntegerType(): (LongType(), DoubleType()),
+    FloatType(): (DoubleType(),),
+    DateType(): (TimestampNTZType(),),
+}
+
+
+def widest(a: DataType, b: DataType) -> DataType | None:
+    """The one of two types that holds the values of both; None if neither does."""
+    if a == b or b in WIDER.get(a, ()):
+        return b
+    return a if a in WIDER.get(b, ()) else None
+
+
 def schema(columns: str) -> StructType:
     """``name TYPE, …`` as a schema; needs no session, as parsing DDL would."""
     pairs = (c.split() for c in columns.split(","))

@@ -4,37 +4,49 @@ Series are partitioned by the year (and month) of each row. Rows are range-parti
 (partition, symbol, time) before the write: ranges are balanced by sampling, so that a
 symbol or a year with most of the rows spreads over many tasks, and each file holds a
 narrow run of symbols whose min/max statistics let a read of one symbol skip the rest.
+
+A write reads and replaces only the files that hold a key of its batch; all others stay as they are. New
+files are written aside and take effect in one step (``sources/commits.py``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..operators.columns import date_column, days_as_dates, symbol_column
+from ..operators.columns import date_column, symbol_column, times_as_such
 from ..operators.keyed import merge_by_key, merge_by_version, same_key, without_keys
-from ..schemas import UPDATE_LOG
+from ..schemas import UPDATE_LOG, widest
 from ..session import delete_path, scratch_path
+from ..sources.commits import (
+    APPENDED, SCHEMA, SPANS, TABLE, aside, commit, finish, hadoop, live_files, names_in, of_uri, write_aside,
+)
 from ..sources.store import (
-    BUCKET, SINGLE, keep_schema, read_or_empty, stored_layout, stored_rows, stored_schema, table_exists, table_path,
+    BUCKET, SINGLE, appended_versions, read_or_empty, span_columns, stored_base, stored_layout, stored_schema, table_exists, table_note,
+    table_path,
 )
 
-# A single table is one partition, so that it is replaced as the others are: the new files
-# are written aside and take the place of the old ones when the job commits.
 LAYOUTS = {"single": (SINGLE,), "year": ("year",), "month": ("year", "month"), "bucket": (BUCKET,)}
-BUCKETS = 64
+BUCKETS = 64  # of a new table in buckets; a table keeps the number it was begun with
+SMALL_BYTES = 64 << 20  # up to here a rewrite needs no sampling to spread its rows
+SMALL_FILES = 8  # as many small files a partition may have before ``compact`` merges them
 
+Combine = Callable[[DataFrame, DataFrame], DataFrame]
 
-def with_partitions(df: DataFrame, layout: str, time: str = "", keys: Sequence[str] = ()) -> DataFrame:
+
+def with_partitions(
+    df: DataFrame, layout: str, time: str = "", keys: Sequence[str] = (), buckets: int = BUCKETS
+) -> DataFrame:
     """Year and month of each row, not of the first one; or the bucket its key hashes to."""
     if layout == "single":
         return df.withColumn(SINGLE, F.lit(0))
     if layout == "bucket":
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     parts = {"year": F.year(time), "month": F.month(time)}
     return df.withColumns({c: parts[c] for c in LAYOUTS[layout]})
 
@@ -55,25 +67,51 @@ def _check_layout(spark: SparkSession, root: str, table: str, layout: str) -> No
         raise ValueError(f"{table} is stored by {stored}, not by {layout}")
 
 
-def _save(df: DataFrame, path: str, layout: str, mode: str) -> None:
-    """``overwrite`` replaces the partitions the frame has, and no other.
+def _whole_schema(spark: SparkSession, path: str, new: StructType, found: bool) -> StructType:
+    """The table's schema with the columns that are new, and those that come wider.
 
-    The table's schema is kept beside its data and grows by the columns that are new.
+    Files written before are read with the wider type; a type that cannot hold the stored values is refused.
     """
+    known = (stored_schema(spark, path) or stored_base(spark, path).schema) if found else StructType()
+    fields = {f.name: f.dataType for f in known.fields}
+    for field in new.fields:
+        wide = widest(fields.setdefault(field.name, field.dataType), field.dataType)
+        if wide is None:
+            raise TypeError(f"{field.name} is stored as {fields[field.name].simpleString()}, not {field.dataType.simpleString()}")
+        fields[field.name] = wide
+    return StructType([StructField(name, kind, True) for name, kind in fields.items()])
+
+
+def _typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The frame's own columns, in the table's types."""
+    wanted = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[
+        F.col(f.name) if f.dataType == wanted[f.name] else F.col(f.name).cast(wanted[f.name]).alias(f.name)
+        for f in df.schema.fields])
+
+
+def _save(
+    df: DataFrame, path: str, layout: str, schema: StructType, gone: Sequence[str] = (), time: str = "", symbol: str = "",
+    note: dict | None = None, spent: tuple[str, ...] = (),
+) -> None:
+    """The frame's rows take the place of the files ``gone``, in one step; an empty frame replaces nothing but those."""
     spark = df.sparkSession
-    writer = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
-    known = stored_schema(spark, path)
-    if known is None and table_exists(spark, path, ""):
-        known = stored_rows(spark, path).schema
-    fields = {f.name: f for f in known.fields} if known else {}
-    for field in df.schema.fields:
-        fields.setdefault(field.name, field)
-        if fields[field.name].dataType != field.dataType:
-            raise TypeError(f"{field.name} is stored as {fields[field.name].dataType.simpleString()}")
-    whole = StructType([StructField(f.name, f.dataType, True) for f in fields.values()])
-    if whole != known:
-        keep_schema(spark, path, whole)
-    writer.partitionBy(*LAYOUTS[layout]).parquet(path)
+    folder = write_aside(_typed(df, schema), path, LAYOUTS[layout])
+    moves = [(folder, "")]
+    if layout in ("year", "month") and symbol and names_in(spark, folder):
+        moves.append((_write_spans(spark, path, folder, layout, schema, time, symbol), f"{SPANS}/{uuid.uuid4().hex}"))
+    known = {"layout": layout, **({"time": time, "symbol": symbol} if len(moves) > 1 else {})}
+    notes = {SCHEMA: schema.jsonValue(), TABLE: {**table_note(spark, path), **known, **(note or {})}}
+    commit(spark, path, moves, list(gone), notes, spent)
+
+
+def _write_spans(spark: SparkSession, path: str, folder: str, layout: str, schema: StructType, time: str, symbol: str) -> str:
+    """First and last time and number of rows of every symbol in every new file, from two of its columns."""
+    keys, ends = span_columns(symbol, time, len(LAYOUTS[layout]) + 1)
+    spans = spark.read.schema(schema).parquet(folder).groupBy(*keys).agg(*ends)
+    out = aside(path)
+    spans.coalesce(1).write.parquet(out)
+    return out
 
 
 def write_series(
@@ -88,25 +126,34 @@ def write_series(
 ) -> None:
     """Write bars; ``overwrite`` replaces the rows of each (year or month, symbol) the frame
     has and leaves the other symbols of those periods."""
-    df = days_as_dates(df)
-    _check_layout(df.sparkSession, root, table, layout)
-    if mode == "overwrite" and table_exists(df.sparkSession, root, table):
+    spark, path = df.sparkSession, table_path(root, table)
+    df = times_as_such(df)
+    _check_layout(spark, root, table, layout)
+    found = table_exists(spark, root, table)
+    if mode == "overwrite" and found:
         _exchange(df, root, table, layout, time, symbol)
         return
+    _fold(spark, root, table)
     parted = with_partitions(df, layout, time)
-    spread = _spread(parted, [*LAYOUTS[layout], symbol, time], partitions)
-    _save(spread, table_path(root, table), layout, mode)
+    schema = _whole_schema(spark, path, parted.schema, found)
+    _save(_spread(parted, [*LAYOUTS[layout], symbol, time], partitions), path, layout, schema, (), time, symbol)
 
 
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
-    """Write or replace a single table. An empty frame replaces nothing."""
-    _check_layout(df.sparkSession, root, table, "single")
-    _save(with_partitions(df, "single"), table_path(root, table), "single", mode)
-
-
-def _touched(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
-    """The partitions a frame has: one entry per year or month, however many rows."""
-    return [tuple(r) for r in df.select(*columns).distinct().collect()]
+    """Write a single table. ``overwrite`` replaces it as a whole, columns and types included; an empty
+    frame replaces nothing."""
+    spark, path = df.sparkSession, table_path(root, table)
+    _check_layout(spark, root, table, "single")
+    parted = with_partitions(df, "single")
+    found = table_exists(spark, root, table)
+    if mode == "overwrite":
+        if found and parted.isEmpty():
+            return
+        schema = _whole_schema(spark, path, parted.schema, False)
+        _save(parted, path, "single", schema, live_files(spark, path), spent=_below(spark, path))
+    else:
+        _fold(spark, root, table)
+        _save(parted, path, "single", _whole_schema(spark, path, parted.schema, found))
 
 
 def _in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[tuple]) -> DataFrame:
@@ -117,11 +164,54 @@ def _in_partitions(df: DataFrame, columns: Sequence[str], values: Sequence[tuple
     return df.where(reduce(lambda a, b: a | b, map(one, values), F.lit(False)))
 
 
+def _touched(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The partitions a frame has: one entry per year, month or bucket, however many rows."""
+    return [tuple(r) for r in df.select(*columns).distinct().collect()]
+
+
+def _within(batch: DataFrame, columns: Sequence[str]) -> Column:
+    """Where each of the columns lies within the batch's least and greatest, so that statistics skip files and row groups."""
+    ends = batch.agg(*[x for c in columns for x in (
+        F.min(c).alias(f"{c}_least"), F.max(c).alias(f"{c}_most"), F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))]).first()
+    tests = []
+    for c in columns:
+        kind = batch.schema[c].dataType
+        test = F.col(c).between(F.lit(ends[f"{c}_least"]).cast(kind), F.lit(ends[f"{c}_most"]).cast(kind))
+        tests.append(test | F.col(c).isNull() if ends[f"{c}_nulls"] else test)
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def files_holding(base: DataFrame, batch: DataFrame, columns: Sequence[str]) -> list[str]:
+    """URIs of the base's files that have a row equal to one of the batch in the columns (null equals null).
+
+    Only these columns are read, of the files that statistics leave; the names of the files found come to the
+    driver, which has listed them all to plan the scan.
+    """
+    found = base.where(_within(batch, columns)).select(*columns, F.col("_metadata.file_path").alias("_file")).alias("base")
+    wanted = batch.select(*columns).distinct().alias("found")
+    return [r[0] for r in found.join(wanted, same_key(columns, True), "left_semi").select("_file").distinct().collect()]
+
+
+def _small(spark: SparkSession, uris: Sequence[str]) -> bool:
+    """Whether these are a few files of few bytes."""
+    if len(uris) > 4 * BUCKETS:
+        return False
+    places = [of_uri(spark, u) for u in uris]
+    conf = spark._jsc.hadoopConfiguration()
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in places) <= SMALL_BYTES
+
+
+def _files(spark: SparkSession, path: str, uris: Sequence[str], schema: StructType) -> DataFrame:
+    """The rows of some files of the table."""
+    paths = [of_uri(spark, u).toString() for u in uris]
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
 def _combine(
-    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine, copied: bool = False,
-    keys: Sequence[str] = (),
+    df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine: Combine, touch: Sequence[str],
+    copied: bool = False, keys: Sequence[str] = (), spent: tuple[str, ...] = (),
 ) -> None:
-    """Rewrite the partitions ``df`` touches with ``combine(existing rows, df)``.
+    """Rewrite the files that hold a row equal to one of ``df`` in the columns ``touch``, with ``combine(their rows, df)``.
 
     The batch is used several times, so it is computed once, into the shared folder, unless
     it is ``copied`` already. Read back it also has a known size, by which Catalyst decides
@@ -129,26 +219,37 @@ def _combine(
     """
     spark, path, columns = df.sparkSession, table_path(root, table), LAYOUTS[layout]
     _check_layout(spark, root, table, layout)
-    parted = with_partitions(df, layout, time, keys)
-    found = table_exists(spark, root, table)
-    copy = None
+    if not spent:
+        _fold(spark, root, table)
+    buckets = table_note(spark, path).get("buckets", BUCKETS)
+    parted = with_partitions(df, layout, time, keys, buckets)
+    found = bool(names_in(spark, path))
+    schema = _whole_schema(spark, path, parted.schema, found)
+    for key in keys if layout == "bucket" and found else ():
+        if schema[key].dataType != parted.schema[key].dataType or stored_base(spark, path).schema[key].dataType != schema[key].dataType:
+            raise TypeError(f"{key} is stored as {stored_base(spark, path).schema[key].dataType.simpleString()}")  # another hash
+    parted = _typed(parted, schema)
+    copy = scratch_path(spark, "batch")
     try:
-        if found and not copied:
-            copy = scratch_path(spark, "batch")
+        if not copied:
             parted.write.parquet(copy)
             parted = spark.read.schema(parted.schema).parquet(copy)
-        existing = stored_rows(spark, path) if found else parted.limit(0)
-        for key in keys if layout == "bucket" else ():
-            if existing.schema[key].dataType != parted.schema[key].dataType:  # it would hash to another bucket
-                raise TypeError(f"{key} is stored as {existing.schema[key].dataType.simpleString()}")
-        if found and layout != "single":
-            existing = _in_partitions(existing, columns, _touched(parted, columns))
+        gone: list[str] = []
+        if found:
+            base = _in_partitions(stored_base(spark, path, schema), columns, _touched(parted, columns))
+            gone = files_holding(base, parted, touch)
+        existing = _files(spark, path, gone, schema) if gone else spark.createDataFrame([], schema)
         merged = combine(existing, parted)
-        if layout != "single":
-            merged = _spread(merged, [*columns, *(keys if layout == "bucket" else (symbol, time))], None)
-        _save(merged, path, layout, "overwrite")
+        sort = [*columns, *(keys if layout == "bucket" or not (symbol and time) else (symbol, time))]
+        if _small(spark, gone + list(parted.inputFiles())):
+            # Few enough bytes for a file a partition, without a sampling pass over both sides.
+            merged = merged.repartition(*columns).sortWithinPartitions(*sort)
+        elif layout != "single":
+            merged = _spread(merged, sort, None)
+        note = {"buckets": buckets} if layout == "bucket" else None
+        _save(merged, path, layout, schema, gone, time, symbol, note, spent)
     finally:
-        if copy:
+        if not copied:
             delete_path(spark, copy)
 
 
@@ -161,7 +262,7 @@ def _exchange(
     def exchange(old: DataFrame, new: DataFrame) -> DataFrame:
         return without_keys(old, new.select(*pair).distinct(), pair).unionByName(new, allowMissingColumns=True)
 
-    _combine(df, root, table, layout, time, symbol, exchange, copied)
+    _combine(df, root, table, layout, time, symbol, exchange, pair, copied)
 
 
 def upsert(
@@ -179,21 +280,99 @@ def upsert(
     """Keyed write: the batch replaces existing rows of its keys, its last row per key wins.
 
     With ``newest_wins`` the row with the greater ``order`` stays, whichever side it is on.
+    Only the files that hold a key of the batch are read as a whole and rewritten; a batch of new keys adds files.
     In a table partitioned by time the key has to hold the time column, so that a key cannot
-    move to another partition; only touched partitions are read and rewritten. Layout
-    ``bucket`` is for keys without a time: rows are partitioned by a hash of the key, always
-    the same one, and a batch rewrites the buckets of its keys.
+    move to another partition. Layout ``bucket`` is for keys without a time: rows are partitioned by a hash of the key, always
+    the same one, so that few files are looked at.
     """
-    if layout in ("year", "month") and time not in keys:
-        raise ValueError(f"the key of a table partitioned by {time} has to hold {time}")
+    _check_key(keys, layout, time)
     merge = merge_by_version if newest_wins else merge_by_key
+    time, symbol = (c if c in df.columns else "" for c in (time, symbol))
 
     def combine(old: DataFrame, new: DataFrame) -> DataFrame:
         return merge(old, new, keys, order)
 
-    # merging by version into a single table uses the batch only once
-    once = newest_wins and layout == "single"
-    _combine(df, root, table, layout, time, symbol, combine, copied or once, keys)
+    _combine(df, root, table, layout, time, symbol, combine, keys, copied, keys)
+
+
+def _check_key(keys: Sequence[str], layout: str, time: str) -> None:
+    if layout in ("year", "month") and time not in keys:
+        raise ValueError(f"the key of a table partitioned by {time} has to hold {time}")
+
+
+def append_versions(
+    df: DataFrame, root: str, table: str, keys: Sequence[str], order: Sequence[str], name: str, layout: str = "single",
+    time: str = "date", symbol: str = "symbol",
+) -> None:
+    """Add the batch's rows as versions of their keys: reads return the one with the greatest ``order``.
+
+    Nothing stored is read or rewritten, so a batch costs its own bytes; ``compact`` folds versions in. A batch of
+    the same ``name`` takes the place of the one before, so that one that is run again has no second effect.
+    """
+    spark, path = df.sparkSession, table_path(root, table)
+    _check_key(keys, layout, time)
+    _check_layout(spark, root, table, layout)
+    note = table_note(spark, path)
+    wanted = {"layout": layout, "keys": list(keys), "order": list(order), "time": time, "symbol": symbol, "buckets": note.get("buckets", BUCKETS)}
+    if "keys" in note and appended_versions(spark, path) and (note["keys"], note["order"]) != (wanted["keys"], wanted["order"]):
+        raise ValueError(f"{table} has versions by {note['keys']} and {note['order']}")
+    parted = with_partitions(times_as_such(df), layout, time, keys, wanted["buckets"])
+    schema = _whole_schema(spark, path, parted.schema, stored_schema(spark, path) is not None or bool(names_in(spark, path)))
+    folder = write_aside(_typed(parted, schema), path)
+    if not names_in(spark, folder):
+        delete_path(spark, folder)
+        return
+    gone = live_files(spark, f"{path}/{APPENDED}/{name}")
+    commit(spark, path, [(folder, f"{APPENDED}/{name}")], gone, {SCHEMA: schema.jsonValue(), TABLE: {**note, **wanted}})
+
+
+def _below(spark: SparkSession, path: str) -> tuple[str, ...]:
+    return tuple(v.removeprefix(f"{path}/") for v in appended_versions(spark, path))
+
+
+def _fold(spark: SparkSession, root: str, table: str) -> None:
+    """Writes other than of versions find none of them left."""
+    if appended_versions(spark, table_path(root, table)):
+        compact(spark, root, table)
+
+
+def compact(spark: SparkSession, root: str, table: str) -> None:
+    """Fold appended versions into the files of their keys, or merge the small files of partitions that have many."""
+    path = table_path(root, table)
+    finish(spark, path)
+    versions = appended_versions(spark, path)
+    note = table_note(spark, path)
+    if versions:
+        schema = stored_schema(spark, path)
+        rows = spark.read.schema(schema).parquet(*versions).drop(*LAYOUTS[note["layout"]])
+        keys, order = note["keys"], note["order"]
+        time, symbol = (c if c in rows.columns else "" for c in (note["time"], note["symbol"]))
+        _combine(
+            rows, root, table, note["layout"], time, symbol, lambda old, new: merge_by_version(old, new, keys, order), keys,
+            keys=keys, spent=_below(spark, path))
+    else:
+        _merge_small(spark, root, table)
+
+
+def _merge_small(spark: SparkSession, root: str, table: str) -> None:
+    path, layout = table_path(root, table), stored_layout(spark, root, table)
+    if layout is None:
+        return
+    columns = LAYOUTS[layout]
+    base = stored_base(spark, path)
+    small = base.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")).where(
+        F.col("_size") < SMALL_BYTES // 2).distinct()
+    many = small.groupBy(*columns).agg(F.collect_list("_file").alias("_files")).where(F.size("_files") > SMALL_FILES)
+    gone = [f for r in many.select("_files").collect() for f in r[0]]  # names of files, as the scan's plan has them
+    if not gone:
+        return
+    schema = stored_schema(spark, path) or base.schema
+    rows = _files(spark, path, gone, schema)
+    time, symbol = date_column(rows) or "", symbol_column(rows) or ""
+    dated = layout in ("year", "month")
+    sort = [*columns, *([symbol, time] if dated and symbol else [])]
+    merged = _spread(rows, sort, None) if layout != "single" else rows.coalesce(max(1, len(gone) // SMALL_FILES))
+    _save(merged, path, layout, schema, gone, time, symbol if dated else "")
 
 
 def write(
@@ -218,7 +397,7 @@ def write(
         raise ValueError("a table in buckets of a key takes keyed appends only")
     layout = layout if time or layout == "bucket" else "single"
     dated, columns = layout in ("year", "month"), LAYOUTS[layout]
-    df = days_as_dates(df) if dated else df
+    df = times_as_such(df) if dated else df
     symbol = symbol_column(df)
     if if_exists == "append" and keys:
         if not order:

@@ -2,18 +2,17 @@
 
 Each payload is one row of text with the symbol it was asked for. Everything is parsed by
 built-in functions, so that it stays in generated code; a record that cannot be read is
-left out and the others of its payload stay.
+left out and the others of its payload stay. What was left out, and why, is a second output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import prefixed_code, without_dashes
+from ..functions.scalars import prefixed_code, to_day, to_moment, without_dashes
 from ..operators.columns import select_existing, split_code
 from ..schemas import DELIVERED, LOCALIZED_HEADER
 
@@ -30,83 +29,144 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
-def _all(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests)
+# -- records with the reason why they cannot be read ------------------------------
+#
+# ``examine_*`` returns every record of every payload: its columns, the record as it came, and ``reason``, null where
+# it can be read. Rows in are rows out and rows set aside; ``readable`` and ``rejected`` are the two sides.
 
+def readable(examined: DataFrame) -> DataFrame:
+    return examined.where(F.col("reason").isNull()).drop("record", "reason")
 
-def parse_bar_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """``date,open,close,high,low,volume,amount[,amplitude,pct_chg,change,turnover]``.
 
-    Fewer than seven fields or a field that is no number: the line is left out. The last
-    three may be missing, and are null then.
-    """
+def rejected(examined: DataFrame) -> DataFrame:
+    """(symbol, record, reason) of what cannot be read."""
+    return examined.where(F.col("reason").isNotNull()).select("symbol", "record", "reason")
+
+
+def _first_reason(*tests: tuple[Column, str]) -> Column:
+    return F.coalesce(*[F.when(test, reason) for test, reason in tests])
+
+
+def _no_numbers(*names: str) -> list[tuple[Column, str]]:
+    return [(F.col(n).isNull(), f"{n} is no number") for n in names]
+
+
+def _records(df: DataFrame, items: Column, payload: str, keep: Sequence[str] = ()) -> DataFrame:
+    """A row an item, as the VARIANT ``_i``; one without an item for a payload that has no list of items."""
+    listed = F.coalesce(items, F.array(F.lit(None).cast("variant")))
+    rows = df.select("symbol", *keep, F.col(payload).alias("_payload"), F.explode(listed).alias("_i"))
+    return rows.withColumn("record", F.coalesce(F.to_json("_i"), "_payload"))
+
+
+def _parsed(text: Column) -> Column:
+    return F.try_parse_json(text)
+
+
+def _part(value: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(value, path, kind)
+
+
+NO_LIST = "no JSON with a list of records"
+
+
+def examine_bar_lines(df: DataFrame, line: str = "line") -> DataFrame:
+    """``date,open,close,high,low,volume,amount[,amplitude,pct_chg,change,turnover]``: seven fields at least, all
+    numbers but the first; the last three may be missing, and are null then."""
     # exploding the one list keeps its split from being repeated in every test of a field
-    parts = F.filter(F.array(F.split(F.col(line), ",")), lambda p: F.size(p) >= 7)
-    rows = df.select("symbol", F.explode(parts).alias("_p"))
+    rows = df.select("symbol", F.col(line).alias("record"), F.explode(F.array(F.split(F.col(line), ","))).alias("_p"))
     numbers = {name: _number(F.get("_p", i + 1)) for i, name in enumerate(BAR_FIELDS)}
     optional = {name: F.get("_p", i) for i, name in ((8, "pct_chg"), (9, "change"), (10, "turnover_rate"))}
-    readable = [F.col(n).isNotNull() for n in numbers]
-    readable += [text.isNull() | F.col(n).isNotNull() for n, text in optional.items()]
     rows = rows.withColumns(numbers | {n: _number(text) for n, text in optional.items()})
-    rows = rows.where(_all(readable)).withColumn("date", without_dashes(F.get("_p", 0)))
+    short = F.coalesce(F.size("_p"), F.lit(0)) < 7
+    reason = _first_reason(
+        (short, "fewer than seven fields"), *_no_numbers(*numbers),
+        *[(text.isNotNull() & F.col(n).isNull(), f"{n} is no number") for n, text in optional.items()])
     return rows.select(
-        "symbol", "date", "open", "high", "low", "close", "volume", "amount",
-        "pct_chg", "change", "turnover_rate",
+        "symbol", without_dashes(F.get("_p", 0)).alias("date"), "open", "high", "low", "close", "volume", "amount",
+        "pct_chg", "change", "turnover_rate", "record", reason.alias("reason"),
     )
 
 
-def parse_json_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """A JSON array of objects day, open, high, low, close, volume; numbers may be text.
+def parse_bar_lines(df: DataFrame, line: str = "line") -> DataFrame:
+    """The bars of the lines that can be read, see ``examine_bar_lines``."""
+    return readable(examine_bar_lines(df, line))
 
-    A missing number is 0, an unreadable or null one drops the object.
-    """
-    items = F.from_json(F.col(payload), "array<map<string,string>>")
-    rows = df.select("symbol", F.explode(items).alias("_m")).where(F.col("_m").isNotNull())
+
+def examine_json_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """A JSON array of objects day, open, high, low, close, volume; numbers may be text. A missing number is 0, an
+    unreadable or null one makes the object unreadable."""
+    rows = _records(df, _part(_parsed(F.col(payload)), "$", "array<variant>"), payload)
+    names = ("open", "high", "low", "close", "volume")
 
     def number(name: str) -> Column:
-        given = F.map_contains_key("_m", name)
-        return F.when(given, _number(F.try_element_at("_m", F.lit(name)))).otherwise(F.lit(0.0))
+        missing = _part(F.col("_i"), f"$.{name}", "variant").isNull()
+        return F.when(missing, F.lit(0.0)).otherwise(_number(_part(F.col("_i"), f"$.{name}", "string")))
 
-    names = ("open", "high", "low", "close", "volume")
-    day = F.coalesce(F.try_element_at("_m", F.lit("day")), F.lit(""))
-    rows = rows.select("symbol", without_dashes(day).alias("date"), *[number(n).alias(n) for n in names])
-    return rows.dropna(subset=list(names))
+    day = F.coalesce(_part(F.col("_i"), "$.day", "string"), F.lit(""))
+    rows = rows.withColumns({"date": without_dashes(day)} | {n: number(n) for n in names})
+    reason = _first_reason(
+        (F.col("_i").isNull(), NO_LIST), (~F.schema_of_variant("_i").startswith("OBJECT"), "no object"), *_no_numbers(*names))
+    return rows.select("symbol", "date", *names, "record", reason.alias("reason"))
 
 
-def parse_nested_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """``data.<market code>.qfqday``, an array of arrays date, open, close, high, low, volume.
+def parse_json_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The bars of the objects that can be read, see ``examine_json_bars``."""
+    return readable(examine_json_bars(df, payload))
 
-    Where ``data`` is a list there are no rows; an entry too short or unreadable is left out.
-    """
-    shape = "data map<string,struct<qfqday:array<array<string>>>>"
-    data = F.from_json(F.col(payload), shape)["data"]
-    entry = F.try_element_at(data, prefixed_code("symbol"))
-    rows = df.select("symbol", F.explode(entry["qfqday"]).alias("_p"))
+
+def _of_market(df: DataFrame, text: Column, path: str) -> Column:
+    """``data.<market code>.<path>``, a list. Where ``data`` is a list itself, or lacks the code, there are no records."""
+    whole = _parsed(text)
+    data = _part(whole, "$.data", "map<string,variant>")
+    entry = _part(F.try_element_at(data, prefixed_code("symbol")), path, "array<variant>")
+    return F.when(whole.isNotNull(), F.coalesce(entry, F.array().cast("array<variant>")))
+
+
+def examine_nested_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """``data.<market code>.qfqday``, an array of arrays date, open, close, high, low, volume."""
+    rows = _records(df, _of_market(df, F.col(payload), "$.qfqday"), payload)
     names = ("open", "close", "high", "low", "volume")
-    rows = rows.where(F.size("_p") >= 6).select(
-        "symbol", F.get("_p", 0).alias("date"),
-        *[_number(F.get("_p", i + 1)).alias(n) for i, n in enumerate(names)],
-    )
-    return rows.dropna(subset=list(names)).select("symbol", "date", "open", "high", "low", "close", "volume")
+    rows = rows.withColumn("_p", _part(F.col("_i"), "$", "array<string>"))
+    rows = rows.withColumns({"date": F.get("_p", 0)} | {n: _number(F.get("_p", i + 1)) for i, n in enumerate(names)})
+    short = F.coalesce(F.size("_p"), F.lit(0)) < 6
+    reason = _first_reason((F.col("_i").isNull(), NO_LIST), (short, "fewer than six fields"), *_no_numbers(*names))
+    return rows.select("symbol", "date", "open", "high", "low", "close", "volume", "record", reason.alias("reason"))
+
+
+def parse_nested_bars(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The bars of the entries that can be read, see ``examine_nested_bars``."""
+    return readable(examine_nested_bars(df, payload))
 
 
-def parse_minute_tokens(df: DataFrame, payload: str = "payload") -> DataFrame:
+def examine_minute_tokens(df: DataFrame, payload: str = "payload", day: str | None = None) -> DataFrame:
     """``name={json}`` with ``data.<market code>.data.data``, an array of blank-separated
-    tokens time, price, volume[, amount]."""
+    tokens time, price, volume[, amount].
+
+    With ``day``, the column of the payload's day, the time becomes ``kline_time`` and rows can be stored; without it ``time``
+    is ``HHMM`` as it came.
+    """
     text = F.regexp_replace(F.col(payload), r"^[^=]*=", "")
-    shape = "data map<string,struct<data:struct<data:array<string>>>>"
-    data = F.from_json(text, shape)["data"]
-    entry = F.try_element_at(data, prefixed_code("symbol"))
-    rows = df.select("symbol", F.explode(entry["data"]["data"]).alias("_t"))
-    rows = rows.withColumn("_p", F.split(F.trim("_t"), r"\s+")).where(F.size("_p") >= 3)
+    rows = _records(df, _of_market(df, text, "$.data.data"), payload, [day] if day else [])
+    rows = rows.withColumn("_p", F.split(F.trim(_part(F.col("_i"), "$", "string")), r"\s+"))
     amount = F.get("_p", 3)
-    return rows.select(
-        F.get("_p", 0).alias("time"),
-        _number(F.get("_p", 1)).alias("price"),
-        _number(F.get("_p", 2)).alias("volume"),
-        F.when(amount.isNull(), 0.0).otherwise(_number(amount)).alias("amount"),
-        "symbol",
-    ).dropna(subset=["price", "volume", "amount"])
+    rows = rows.withColumns({
+        "time": F.get("_p", 0), "price": _number(F.get("_p", 1)), "volume": _number(F.get("_p", 2)),
+        "amount": F.when(amount.isNull(), 0.0).otherwise(_number(amount)),
+    })
+    tests = [
+        (F.col("_i").isNull(), NO_LIST), (F.coalesce(F.size("_p"), F.lit(0)) < 3, "fewer than three fields"),
+        *_no_numbers("price", "volume", "amount")]
+    shown = ["time"]
+    if day:
+        rows = rows.withColumn("kline_time", to_moment(F.concat(F.date_format(to_day(day), "yyyyMMdd"), F.lpad("time", 4, "0"))))
+        tests.append((F.col("kline_time").isNull(), "time is no time of a day"))
+        shown = ["kline_time"]
+    return rows.select(*shown, "price", "volume", "amount", "symbol", "record", _first_reason(*tests).alias("reason"))
+
+
+def parse_minute_tokens(df: DataFrame, payload: str = "payload", day: str | None = None) -> DataFrame:
+    """The ticks of the tokens that can be read, see ``examine_minute_tokens``."""
+    return readable(examine_minute_tokens(df, payload, day))
 
 
 def parse_spot_list(df: DataFrame, payload: str = "payload") -> DataFrame:
