@@ -62,9 +62,37 @@ def _cells(
                 F.lit(tolerance.get(f, DEFAULT_TOLERANCE)).alias("threshold"),
             ))
     aligned = align(sources, fields, key, date)
-    exploded = aligned.select(key, date, F.inline(F.array(*cells)))
+    return _comparable(aligned.select(key, date, F.inline(F.array(*cells))))
+
+
+def _comparable(cells: DataFrame) -> DataFrame:
     comparable = F.col("a").isNotNull() & F.col("b").isNotNull() & ~((F.col("a") == 0) & (F.col("b") == 0))
-    return exploded.where(comparable).withColumn("rel", relative_difference("a", "b"))
+    return cells.where(comparable).withColumn("rel", relative_difference("a", "b"))
+
+
+def _cells_in_place(
+    sources: Sequence[tuple[str, DataFrame]],
+    fields: Sequence[str],
+    tolerance: dict[str, float],
+    key: str,
+    date: str,
+) -> DataFrame:
+    """The same of sources stored in the same buckets of (key, date): pairs are joined bucket by bucket, and
+    what is compared is what both sides have, so that no row is shuffled."""
+    found = []
+    for (name1, one), (name2, two) in combinations(sources, 2):
+        sides = []
+        for df in (one, two):
+            values = [
+                null_if_nan(F.col(f).cast("double")).alias(f) if f in df.columns else F.lit(None).cast("double").alias(f)
+                for f in fields]
+            sides.append(df.select(key, date, *values))
+        joined = sides[0].alias("a").join(sides[1].alias("b"), [key, date])
+        cells = [F.struct(
+            F.lit(f).alias("field"), F.lit(name1).alias("src1"), F.lit(name2).alias("src2"), F.col(f"a.{f}").alias("a"),
+            F.col(f"b.{f}").alias("b"), F.lit(tolerance.get(f, DEFAULT_TOLERANCE)).alias("threshold")) for f in fields]
+        found.append(_comparable(joined.select(key, date, F.inline(F.array(*cells)))))
+    return reduce(DataFrame.unionByName, found)
 
 
 def source_differences(
@@ -74,13 +102,15 @@ def source_differences(
     key: str = "symbol",
     date: str = "date",
     main_only: bool = True,
+    in_place: bool = False,
 ) -> DataFrame:
-    """Differences above tolerance between every two sources, for all keys at once.
+    """Differences above tolerance between every two sources, for all keys at once. ``in_place`` is for sources stored in
+    the same buckets of (key, date), see ``sinks.bucketed``; the rows are the same.
 
     With ``main_only`` a key the first source does not have at all gives nothing, not even
     differences between the others.
     """
-    cells = _cells(sources, fields, tolerance or TOLERANCE, key, date)
+    cells = (_cells_in_place if in_place else _cells)(sources, fields, tolerance or TOLERANCE, key, date)
     found = cells.where(F.col("rel") > F.col("threshold"))
     if main_only and len(sources) > 2:
         # only differences meet the key list here, not the bars

@@ -548,6 +548,15 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
         SELECT DISTINCT symbol FROM bars_daily WHERE symbol NOT IN (SELECT symbol FROM source_c)""",
         "bars_daily", "source_c"),
     "c1_source_diffs": ("SELECT * FROM diffs", "diffs"),
+    "c1_diffs_in_buckets": ("SELECT * FROM diffs", "diffs"),
+    "v3_keep_last_in_buckets": (f"SELECT {_BAR} FROM source_b", "source_b"),
+    "a13_estimated_distinct": ("""
+        SELECT 'funds' AS name, count(DISTINCT fund_code) AS exact, true AS close FROM holdings
+        UNION ALL SELECT 'stocks', count(DISTINCT symbol), true FROM holdings
+        UNION ALL SELECT 'positions', count(DISTINCT fund_code || '|' || symbol), true FROM holdings""", "holdings"),
+    "a4_estimated_duplicates": ("""
+        SELECT (SELECT 2 * count(*) FROM bars_daily) + (SELECT count(*) FROM source_b) AS rows,
+               true AS symbols_close, true AS days_close""", "bars_daily", "source_b"),
     "c2_run_task": ("""
         SELECT symbol, CAST(p[1] AS DATE) AS date, try_cast(p[2] AS DOUBLE) AS open,
                try_cast(p[4] AS DOUBLE) AS high, try_cast(p[5] AS DOUBLE) AS low,

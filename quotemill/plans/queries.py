@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fx
 from ..operators import (
-    calendar, columns, compare, fallback, holdings, keyed, quality, series, validate,
+    calendar, columns, compare, fallback, holdings, keyed, quality, series, sketches, validate,
 )
 from ..session import scratch_path
-from ..sinks import database, store as sink
+from ..sinks import bucketed, database, sketches as sketched, store as sink
 from ..sources import payloads, store
 from ..sources.commits import live_files, write_note
 from ..streaming.incremental import upsert_stream
@@ -833,6 +833,32 @@ def a13_headline(t: Tables) -> DataFrame:
     return holdings.headline(_latest(t))
 
 
+@query
+def a13_estimated_distinct(t: Tables) -> DataFrame:
+    """Distinct funds, stocks and pairs of all periods from a sketch a period, and whether they are within four percent."""
+    held = t.holdings()
+    columns = {"funds": "fund_code", "stocks": "symbol", "positions": F.concat_ws("|", "fund_code", "symbol")}
+    found = sketches.error_against_exact(held, sketches.distinct_sketches(held, columns, ["date"]), columns)
+    return found.select("name", "exact", (F.col("error") <= 0.04).alias("close"))
+
+
+@query
+def a4_estimated_duplicates(t: Tables) -> DataFrame:
+    """Rows of a stored table, and its distinct symbols and days, from sketches renewed after a second write."""
+    root = _scratch(t, "sketches")
+    sink.write_series(_two_years(t), root, "etf_daily", "year", time="date")
+    columns = ["symbol", "date"]
+    first = sketched.refresh_sketches(t.spark, root, "etf_daily", columns)
+    sink.upsert(t.source_b().withColumn("date", F.add_months("date", 12)), root, "etf_daily", ["symbol", "date"], ["close"], "year")
+    second = sketched.refresh_sketches(t.spark, root, "etf_daily", columns)
+    if (first, second) != (2, 1):
+        raise RuntimeError(f"{first} and {second} partitions were read")
+    found = sketched.stored_distinct(t.spark, root, "etf_daily", columns)
+    exact = store.read_series(t.spark, root, "etf_daily").agg(F.count_distinct("symbol").alias("s"), F.count_distinct("date").alias("d")).first()
+    near = [F.abs(F.col(c) - F.lit(n)) <= F.lit(0.04 * n) for c, n in (("symbol", exact["s"]), ("date", exact["d"]))]
+    return found.select("rows", near[0].alias("symbols_close"), near[1].alias("days_close"))
+
+
 @query
 def a14_overlap(t: Tables) -> DataFrame:
     return holdings.overlap(_latest(t))
@@ -1010,6 +1036,27 @@ def c1_source_diffs(t: Tables) -> DataFrame:
     return _differences(t)
 
 
+def _in_buckets(t: Tables) -> list[tuple[str, DataFrame]]:
+    """The three sources as stored in the same buckets of (symbol, date)."""
+    def write(root: str) -> None:
+        for name, df in _three(t):
+            bucketed.write_bucketed(df, root, name, buckets=8)
+
+    root = _stored(t, "buckets", write)
+    return [(name, bucketed.read_bucketed(t.spark, root, name)) for name in "ABC"]
+
+
+@query
+def c1_diffs_in_buckets(t: Tables) -> DataFrame:
+    return compare.source_differences(_in_buckets(t), in_place=True)
+
+
+@query
+def v3_keep_last_in_buckets(t: Tables) -> DataFrame:
+    """The row of each (symbol, date) with the greatest volume, of source B in its buckets."""
+    return keyed.keep_last(_in_buckets(t)[1][1], ["symbol", "date"], ["volume"])
+
+
 @query
 def c2_run_task(t: Tables) -> DataFrame:
     root = _scratch(t, "task")

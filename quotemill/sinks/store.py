@@ -169,25 +169,28 @@ def _touched(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in df.select(*columns).distinct().collect()]
 
 
-def _within(batch: DataFrame, columns: Sequence[str]) -> Column:
-    """Where each of the columns lies within the batch's least and greatest, so that statistics skip files and row groups."""
-    ends = batch.agg(*[x for c in columns for x in (
-        F.min(c).alias(f"{c}_least"), F.max(c).alias(f"{c}_most"), F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))]).first()
-    tests = []
-    for c in columns:
+def _where_found(base: DataFrame, batch: DataFrame, partitions: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The base's rows in the partitions of the batch, and of each column within the batch's least and greatest, so that
+    statistics skip files and row groups. One aggregate over the batch: a row a partition."""
+    ends = batch.groupBy(*partitions).agg(*[x for i, c in enumerate(columns) for x in (
+        F.min(c).alias(f"_least{i}"), F.max(c).alias(f"_most{i}"), F.max(F.col(c).isNull()).alias(f"_null{i}"))]).collect()
+    rows = _in_partitions(base, partitions, [tuple(r)[:len(partitions)] for r in ends])
+    for i, c in enumerate(columns):
         kind = batch.schema[c].dataType
-        test = F.col(c).between(F.lit(ends[f"{c}_least"]).cast(kind), F.lit(ends[f"{c}_most"]).cast(kind))
-        tests.append(test | F.col(c).isNull() if ends[f"{c}_nulls"] else test)
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+        least = [r[f"_least{i}"] for r in ends if r[f"_least{i}"] is not None]
+        most = [r[f"_most{i}"] for r in ends if r[f"_most{i}"] is not None]
+        test = F.col(c).between(F.lit(min(least)).cast(kind), F.lit(max(most)).cast(kind)) if least else F.lit(False)
+        rows = rows.where(test | F.col(c).isNull() if any(r[f"_null{i}"] for r in ends) else test)
+    return rows
 
 
 def files_holding(base: DataFrame, batch: DataFrame, columns: Sequence[str]) -> list[str]:
     """URIs of the base's files that have a row equal to one of the batch in the columns (null equals null).
 
-    Only these columns are read, of the files that statistics leave; the names of the files found come to the
+    Only these columns are read; the names of the files found come to the
     driver, which has listed them all to plan the scan.
     """
-    found = base.where(_within(batch, columns)).select(*columns, F.col("_metadata.file_path").alias("_file")).alias("base")
+    found = base.select(*columns, F.col("_metadata.file_path").alias("_file")).alias("base")
     wanted = batch.select(*columns).distinct().alias("found")
     return [r[0] for r in found.join(wanted, same_key(columns, True), "left_semi").select("_file").distinct().collect()]
 
@@ -236,8 +239,8 @@ def _combine(
             parted = spark.read.schema(parted.schema).parquet(copy)
         gone: list[str] = []
         if found:
-            base = _in_partitions(stored_base(spark, path, schema), columns, _touched(parted, columns))
-            gone = files_holding(base, parted, touch)
+            bounded = [c for c in touch if c not in columns]
+            gone = files_holding(_where_found(stored_base(spark, path, schema), parted, columns, bounded), parted, touch)
         existing = _files(spark, path, gone, schema) if gone else spark.createDataFrame([], schema)
         merged = combine(existing, parted)
         sort = [*columns, *(keys if layout == "bucket" or not (symbol and time) else (symbol, time))]

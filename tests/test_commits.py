@@ -9,9 +9,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quotemill.functions.scalars import to_moment
-from quotemill.operators import calendar
+from quotemill.operators import calendar, compare, keyed, sketches
 from quotemill.plans import jobs
-from quotemill.sinks import store as sink
+from quotemill.sinks import bucketed, sketches as sketched, store as sink
 from quotemill.sources import commits, payloads, store
 
 DAY = dt.date(2024, 1, 1)
@@ -373,3 +373,65 @@ def test_rows_in_are_rows_out_and_rows_set_aside(spark):
     parsed = payloads.parse_minute_tokens(tokens, day="day").collect()
     assert [r["kline_time"] for r in parsed] == [dt.datetime(2024, 1, 1, 9, 31)]
     assert payloads.examine_minute_tokens(tokens, day="day").count() == 3
+
+
+# -- buckets and sketches --------------------------------------------------------------
+
+def sources_in_buckets(spark, root):
+    bars_ = "SELECT concat('s', id % 50) AS symbol, date_add(date'2024-01-01', CAST(id DIV 50 AS INT)) AS date, id * 1.0D AS close, id % 7 AS volume FROM range(2000)"
+    one = spark.sql(bars_)
+    two = one.withColumn("close", F.when(F.col("volume") == 0, F.col("close") * 2).otherwise(F.col("close")))
+    three = one.where("volume <> 1").withColumn("close", F.col("close") + 100)
+    frames = [("A", one), ("B", two), ("C", three)]
+    for name, df in frames:
+        bucketed.write_bucketed(df, root, name, buckets=4)
+    return frames, [(name, bucketed.read_bucketed(spark, root, name)) for name, _ in frames]
+
+
+def test_sources_in_buckets_are_compared_without_a_shuffle(spark, root):
+    frames, stored = sources_in_buckets(spark, root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = compare.source_differences(stored, ("close", "volume"), main_only=False, in_place=True)
+        shown = plan(got)
+        assert shown.count("SortMergeJoin") == 3 and "Exchange" not in shown and "SelectedBucketsCount: 4 out of 4" in shown
+        want = compare.source_differences(frames, ("close", "volume"), main_only=False)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count()
+        last = keyed.keep_last(stored[0][1], ["symbol", "date"], ["close"])
+        batch = keyed.without_keys(stored[0][1], stored[2][1], ["symbol", "date"], null_safe=False)
+        assert "Exchange" not in plan(last) and "Exchange" not in plan(batch)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_table_in_buckets_is_replaced_and_named_again(spark, root):
+    bucketed.write_bucketed(bars(spark, ("a", 0, 1.0)), root, "t", buckets=2)
+    bucketed.write_bucketed(bars(spark, ("a", 0, 2.0), ("b", 1, 3.0)), root, "t", buckets=2)
+    assert len(list(Path(root, "t").glob("data-*"))) == 1
+    note = commits.read_note(spark, f"{root}/t/_bucketed")
+    spark.sql(f"DROP TABLE {bucketed._name(note)}")  # as in a new session
+    got = bucketed.read_bucketed(spark, root, "t")
+    assert sorted(r["close"] for r in got.collect()) == [2.0, 3.0] and got.dtypes[1] == ("date", "date")
+    with pytest.raises(FileNotFoundError):
+        bucketed.read_bucketed(spark, root, "u")
+
+
+def test_sketches_are_near_and_add_up(spark):
+    df = spark.range(200_000).select((F.col("id") % 30_000).alias("x"), (F.col("id") % 8).alias("part"), F.lit(None).cast("string").alias("n"))
+    columns = {"x": "x", "n": "n"}
+    parts = sketches.distinct_sketches(df, columns, ["part"])
+    found = {r["name"]: r for r in sketches.error_against_exact(df, parts, columns).collect()}
+    assert found["x"]["exact"] == 30_000 and found["x"]["error"] < 0.04 and found["n"]["estimated"] == 0
+    assert sketches.estimated_distinct(parts, ["x"]).first()["x"] == sketches.estimated_distinct(sketches.distinct_sketches(df, columns), ["x"]).first()["x"]
+    assert sketches.estimated_duplicates(parts, "x").first()["duplicates"] == pytest.approx(170_000, rel=0.01)
+
+
+def test_only_changed_partitions_are_sketched_again(spark, root):
+    sink.write_series(bars(spark, ("a", 0, 1.0), ("b", 400, 2.0)), root, "t", time="date")
+    assert [sketched.refresh_sketches(spark, root, "t", ["symbol"]) for _ in range(2)] == [2, 0]
+    sink.upsert(bars(spark, ("c", 1, 1.0)), root, "t", KEYS, ORDER, "year")
+    assert sketched.refresh_sketches(spark, root, "t", ["symbol"]) == 1
+    got = sketched.stored_distinct(spark, root, "t", ["symbol"]).first()
+    assert (got["rows"], got["symbol"]) == (3, 3)
+    assert sketched.refresh_sketches(spark, root, "t", ["symbol", "date"]) == 2
+    assert sketched.stored_distinct(spark, root, "t", ["symbol", "date"]).first()["date"] == 3
