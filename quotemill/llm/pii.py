@@ -53,7 +53,7 @@ PHONE_DIGITS = (8, 15)
 
 THRESHOLD = 0.95
 SUPPORT = 3
-FLUSHED = 100_000  # distinct terms that a task counts before it hands them on
+FLUSHED = 100_000  # distinct terms that a task counts before it drops those that are not wanted, and of wanted ones before it hands them on
 FILTER_BITS = 1 << 22
 FILTER_SHIFTS = (0, 20, 40)
 
@@ -140,6 +140,10 @@ def entity(kind: str, value: str) -> str:
 
 def shape(term: str) -> str:
     """Letters as a, digits as 9, runs as one."""
+    if term.isalpha():
+        return SHAPE + "a"
+    if term.isdigit():
+        return SHAPE + "9"
     marks = ["9" if c.isdigit() else "_" if c == "_" else "a" for c in term]
     return SHAPE + "".join(m for i, m in enumerate(marks) if i == 0 or marks[i - 1] != m)
 
@@ -231,13 +235,19 @@ def term_counts(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> Data
 
     def run(batches):
         counts: Counter = Counter()
+        limit = FLUSHED
+
+        def keep_wanted() -> None:
+            terms = list(counts)
+            for term, held in zip(terms, passed(terms, wanted).tolist()):
+                if not held:
+                    del counts[term]
 
         def handed():
-            terms, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "documents"])
             counts.clear()
-            held = passed(terms, wanted)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([t for t, yes in zip(terms, held) if yes], pa.string()), pa.array(numbers[held])], names=["term", "documents"])
+            return made
 
         for whole in batches:
             for part in slices(whole, "text"):
@@ -245,8 +255,12 @@ def term_counts(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> Data
                     if t:
                         terms = set(map(str.lower, set(_TERM.findall(blanked(t, base_spans(t))))))
                         counts.update(terms | set(map(shape, terms)))
-                if len(counts) > FLUSHED:
-                    yield handed()
+                if len(counts) > limit:
+                    keep_wanted()
+                    if len(counts) > FLUSHED:  # very many wanted ones: what they are is handed on
+                        yield handed()
+                    limit = len(counts) + FLUSHED
+        keep_wanted()
         if counts:
             yield handed()
         whole = part = None
@@ -271,8 +285,8 @@ def disclosing(held: DataFrame, docs: DataFrame, text: str, threshold: float, su
         return None
     of_entity = kept(of_entity.join(entities, "entity").select("row", "e_docs", "e0", "e1").distinct(), "pii-entity-classes")
     both = F.concat("terms.term", F.array_distinct("terms.shape"))
-    of_term = marked.select("row", F.explode(both).alias("term"))
-    # A pair of term and entity lies within the documents that hold an entity.
+    # A pair of term and entity lies within the documents that hold an entity with enough documents.
+    of_term = marked.join(of_entity.select("row").distinct(), "row", "left_semi").select("row", F.explode(both).alias("term"))
     candidates = kept(of_term.groupBy("term").agg(*_class("t0", "t1")).where(F.col("held") >= support), "pii-candidates")
     counted = term_counts(docs, term_filter(candidates.select("term")), text).join(candidates.select("term"), "term", "left_semi").groupBy("term").agg(
         F.sum("documents").alias("t_docs"))
