@@ -1,12 +1,11 @@
 """Mixing sources to target weights, by hash-random order and exact cuts.
 
-Every row gets a hash-random key. Within its source the rows in key order are one epoch of
-that source. A source's target is made of as many whole epochs as fit and of the first rows
-of one more, cut where their words reach the rest of the target exactly. The cut is found by
-prefix sums over ranges of the key: the words of 1,024 ranges a source are aggregated, the
-range that holds the cut is divided again, and so on; a source with a third of all rows is
-1,024 rows of sums at each step. Rows are then taken or left by comparing their key with the
-cut of their source, so texts are never shuffled.
+Every row gets a hash-random key. Rows are range-sorted by source and key, and distributed prefix sums
+of their words are taken: a sum within each range, and one total a range carried from range to range. Within
+its source the rows in key order are one epoch of it. A source's target is made of as many whole epochs as fit and of
+the first rows of one more, cut at the row whose prefix sum reaches the rest of the target. Only (source, key, words) is
+sorted, a row a key; a source with a third of all rows is many ranges. Texts are never shuffled: rows are
+taken or left by comparing their key with the cut of their source.
 
 Defined cases. A null text has no words. A null source is a source of its own, the last.
 Rows of one source that have the same key (the same id and number of words, hence repeated
@@ -17,16 +16,12 @@ table gives an empty result. A source without words gets the target 0.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .scratch import kept, running_sums
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY_BITS = 60
-# Low bits that are left out of a key at each step of the division: 1,024 ranges, 1,024 in the
-# one that holds the cut, and so on; the last step tells single keys apart.
-SHIFTS = (60, 50, 40, 30, 0)
 
 
 def word_count(text: Column) -> Column:
@@ -90,23 +85,21 @@ def cuts(sized: DataFrame, shares: DataFrame) -> DataFrame:
         "source",
         F.floor(budget / F.col("source_size")).alias("epochs"),
         (budget % F.col("source_size")).alias("rest"))
-    here = kept(plan.where("rest > 0").select("source", "rest", F.lit(0).cast("long").alias("high")), "mix-rest")
-    for level, (shift, next_shift) in enumerate(zip(SHIFTS, SHIFTS[1:])):
-        inside = sized.join(
-            here.select(F.col("source").alias("_source"), "rest", "high"),
-            F.col("source").eqNullSafe(F.col("_source")) & (F.shiftright("key", shift) == F.col("high")))
-        sums = inside.groupBy("source", "rest", F.shiftright("key", next_shift).alias("high")).agg(
-            F.sum("size").alias("words"))
-        upto = F.sum("words").over(W.partitionBy("source").orderBy("high"))
-        # The first range that reaches the rest; what precedes it is taken.
-        here = kept(
-            sums.withColumn("upto", upto)
-            .where("upto >= rest AND upto - words < rest")
-            .select("source", (F.col("rest") - F.col("upto") + F.col("words")).alias("rest"), "high", "words"),
-            f"mix-cut{level}")
-    found = here.select(
-        F.col("source").alias("_source"), F.col("high").alias("cut_key"),
-        F.col("rest").alias("cut_words"), F.col("words").alias("cut_size"))
+    by_source = F.col("source").asc_nulls_last()
+    keys = sized.groupBy("source", "key").agg(F.sum("size").alias("words"))
+    summed = running_sums(keys, [by_source, F.col("key")], {"upto": "words"}, "mix-sums")
+    # The words of all sources in front of each, a row a source.
+    own = sized.groupBy("source").agg(F.sum("size").alias("own"))
+    through = running_sums(own, [by_source], {"through": "own"}, "mix-through")
+    before = kept(through.select(F.col("source").alias("_source"), (F.col("through") - F.col("own")).alias("before")), "mix-before")
+    rests = kept(
+        plan.where("rest > 0").join(before, F.col("source").eqNullSafe(F.col("_source"))).select(
+            F.col("source").alias("_source"), "rest", (F.col("before") + F.col("rest")).alias("goal")), "mix-rest")
+    # The first key that reaches the rest; what precedes it is taken.
+    found = (
+        summed.join(rests, F.col("source").eqNullSafe(F.col("_source")))
+        .where("upto >= goal AND upto - words < goal")
+        .select("_source", F.col("key").alias("cut_key"), (F.col("goal") - F.col("upto") + F.col("words")).alias("cut_words"), F.col("words").alias("cut_size")))
     return plan.join(found, plan.source.eqNullSafe(found._source), "left").select(
         "source", "epochs", "cut_key", "cut_words", "cut_size")
 
