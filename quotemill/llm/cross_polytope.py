@@ -10,8 +10,8 @@ With 16 tables and 8 probes recall at 10 against brute force was 0.98 to 1.00 on
 vectors (500 to 51,282 rows, 64 dimensions, the tenth neighbour hardly nearer than the
 fiftieth). Vectors of very different length need more probes: hashing sees directions only.
 
-Defined cases. Null, zero or empty vectors, vectors with null or non-finite components or
-with a length beyond 1e150, and rows with a null id take no part. Rows that repeat id and vector count once.
+Defined cases. Null, zero or empty vectors, vectors with null or non-finite components, and rows with a null id take no part.
+Vectors of any other length do: they are scaled before they are squared. Rows that repeat id and vector count once.
 Different dimensions do not meet. Where one id has several vectors each is a candidate; as a
 query the smallest asks. Queries with fewer than k candidates in reach are completed by a
 search of all rows, so that they get k results or all there are.
@@ -30,6 +30,7 @@ from .vectors import finite, matrix, results, search_blocks
 TABLES = 16
 PROBES = 8
 SLICE = 64
+PLAIN = (1e-140, 1e140)
 
 
 def fast_hadamard(x: np.ndarray) -> np.ndarray:
@@ -72,6 +73,7 @@ def _hashed(rows: DataFrame, tables: int, probes: int, seed: int, id_name: str)
                 for begin in range(0, len(part), 512):
                     rows_ = part.iloc[begin:begin + 512]
                     x = matrix(rows_["vector"], np.float64)
+                    x = x / np.abs(x).max(1, keepdims=True)  # whatever their length
                     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                     for table in range(tables):
                         axes = signed_axes(rotated(unit, table, seed), probes)
@@ -84,6 +86,18 @@ def _hashed(rows: DataFrame, tables: int, probes: int, seed: int, id_name: str)
         place, f"dim int, table_no int, axis int, {id_name} long, vector array<double>")
 
 
+def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances, also where squares are beyond or below what a double holds."""
+    off = rows - query
+    found = np.sqrt((off ** 2).sum(1))
+    odd = np.flatnonzero(~((found > PLAIN[0]) & (found < PLAIN[1])))
+    for at in odd.tolist():
+        largest = np.abs(off[at]).max()
+        if largest and np.isfinite(largest):
+            found[at] = largest * np.sqrt(((off[at] / largest) ** 2).sum())
+    return found
+
+
 def _scorer(k: int):
     def score(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if members.empty or queries.empty:
@@ -93,6 +107,8 @@ def _scorer(k: int):
         rows = matrix(members["vector"], np.float64)
         asked = matrix(queries["vector"], np.float64)
         own = queries["query_id"].to_numpy()
+        # Rough distances by products only where squares are within what a double holds.
+        plain = bool((np.abs(rows).max(1) > PLAIN[0]).all() and max(np.abs(rows).max(), np.abs(asked).max()) < PLAIN[1])
         square = (rows ** 2).sum(1)
         parts = []
         for begin in range(0, len(asked), SLICE):
@@ -102,10 +118,10 @@ def _scorer(k: int):
             slack = 1e-12 * (size[:, None] + square.max()) * (4 + rows.shape[1])
             for at in range(len(part)):
                 open_ = np.flatnonzero(ids != own[begin + at])
-                if len(open_) > k:
+                if len(open_) > k and plain:
                     near = rough[at, open_]
                     open_ = open_[near <= np.partition(near, k - 1)[k - 1] + 2 * slack[at, 0]]
-                exact = np.sqrt(((rows[open_] - part[at]) ** 2).sum(1))
+                exact = distances(rows[open_], part[at])
                 order = np.argsort(exact, kind="stable")[:k]
                 parts.append((own[begin + at], ids[open_[order]], exact[order]))
         return results(parts, np.float64)
@@ -122,9 +138,8 @@ def nearest(
         vectors[vec_id].cast("long").alias("vec_id"),
         F.transform(vectors[embedding], lambda x: x.cast("double")).alias("vector"), is_query.alias("asks")
     ).where(F.col("vec_id").isNotNull() & finite(F.col("vector")))
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     rows = kept(
-        valid.where((square > 0) & (square < 1e300)).dropDuplicates(["vec_id", "vector"]), "ann-vectors")
+        valid.where(F.exists("vector", lambda x: x != 0)).dropDuplicates(["vec_id", "vector"]), "ann-vectors")
     queries = kept(
         rows.where("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector")),
         "ann-queries")
