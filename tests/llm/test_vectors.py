@@ -1,5 +1,8 @@
 """Both searches against brute force."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +17,7 @@ def table(spark, data):
 
 
 def integers(v):
-    return [int(np.floor(256 * float(np.float32(x)))) for x in v]
+    return [math.floor(Fraction(float(np.float32(x))) * 256) for x in v]
 
 
 def brute_products(data, k, every):
@@ -24,6 +27,7 @@ def brute_products(data, k, every):
         if q % every:
             continue
         scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in clean if i != q and len(a) == len(b))
+        scored = [(s, i) for s, i in scored if -(1 << 63) <= -s < 1 << 63]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out, key=repr)
 
@@ -44,7 +48,29 @@ def test_products_of_odd_rows(spark, rows):
         (0, [0.0, 0.0]), (1, [1.0, -2.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 0.0]),
         (None, [1.0, 1.0]), (50, [-1.0, -1.0]), (50, [-1.0, -1.0]), (6, [1.0, 2.0, 3.0]), (100, []), (7, []), (8, [1e30, 1.0]), (9, [3.0, 3.0])]
     got = rows(exact_topk.exact_top_k(table(spark, data), F.col("vec_id") % 50 == 0, 5))
-    assert got == brute_products([d for d in data if d[0] != 8], 5, 50)
+    assert got == brute_products(data, 5, 50)
+
+
+def test_products_of_rows_of_any_length(spark, rows):
+    """Scores that fit a long count, however long the vectors; the others are no result."""
+    rng = np.random.default_rng(8)
+    data = [(50, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [4e6, 0.0]), (100, [1e30, 1.0]), (3, [0.0, 3.0]), (4, [3e38, -3e38]), (150, [3e38, 3e38]), (5, [1e-30, 5.0]), (6, [-4e6, 7.0])]
+    assert (50, 1, 2, 256 * 256 * 4_000_000) in rows(exact_topk.exact_top_k(table(spark, data), F.col("vec_id") % 50 == 0, 5))
+    assert rows(exact_topk.exact_top_k(table(spark, data), F.col("vec_id") % 50 == 0, 5)) == brute_products(data, 5, 50)
+    many = [(i, rng.normal(size=3) * 10.0 ** rng.integers(-2, 9)) for i in range(300)] + [(350, [1e20, 0.0, 0.0]), (307, [0.0, 1e20, 1.0])]
+    assert rows(exact_topk.exact_top_k(table(spark, many), F.col("vec_id") % 50 == 0, 5)) == brute_products(many, 5, 50)
+
+
+def test_nearest_of_vectors_of_any_length(spark, rows):
+    schema = "vec_id long, embedding array<double>, label int"
+    data = [(0, [1e-200, 0.0]), (1, [2e-200, 0.0]), (2, [1e200, 0.0]), (3, [0.0, 1e200]), (100, [1.0, 0.0]), (4, [1.0, 1e-3])]
+    got = rows(cross_polytope.nearest(spark.createDataFrame([(i, v, 0) for i, v in data], schema), F.col("vec_id") % 100 == 0, 10))
+    for q in (0, 100):
+        mine = [r for r in got if r[0] == q]
+        asked = dict(data)[q]
+        want = sorted((math.hypot(*(a - b for a, b in zip(v, asked))), i) for i, v in data if i != q)
+        assert [r[2] for r in sorted(mine, key=lambda r: r[1])] == [i for _, i in want]
+        assert all(r[3] == pytest.approx(dict((i, d) for d, i in want)[r[2]], rel=1e-12) for r in mine)
 
 
 def test_small_blocks_give_the_same(spark, rows, monkeypatch):
