@@ -175,9 +175,10 @@ _SCANNED = (
     "entities array<string>, terms array<struct<term:string,shape:string,at:array<int>>>")
 
 
-def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every document, as the struct ``doc``, with its base spans; entities and terms with their places where it has any."""
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), docs[text].alias("text"))
+def scanned(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Every document, its columns ``keep`` (all) as the struct ``doc``, with its base spans; entities and terms with their
+    places where it has any."""
+    rows = docs.select(F.struct(*(docs[c] for c in keep or docs.columns)).alias("doc"), docs[text].alias("text"))
 
     def run(batches):
         row = TaskContext.get().partitionId() << 40
@@ -307,11 +308,11 @@ def disclosing(held: DataFrame, docs: DataFrame, text: str, threshold: float, su
 
 
 def personal_data(
-    docs: DataFrame, *, text: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT,
+    docs: DataFrame, *, text: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT, keep: list[str] | None = None,
 ) -> DataFrame:
-    """doc (the document's columns as a struct), n_email, n_ip, n_card, n_phone, base_sha256, base, and added:
+    """doc (the document's columns ``keep``, or all, as a struct), n_email, n_ip, n_card, n_phone, base_sha256, base, and added:
     array<struct<start,end,kind>> of the terms to be generalised (``general``) or removed (``removed``), by start."""
-    held = kept(scanned(docs, text), "pii-scanned")
+    held = kept(scanned(docs, text, keep), "pii-scanned")
     told = disclosing(held, docs, text, threshold, support)
     added = "array<struct<start:int,end:int,kind:string>>"
     narrow = ["doc", *[f"n_{k}" for k in KINDS], "base_sha256", "base"]
