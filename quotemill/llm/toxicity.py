@@ -3,13 +3,13 @@
 Features are the hashed character 3- to 6-grams a document has, each counted once. For every
 bucket the log-count ratio r = log(p / q) is taken from the training rows: p and q are the smoothed
 shares of the bucket in toxic and in other rows. A document's features are its buckets' r, and a
-logistic regression with an L2 penalty is fitted on them. The buckets whose counts deviate most from
-chance are kept, KEPT of them, so that the model has a fixed size.
+logistic regression with an L2 penalty is fitted on them. Buckets count whose share of toxic rows is off
+by three standard deviations or more (``least``), however many these are; there are 2^20 buckets at most, which bounds the model.
 
 The classifier is fitted on a bounded sample: the TRAINING labelled rows, of those that are
 not held out, that come first in an order by hash. All documents are scored, on whole texts.
 
-Defined cases. Empty and null texts have only the n-grams of two spaces, hence the score of the
+Defined cases. Where rows repeat an id, its smallest text is learned from. Empty and null texts have only the n-grams of two spaces, hence the score of the
 intercept. Null labels are no labels; of several labels of an id the highest counts. Without both kinds of label in the
 training rows the score is the share of toxic ones (0 without any). A null id is the empty text for the hold-out.
 """
@@ -33,7 +33,7 @@ from .scratch import kept
 SIZES = (3, 4, 5, 6)
 BITS = 20
 TRAINING = 16_384
-KEPT = 2048
+LEAST = 9.0  # squared standard deviations by which a bucket's count of toxic rows is off
 SMOOTHING = 1.0
 PENALTY = 0.0002
 THRESHOLD = 0.3
@@ -45,7 +45,8 @@ def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAINING narrow rows
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAINING narrow rows
+    rows = labelled.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def start():
         return lambda texts: {"buckets": [np.unique(hashed_codes(t, SIZES, BITS)) for t in texts]}
@@ -69,8 +70,8 @@ def _counts(rows: DataFrame) -> DataFrame:
         .groupBy("bucket").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("other_n").alias("other_n")))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, training: int = TRAINING, kept_buckets: int = KEPT) -> dict:
-    """Intercept and a weight for each kept bucket: the regression's coefficient times r."""
+def fit(docs: DataFrame, labels: DataFrame, *, training: int = TRAINING, least: float = LEAST, penalty: float = PENALTY) -> dict:
+    """Intercept and a weight for each bucket that counts: the regression's coefficient times r."""
     rows = kept(_training_rows(docs, labels, training), "toxicity-rows")
     n_toxic, n = rows.agg(F.count_if(F.col("toxic") > 0), F.count("*")).first()
     if not n_toxic or n_toxic == n:
@@ -82,13 +83,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, training: int = TRAINING, kept_bu
     deviation = (F.col("toxic_n") - expected) ** 2 / (seen * F.lit((n_toxic / n) * (1 - n_toxic / n)) + 1)
     p = (F.col("toxic_n") + SMOOTHING) / F.lit(float(total_toxic + SMOOTHING * distinct))
     q = (F.col("other_n") + SMOOTHING) / F.lit(float(total_other + SMOOTHING * distinct))
-    chosen = (
-        counts.withColumn("r", F.log(p / q)).withColumn("deviation", deviation)
-        .orderBy(F.desc("deviation"), "bucket").limit(kept_buckets).select("bucket", "r").collect())  # KEPT rows
-    buckets = np.array([c.bucket for c in chosen], np.int32)
-    ratio = np.array([c.r for c in chosen])
+    # At most 2^BITS pairs of numbers.
+    chosen = counts.where(deviation >= least).select("bucket", F.log(p / q).alias("r")).toArrow()
+    buckets = chosen.column("bucket").to_numpy()
     order = np.argsort(buckets)
-    buckets, ratio = buckets[order], ratio[order]
+    buckets, ratio = buckets[order], chosen.column("r").to_numpy()[order]
+    if not len(buckets):
+        return {"share": n_toxic / n, "buckets": [], "weights": [], "intercept": 0.0}
 
     @F.udf(VectorUDT())
     def scaled(own):
@@ -100,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, training: int = TRAINING, kept_bu
     data = kept(
         rows.select(F.when(F.col("toxic") > 0, 1.0).otherwise(0.0).alias("label"), scaled("buckets").alias("features")),
         "toxicity-features")
-    model = LogisticRegression(maxIter=60, regParam=PENALTY, standardization=False).fit(data)
+    model = LogisticRegression(maxIter=60, regParam=penalty, standardization=False).fit(data)
     return {
         "share": n_toxic / n, "buckets": buckets, "intercept": float(model.intercept),
         "weights": model.coefficients.toArray() * ratio}

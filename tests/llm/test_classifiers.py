@@ -1,12 +1,16 @@
 """Language and toxicity: brute force, held-out rows and defined cases."""
 
+import math
+import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quotemill.llm import language, toxicity
+from quotemill.llm.ngrams import hashed_codes
 
 
 def grams(text):
@@ -119,3 +123,86 @@ def test_held_out_rows_are_not_learned(spark, documents):
     changed = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in labels]
     first, second = (toxicity.fit(documents(data), spark.createDataFrame(x, LABELS)) for x in (labels, changed))
     assert first["intercept"] == pytest.approx(second["intercept"]) and list(first["buckets"]) == list(second["buckets"])
+
+
+def brute_toxicity(data, labels):
+    """Scores of all texts: ratios by plain counting, the regression by Newton's method to convergence."""
+    label = {}
+    for i, _, t in labels:
+        if t is not None and i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            label[i] = max(t, label.get(i, 0))
+    texts = {}
+    for i, t, *_ in data:
+        if i in label:
+            texts[i] = min(x for x in (texts.get(i), t) if x is not None) if t is not None or texts.get(i) is not None else None
+    own = {i: set(hashed_codes(t, toxicity.SIZES, toxicity.BITS).tolist()) for i, t in texts.items()}
+    n, n_toxic = len(own), sum(label[i] for i in own)
+    counts = [Counter(b for i in own if label[i] == k for b in own[i]) for k in (0, 1)]
+    every = sorted(set(counts[0]) | set(counts[1]))
+    totals = [sum(c.values()) + len(every) for c in counts]
+    share, ratio = n_toxic / n, {}
+    for b in every:
+        other, toxic = counts[0][b], counts[1][b]
+        seen = other + toxic
+        if (toxic - seen * share) ** 2 / (seen * share * (1 - share) + 1) >= toxicity.LEAST:
+            ratio[b] = math.log(((toxic + 1) / totals[1]) / ((other + 1) / totals[0]))
+    place = {b: j for j, b in enumerate(ratio)}
+
+    def row(buckets):
+        x = np.zeros(len(place) + 1)
+        x[-1] = 1
+        for b in buckets & place.keys():
+            x[place[b]] = ratio[b]
+        return x
+
+    x = np.array([row(own[i]) for i in own])
+    y = np.array([label[i] for i in own], float)
+    penalty = np.append(np.full(len(place), toxicity.PENALTY), 0.0)
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - y) / n + penalty * w
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / n + np.diag(penalty + 1e-12), slope)
+    return [1 / (1 + math.exp(-row(set(hashed_codes(t, toxicity.SIZES, toxicity.BITS).tolist())) @ w)) for _, t, *_ in data]
+
+
+def test_toxicity_equals_brute_force(spark, documents):
+    rng = random.Random(6)
+    words = ["sun", "tree", "kind", "walk", "idiot", "moron", "road", "lamp"]
+    data = []
+    for i in range(200):
+        toxic = rng.random() < 0.4
+        text = [rng.choice(words[:4] + words[6:]) for _ in range(rng.randint(1, 8))] + ([rng.choice(words[4:6])] if toxic != (rng.random() < 0.1) else [])
+        data.append((i, " ".join(text), None, str(int(toxic))))
+    data += [(7, "another text", None, "0"), (7, None, None, "0"), (500, None, None, "0")]
+    labels = [(i, 1, int(s)) for i, _, _, s in data]
+    got = toxicity.score(documents(data), toxicity.fit(documents(data), spark.createDataFrame(labels, LABELS)))
+    found = Counter((r.doc_id, round(r.score, 2)) for r in got.collect())
+    want = [(d[0], s) for d, s in zip(data, brute_toxicity(data, labels))]
+    for i, s in want:
+        near = [k for k in found if k[0] == i and abs(k[1] - s) <= 0.03 and found[k]]
+        assert near, (i, s, [k for k in found if k[0] == i])
+        found[near[0]] -= 1
+
+
+def test_rare_toxic_words_are_caught(spark):
+    """Four hundred toxic words, one a document."""
+    rng = random.Random(1)
+
+    def made(n, low, high):
+        return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(low, high))) for _ in range(n)]
+
+    common, bad, docs, labels = made(3000, 4, 9), made(400, 6, 8), [], []
+    for i in range(16_000):
+        text, toxic = [rng.choice(common) for _ in range(rng.randint(30, 80))], int(rng.random() < 0.3)
+        if toxic:
+            text.insert(rng.randrange(len(text)), rng.choice(bad))
+        docs.append((i, " ".join(text), "en", "s", 0))
+        labels.append((i, 1, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(8)
+    labels = spark.createDataFrame(labels, LABELS)
+    model = toxicity.fit(docs, labels)
+    assert len(model["buckets"]) > 2048
+    scored = toxicity.score(docs, model).join(labels, "doc_id").where("held_out")
+    got = {(r.toxic, r.predicted): r["count"] for r in scored.groupBy("toxic", "predicted").count().collect()}
+    assert got[(1, 1)] >= 0.85 * (got[(1, 1)] + got.get((1, 0), 0)) and got.get((0, 1), 0) <= 0.1 * (got[(0, 0)] + got.get((0, 1), 0))
