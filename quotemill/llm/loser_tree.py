@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 
 class _End:
@@ -21,18 +21,23 @@ def _less(a, b) -> bool:
     return b is END or a < b
 
 
-def merge(runs: Sequence[Sequence]) -> Iterator[tuple[int, int]]:
-    """(run, position) of all items of the sorted runs, in order; equal items by run.
+def merge(runs: Sequence[Iterable]) -> Iterator:
+    """All items of the sorted runs, each a (key, anything), in order of their keys; equal keys by run.
 
-    Every inner node of the tree keeps the run that lost the comparison there, and the top
-    the overall winner. When the winner's run moves on, only the comparisons on its way up
+    A run is read item by item: one of each is held. Every inner node of the tree keeps the run that lost the comparison
+    there, and the top the overall winner. When the winner's run moves on, only the comparisons on its way up
     are made again: one for each level, log2(k) an item.
     """
     k = len(runs)
     if not k:
         return
-    heads = [(run[0], i) if len(run) else END for i, run in enumerate(runs)]
-    position = [0] * k
+    runs = [iter(run) for run in runs]
+    items = [next(run, END) for run in runs]
+
+    def head(run: int):
+        return items[run] if items[run] is END else (items[run][0], run)
+
+    heads = [head(i) for i in range(k)]
     losers = [0] * k
     # Play the first round from the leaves up: leaf i is node k + i.
     winner = [0] * k + list(range(k))
@@ -42,10 +47,9 @@ def merge(runs: Sequence[Sequence]) -> Iterator[tuple[int, int]]:
         winner[node], losers[node] = won, lost
     top = winner[1] if k > 1 else 0
     while heads[top] is not END:
-        yield top, position[top]
-        position[top] += 1
-        run = runs[top]
-        heads[top] = (run[position[top]], top) if position[top] < len(run) else END
+        yield items[top]
+        items[top] = next(runs[top], END)
+        heads[top] = head(top)
         node = (k + top) // 2
         while node >= 1 and k > 1:
             if _less(heads[losers[node]], heads[top]):

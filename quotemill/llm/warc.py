@@ -2,18 +2,19 @@
 
 Writing. Each page is one WARC/1.1 record, with the HTTP header and, for a response, the
 page's bytes. Of pages with equal payloads the one with the smallest id is a response, the
-others are revisits that refer to it. Records are text (the payload is UTF-8), so Spark's text writer
-writes them, one record a row, with the two empty lines between records as line end, gzip-compressed
-and committed as any Spark output. Files hold a bounded number of records.
+others are revisits that refer to it. Every record is a gzip member of its own, so that it can be read by its place alone.
+Tasks put members together to files of about FILE_BYTES, by bytes and not by number, and Spark's text writer
+writes each as one value and commits it as any output. A longer record is a file of its own.
 
-Reading. A file is one row of Spark's binaryFile source. Records are cut by their
-Content-Length, so payloads may hold anything; digests are taken again from the bytes.
+Reading. A file is one row of Spark's binaryFile source. Members are unpacked one at a time and their records cut by
+their Content-Length, so payloads may hold anything; digests are taken again from the bytes.
 
 Index. The captures of one file, sorted by URL key, timestamp and page, are a run. Runs are
-written, dealt into ranges of that order, and in each range its slices of all runs are merged
-with a loser tree: k-way, one comparison per level and capture. The ranges, one after the other, are the
+written, dealt into ranges of that order of about RANGE_ROWS captures each, and in each range its slices of all runs are merged
+with a loser tree: k-way, one comparison per level and capture, over an iterator a run. A task holds one range and no more, however many
+captures there are. The ranges, one after the other, are the
 capture histories of all URLs in order. A URL with very many captures spreads over ranges by
-its timestamps.
+its timestamps, pages and places.
 
 Defined cases. A null html is an empty payload. A null id is greater than all others, and is
 written as an empty name. Rows that repeat the smallest id of a payload are all responses. A null URL has no
@@ -25,17 +26,23 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import re
+import zlib
 from urllib.parse import urlsplit
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .batches import release
 from .loser_tree import merge
 from .scratch import fresh, kept
 
-FILE_BYTES = 32 << 20
+FILE_BYTES = 8 << 20  # packed bytes of a file
+RANGE_ROWS = 50_000  # captures of a range of the index
+CHUNK = 1 << 16
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # Fixed value: the profile of revisit records of equal payloads.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,8 +85,6 @@ def write_warc(
         narrow.where(F.col("n") >= least_bytes).groupBy("digest", "n")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1").drop("pages"),
         "warc-shared")
-    count, total = narrow.agg(F.count("*"), F.sum("n")).first()
-    records = max(1, int(FILE_BYTES / max(1, (total or 0) / max(1, count) + 400)))
     joined = sized.join(shared.withColumnsRenamed({"digest": "_digest", "n": "_n"}), (F.col("digest") == F.col("_digest")) & (F.col("n") == F.col("_n")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = F.concat(F.lit(f"<{NAME}"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))
@@ -98,8 +103,43 @@ def write_warc(
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), (F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("n"))).cast("string")))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
-    joined.select(F.concat(header, F.lit(LINE + LINE), block).alias("value")).write.option("lineSep", LINE + LINE).option(
-        "compression", "gzip").option("maxRecordsPerFile", records).text(path)
+    record = F.concat(header, F.lit(LINE + LINE), block, F.lit(LINE + LINE)).cast("binary")
+    files = joined.select(record.alias("record")).mapInArrow(_packed(FILE_BYTES), "value binary")
+    # Bytes pass as they are; what the writer puts behind each value is the last byte of its last member, see _packed.
+    files.select(F.col("value").cast("string").alias("value")).write.option("lineSep", PAD).option("maxRecordsPerFile", 1).text(path)
+
+
+PAD = "\0"
+
+
+def _packed(file_bytes: int):
+    """Files as values: members put together up to ``file_bytes``.
+
+    A member ends with the size of its record, least byte first, so its last byte is 0 below 16 MB: that byte is left to
+    the writer's separator. Behind a longer record the separator is padding, which readers of gzip pass over.
+    """
+    def pack(batches):
+        parts, size = [], 0
+
+        def value():
+            whole = b"".join(parts)
+            parts.clear()
+            whole = whole[:-1] if whole.endswith(b"\0") else whole
+            return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["value"])
+
+        for batch in batches:
+            for record in batch.column("record"):
+                parts.append(gzip.compress(record.as_py(), 6, mtime=0))
+                size += len(parts[-1])
+                if size >= file_bytes:
+                    yield value()
+                    size = 0
+        if parts:
+            yield value()
+        batch = None
+        release()
+
+    return pack
 
 
 def url_key(url: str | None) -> str:
@@ -122,20 +162,33 @@ def url_key(url: str | None) -> str:
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 
 
-def records(data: bytes):
-    """(offset, length, header, block) of every record of an unpacked archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        fields = {m[1].lower().decode(): m[2].decode() for m in _FIELD.finditer(data, at, end)}
-        if not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at {at}")
-        begin = end + 4
-        stop = begin + int(fields["content-length"])
-        if data[stop:stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at {at} is cut short")
-        yield at, stop + 4 - at, fields, data[begin:stop]
-        at = stop + 4
+def members(content: bytes):
+    """(offset, length, unpacked bytes) of every gzip member."""
+    at, whole = 0, memoryview(content)
+    while at < len(whole):
+        if whole[at] == 0:  # padding
+            at += 1
+            continue
+        unpack, begin, parts = zlib.decompressobj(31), at, []
+        while not unpack.eof:
+            if at >= len(whole):
+                raise ValueError(f"the member at {begin} is cut short")
+            parts.append(unpack.decompress(whole[at:at + CHUNK]))
+            at += CHUNK
+        at = min(at, len(whole)) - len(unpack.unused_data)
+        yield begin, at - begin, b"".join(parts)
+
+
+def record(data: bytes) -> tuple[dict, bytes]:
+    """(header, block) of the record of one member."""
+    if not data.startswith(b"WARC/"):
+        raise ValueError("no WARC record")
+    end = data.index(b"\r\n\r\n")
+    fields = {m[1].lower().decode(): m[2].decode() for m in _FIELD.finditer(data, 0, end)}
+    stop = end + 4 + int(fields["content-length"])
+    if data[stop:] != b"\r\n\r\n":
+        raise ValueError("the record is cut short, or goes on")
+    return fields, data[end + 4:stop]
 
 
 def _number(name: str | None) -> int | None:
@@ -148,7 +201,8 @@ def _captures(batches):
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             found = []
-            for offset, length, fields, block in records(gzip.decompress(content)):
+            for offset, length, data in members(content):
+                fields, block = record(data)
                 head = block.index(b"\r\n\r\n") + 4
                 kind = fields["warc-type"]
                 stated = fields["warc-payload-digest"].removeprefix("sha1:")
@@ -165,7 +219,10 @@ def _captures(batches):
                     _number(fields["warc-record-id"]), url, url_key(url), re.sub(r"\D", "", fields["warc-date"]), kind,
                     size, digest, _number(fields.get("warc-refers-to")), path.rsplit("/", 1)[-1], offset, length))
             found.sort(key=_order)
-            yield _frame(found)
+            for begin in range(0, len(found), 10_000):
+                yield _frame(found[begin:begin + 10_000])
+    batch = content = data = block = payload = found = None
+    release()
 
 
 def _order(entry: tuple) -> tuple:
@@ -185,33 +242,32 @@ def _merged(batches):
     for batch in batches:
         for entry in batch.astype(object).where(batch.notna(), None).itertuples(index=False, name=None):
             runs.setdefault(entry[8], []).append(entry)
-    slices = list(runs.values())
-    keys = []
-    for entries in slices:
-        own = [_order(e) for e in entries]
-        if any(b < a for a, b in zip(own, own[1:])):  # the shuffle may deliver parts of a run in any order
+    for entries in runs.values():  # the shuffle may deliver parts of a run in any order
+        if any(_order(b) < _order(a) for a, b in zip(entries, entries[1:])):
             entries.sort(key=_order)
-            own.sort()
-        keys.append(own)
     out = []
-    for run, position in merge(keys):
-        out.append(slices[run][position])
+    for _, entry in merge([((_order(e), e) for e in entries) for entries in runs.values()]):
+        out.append(entry)
         if len(out) == 10_000:
             yield _frame(out)
             out = []
     yield _frame(out)
+    batch = runs = entries = out = None
+    release()
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Index entries of all records below ``path``, sorted within each file (a run each)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInPandas(_captures, INDEX)
 
 
 def capture_index(runs: DataFrame) -> DataFrame:
     """The sorted runs merged into capture histories: ordered within and between partitions."""
-    order = ["url_key", "timestamp", F.col("page_id").asc_nulls_last()]
-    return kept(runs, "warc-runs").repartitionByRange(*order).mapInPandas(_merged, INDEX)
+    order = ["url_key", "timestamp", F.col("page_id").asc_nulls_last(), "file", "offset"]
+    written = kept(runs, "warc-runs")
+    ranges = max(1, math.ceil(written.count() / RANGE_ROWS))
+    return written.repartitionByRange(ranges, *order).mapInPandas(_merged, INDEX)
 
 
 def archived(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:

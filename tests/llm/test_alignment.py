@@ -93,12 +93,12 @@ def _byte_side():
     return _SIDE[0]
 
 
-def test_equals_brute_force(documents, libraries, monkeypatch):
-    # Blocks of a few documents, so that counts cross blocks.
-    monkeypatch.setattr("quotemill.llm.batches.BATCH_BYTES", 300)
+def test_equals_brute_force(documents, libraries):
     texts = [*wild(300, 1), "", None, "a▁b", " ", "  ", " " * 301, "\t" * 99 + " x", "a" * 500, *["the same text"] * 40, "x " * 3000]
     data = [(i % 330 if i else None, t, None, None) for i, t in enumerate(texts)]
-    got = sorted((tuple(r) for r in alignment.linked(documents(data).withColumn("block", F.lit(1)), A, B).collect()), key=repr)
+    # Many partitions, and so many blocks: counts cross them.
+    docs = documents(data).withColumn("block", F.lit(1)).repartition(13)
+    got = sorted((tuple(r) for r in alignment.linked(docs, A, B).collect()), key=repr)
     want, _ = brute(libraries, texts)
     assert got == sorted(((d[0], *w) for d, w in zip(data, want)), key=repr)
 
