@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm import bpe, language, mixing, near_dedup, secret_scan
 from quotemill.llm.queries import vocabulary
-from quotemill.llm.scratch import kept
+from quotemill.llm.scratch import clear, kept, written
 from quotemill.llm.shipping import ship
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go."""
+    """Documents without a language go; a null lang becomes the one predicted."""
     ship(spark)
     return language.identified(docs)
 
@@ -59,6 +59,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    begun = written()
     for name, stage in STAGES:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        clear(spark, begun, but_last=True)  # what the stage before kept, and what this one needed on its way
     return docs
