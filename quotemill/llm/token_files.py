@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from .batches import map_texts
 from .bpe import byte_alphabet, id_lists
-from .scratch import fresh, running_sums
+from .scratch import fresh, kept, running_sums
 
 # Fixed value: the word pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -139,7 +139,8 @@ def checked_offsets(tokens: DataFrame) -> DataFrame:
     ).mapInArrow(checksums, f"doc_id {kind}, n_tokens long, file string, row long, ids_crc32 long")
     # Files and rows are numbered in the order in which they were written.
     order = [F.col("doc_id").asc_nulls_first(), F.col("file"), F.col("row")]
-    summed = running_sums(read, order, {"upto": "n_tokens"}, "token-offsets")
+    # Written first: dealing rows out by ranges looks at them twice, and the lists are to be read once.
+    summed = running_sums(kept(read, "token-checksums"), order, {"upto": "n_tokens"}, "token-offsets")
     return summed.select("doc_id", (F.col("upto") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
 
 
