@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .batches import map_texts
+from .batches import map_texts, release, unused
 
 REMEMBERED = 600_000
 # Up to here the letters of the pattern and of str.isalpha are the same in all versions.
@@ -157,8 +157,10 @@ def id_lists(encoded: list[bytes]) -> pa.ListArray:
 
 
 def encode(docs: DataFrame, path: str, *, keep: list[str] | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The columns ``keep`` (all but the text) and the ids of each text, as array<int>."""
+    """The columns ``keep`` (all but the text) and the ids of each text, as array<int>; where a column that is kept has
+    that name, underscores go behind it."""
     keep = [c for c in docs.columns if c not in (text, ids)] if keep is None else keep
+    ids = unused(keep, ids)
 
     def start():
         codec = Codec(path)
@@ -178,6 +180,8 @@ def decode(encoded: DataFrame, path: str, *, ids: str = "ids", text: str = "text
             made = [None if v is None else codec.decode(np.array(v, "<u4").tobytes()) for v in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(made, pa.string())], names=[*keep, text])
+        batch = made = codec = None
+        release()
 
     return encoded.select(*keep, ids).mapInArrow(run, ", ".join([*fields, f"`{text}` string"]))
 

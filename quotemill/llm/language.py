@@ -119,7 +119,7 @@ def identify(docs: DataFrame, *, size: int = PROFILE) -> DataFrame:
 
 
 def identified(docs: DataFrame, *, size: int = PROFILE) -> DataFrame:
-    """The documents that have a language, all their columns unchanged.
+    """The documents that have a language, with the one predicted where ``lang`` is null; all else unchanged.
 
     Rejected are those that are undetermined, for want of a text or of letters, and those that have no n-gram
     in common with the language predicted. Where nothing could be learned, all that have a letter stay.
@@ -128,5 +128,5 @@ def identified(docs: DataFrame, *, size: int = PROFILE) -> DataFrame:
     if not learned:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = names = (unused(docs.columns, "lang_pred"), unused(docs.columns, "score"))
-    found = predict(docs, learned, docs.columns, size, names)
-    return found.where((F.col(lang) != UNDETERMINED) & (F.col(score) > 0)).select(docs.columns)
+    found = predict(docs, learned, docs.columns, size, names).where((F.col(lang) != UNDETERMINED) & (F.col(score) > 0))
+    return found.select(*[F.coalesce("lang", lang).alias("lang") if c == "lang" else F.col(c) for c in docs.columns])

@@ -355,12 +355,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, doc_id: str = "doc_id
 def deduplicated(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     """The documents without near-duplicates: of each component the one with the smallest id.
 
-    All columns are returned as they are. Of rows that repeat the id that is kept, one stays;
-    rows without an id all stay.
+    All columns are returned as they are. Of rows that repeat the id that is kept, the one with the least hash of all its
+    columns stays; rows without an id all stay.
     """
     found = kept(near_duplicates(docs, percent=percent), "dedup-result")
     gone = kept(found.where(~F.col("kept")).select("doc_id").distinct(), "dedup-gone")
     stay = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     if found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return stay
-    return stay.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(stay.where("doc_id is null"))
+    row = F.struct(*[F.col(c) for c in stay.columns])
+    one = stay.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row"))
+    return one.select("_row.*").unionByName(stay.where("doc_id is null"))

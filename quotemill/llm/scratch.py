@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 _WRITTEN: list[str] = []
 
@@ -29,11 +29,18 @@ def fresh(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete the intermediate tables written so far; frames that read them end with it."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def written() -> int:
+    """How many intermediate tables there are, for ``clear``."""
+    return len(_WRITTEN)
+
+
+def clear(spark: SparkSession, since: int = 0, but_last: bool = False) -> None:
+    """Delete the intermediate tables written since (all so far), or all of these but the last one; frames that read
+    them end with it."""
+    gone = _WRITTEN[since:len(_WRITTEN) - but_last]
+    del _WRITTEN[since:len(_WRITTEN) - but_last]
+    for path in gone:
+        delete_path(spark, path)
 
 
 def running_sums(df: DataFrame, order: list, sums: dict, name: str) -> DataFrame:
