@@ -34,6 +34,7 @@ class Rules:
     ranges: dict[str, Range] = field(default_factory=dict)
 
 
+# Names, columns and limits of the presets.
 DAILY = Rules(
     required=("symbol", "date", "close"),
     not_null=("symbol", "date"),

@@ -16,7 +16,7 @@ from ..operators.columns import (
 from ..operators.fallback import Source, fallback_by_key, first_with_rows
 from ..operators.quality import duplicates, inventory, last_update, report_of_counts
 from ..operators.series import between_dates, in_task_range
-from ..operators.sized import settled
+from ..operators.sized import cleared_after, settled
 from ..operators.validate import clean, is_ok, report, summary_line, with_order
 from ..schemas import DATASETS, QUALITY_LIMITS, UPDATE_LOG, Dataset
 from ..session import delete_path, scratch_path
@@ -26,33 +26,60 @@ from ..sources.store import (
 )
 
 
+EXAMINED = ("record", "reason")  # the columns of an examined source, see ``sources.payloads``
+
+
 def named(df: DataFrame, task: dict) -> DataFrame:
     """Fields, transforms, standard names and symbols of a task, in this order."""
-    df = normalize_names(apply_transforms(select_existing(df, task.get("fields")), task.get("transform")))
+    fields = task.get("fields")
+    if fields and set(EXAMINED) <= set(df.columns):
+        fields = [*fields, *EXAMINED]
+    df = normalize_names(apply_transforms(select_existing(df, fields), task.get("transform")))
     symbol = symbol_column(df)
     return in_symbols(df, task.get("symbols"), symbol) if symbol else df
 
 
-def _prepared(df: DataFrame, task: dict, as_of: str | dt.date | None) -> tuple[DataFrame, Column]:
-    """Named rows with times as such, in the date range of the task; and which of them, kept whatever the range, have a time
-    that cannot be read."""
+UNREADABLE = "_unreadable"
+
+
+def _prepared(df: DataFrame, task: dict, as_of: str | dt.date | None) -> DataFrame:
+    """Named rows with times as such, in the date range of the task. Rows of which the record or the time cannot be read are
+    flagged, and kept whatever the range."""
     df = named(df, task)
     date = date_column(df)
+    flag = F.col("reason").isNotNull() if set(EXAMINED) <= set(df.columns) else F.lit(False)
     if date is None:
-        return df, F.lit(False)
-    flag = "_unreadable"
-    timed = times_as_such(df.withColumn(flag, unreadable_times(df)), refuse=False)
+        return df.withColumn(UNREADABLE, flag)
+    timed = times_as_such(df.withColumn(UNREADABLE, flag | unreadable_times(df)), refuse=False)
     within = in_task_range(
         incremental=task.get("incremental", False), as_of=as_of, lookback_days=task.get("lookback_days", 5),
         start=task.get("start_date"), end=task.get("end_date"), date=date)
-    return timed.where(within | F.col(flag)), F.col(flag)
+    return timed.where(within | F.col(UNREADABLE))
 
 
 def prepare(df: DataFrame, task: dict, as_of: str | dt.date | None = None) -> DataFrame:
     """Fields, transforms, standard names, symbols, times as such and date range of a task, in this order. Rows whose
     time cannot be read are left out (``run_task`` counts them)."""
-    rows, unreadable_ = _prepared(df, task, as_of)
-    return rows.where(~unreadable_).drop("_unreadable")
+    return _readable(_prepared(df, task, as_of))
+
+
+def _readable(rows: DataFrame) -> DataFrame:
+    examined = EXAMINED if set(EXAMINED) <= set(rows.columns) else ()
+    return rows.where(~F.col(UNREADABLE)).drop(UNREADABLE, *examined)
+
+
+def _set_aside(rows: DataFrame, task: dict) -> int:
+    """How many rows cannot be read; with a ``rejected`` target of the task they are appended there: symbol, record, reason."""
+    bad = rows.where(UNREADABLE)
+    target = task.get("rejected")
+    if target and not bad.isEmpty():
+        symbol = symbol_column(rows)
+        reason = F.coalesce("reason", F.lit("time cannot be read")) if "reason" in rows.columns else F.lit("time cannot be read")
+        record = F.col("record") if "record" in rows.columns else F.to_json(F.struct(*[c for c in rows.columns if c != UNREADABLE]))
+        kept = bad.select(
+            (F.col(symbol).cast("string") if symbol else F.lit(None).cast("string")).alias("symbol"), record.alias("record"), reason.alias("reason"))
+        write_table(kept, target["root"], target["table"], "append")
+    return bad.count()
 
 
 def run_task(
@@ -68,8 +95,9 @@ def run_task(
 
     ``task``: name, fields, transform, symbols (a list, or a frame with them), incremental, lookback_days, start_date,
     end_date, validate, order, completeness, target (a dict or a list: root, table, if_exists, keys,
-    order, layout). Findings are reported and never hold back the write. Rows whose time cannot be read are set aside and
-    counted (``unreadable``). A source is run once: its prepared rows go into the shared folder, and are looked at,
+    order, layout), rejected (root, table). Findings are reported and never hold back the write. Rows whose time cannot be read,
+    and of an examined source (``sources.payloads``) records that cannot, are set aside: counted (``unreadable``), and appended to
+    ``rejected`` if there is one. A source is run once: its prepared rows go into the shared folder, and are looked at,
     reported, cleaned and written from there; the copies are deleted at the end. With ``log_root`` the run, failed or not, is a record
     of the update log there.
     """
@@ -88,12 +116,9 @@ def run_task(
 
         def loaded(name: str, source: Source) -> Source:
             def load() -> DataFrame:
-                rows, bad = _prepared(source() if callable(source) else source, task, as_of)
-                rows = copied(rows)
-                if "_unreadable" not in rows.columns:
-                    return rows
-                unreadable_rows[name] = rows.where(bad).count()
-                return rows.where(~bad).drop("_unreadable")
+                rows = copied(_prepared(source() if callable(source) else source, task, as_of))
+                unreadable_rows[name] = _set_aside(rows, task)
+                return _readable(rows)
 
             return load
 
@@ -207,10 +232,10 @@ def update_day(
     last = last_update(read_log(spark, root).where(F.col("table_name") == table)).first()
     if last is not None and str(last["last_update"])[:10] >= str(day):
         return "current"
-    today = F.to_date(F.lit(str(day)))
-    of_day = [(name, df.where(F.to_date(time) == today)) for name, df in sources]
-    rows = fallback_by_key(of_day).drop("source")
-    return _take_in(spark, rows, root, table, order, time, "incremental", run_time, day)
+    of_day = [(name, between_dates(df, day, day, time)) for name, df in sources]
+    with cleared_after(spark):
+        rows = fallback_by_key(of_day).drop("source")
+        return _take_in(spark, rows, root, table, order, time, "incremental", run_time, day)
 
 
 def backfill_missing(
@@ -242,13 +267,14 @@ def backfill_missing(
     if spans is None and universe is None:
         spans = stored.groupBy("symbol").agg(F.to_date(F.min(time)).alias("first"), F.to_date(F.max(time)).alias("last"))
     near = without_partitions(between_dates(in_months(stored, begin, final), begin, final, time))
-    missing = settled(missing_days(
-        near, calendar, date=time, last=days, as_of=as_of, through="table", universe=universe, spans=spans))
-    offers = [
-        (name, rows_of_missing(missing, between_dates(df, begin, final, time), date=time).withColumn("_day", F.to_date(time)))
-        for name, df in sources]
-    rows = fallback_by_key(offers, ("symbol", "_day")).drop("source", "_day")
-    return _take_in(spark, rows, root, table, order, time, "backfill-missing", run_time, as_of)
+    with cleared_after(spark):
+        missing = settled(missing_days(
+            near, calendar, date=time, last=days, as_of=as_of, through="table", universe=universe, spans=spans))
+        offers = [
+            (name, rows_of_missing(missing, between_dates(df, begin, final, time), date=time).withColumn("_day", F.to_date(time)))
+            for name, df in sources]
+        rows = fallback_by_key(offers, ("symbol", "_day")).drop("source", "_day")
+        return _take_in(spark, rows, root, table, order, time, "backfill-missing", run_time, as_of)
 
 
 def _take_in(

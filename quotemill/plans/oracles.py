@@ -397,6 +397,8 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
         SELECT symbol, date, trim(note) AS note, close, seq FROM (
           SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY seq DESC) AS rn
           FROM dirty WHERE symbol IS NOT NULL AND date IS NOT NULL) r WHERE rn = 1""", "dirty"),
+    "v6_preset_basic": ("""
+        SELECT symbol, csname AS name, CASE WHEN symbol = 'F1' THEN 1 ELSE 2 END AS seq FROM fund_basic""", "fund_basic"),
     "v8_report": ("""
         , kept AS (
           SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY seq DESC) AS rn
@@ -717,6 +719,14 @@ _SQL: dict[str, tuple[str, ...]] = {  # the SQL comes first
         SELECT *, (SELECT count(*) FROM bars_min WHERE symbol IN ('click', 'view') AND minute(kline_time) % 7 = 0) AS set_aside
         FROM bars_min WHERE symbol IN ('click', 'view') AND minute(kline_time) % 7 <> 0
           AND kline_time < DATE '2024-01-26'""", "bars_min"),
+    "c2_task_rejected": ("""
+        SELECT symbol, line AS record, CASE WHEN len(p) < 7 THEN 'fewer than seven fields' ELSE 'close is no number' END AS reason
+        FROM (SELECT symbol, line, string_split(line, ',') AS p FROM raw_lines) r
+        WHERE len(p) < 7 OR try_cast(p[3] AS DOUBLE) IS NULL""", "raw_lines"),
+    "k8_targets_rows": (f"SELECT {_BAR}, target FROM bars_daily, (VALUES ('one'), ('two')) v(target)", "bars_daily"),
+    "c8_backfill_rows": ("""
+        SELECT symbol, date, open, high, low, close, volume, 'etf_daily' AS dataset FROM bars_daily
+        UNION ALL SELECT symbol, date, open, high, low, close, volume, 'etf_nav' FROM bars_by_type""", "bars_daily", "bars_by_type"),
     "c5_corrupt_table": ("""
         SELECT 'etf_daily' AS "table", count(*) AS rows,
                CASE WHEN count(*) < 30 OR date_diff('day', max(date), DATE '2024-01-30') > 3 THEN 'warn' ELSE 'ok' END AS status

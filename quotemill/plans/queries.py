@@ -491,6 +491,16 @@ def k8_multi_target(t: Tables) -> DataFrame:
     )
 
 
+@query
+def k8_targets_rows(t: Tables) -> DataFrame:
+    """The rows of both targets, whole."""
+    one, two = _scratch(t, "target"), _scratch(t, "target")
+    targets = [{"root": one, "table": "bars", "layout": "month"}, {"root": two, "table": "bars", "if_exists": "replace"}]
+    sink.write_to_targets(t.bars_daily(), targets)
+    read = {"one": store.read_series(t.spark, one, "bars"), "two": store.read_table(t.spark, two, "bars")}
+    return columns.tagged_union(read, "target")
+
+
 @query
 def k10_log_update(t: Tables) -> DataFrame:
     root = _scratch(t, "log")
@@ -655,6 +665,15 @@ def v6_preset_daily(t: Tables) -> DataFrame:
     return validate.clean(t.dirty(), validate.with_order("daily", ["seq"]))
 
 
+@query
+def v6_preset_basic(t: Tables) -> DataFrame:
+    """Reference data delivered twice, some without a symbol, names with blanks around them."""
+    named = t.fund_basic().withColumnRenamed("csname", "name")
+    first = named.withColumn("name", F.concat(F.lit(" "), "name", F.lit("  "))).withColumn("seq", F.lit(1))
+    again = named.withColumn("symbol", F.nullif("symbol", F.lit("F1"))).withColumn("seq", F.lit(2))
+    return validate.clean(first.unionByName(again), validate.with_order("basic", ["seq"]))
+
+
 @query
 def v8_report(t: Tables) -> DataFrame:
     return validate.report(t.dirty(), DIRTY_RULES)
@@ -1089,6 +1108,21 @@ def c2_minute_task(t: Tables) -> DataFrame:
     return store.read_series(t.spark, root, "etf_min1").withColumn("set_aside", F.lit(result["unreadable"]).cast("bigint"))
 
 
+@query
+def c2_task_rejected(t: Tables) -> DataFrame:
+    """The records that a task has set aside, with the reason of each."""
+    root = _scratch(t, "task")
+    task = {
+        "name": "etf_daily", "target": {"root": root, "table": "etf_daily", "layout": "year"},
+        "rejected": {"root": root, "table": "etf_daily_rejected"},
+    }
+    result = jobs.run_task(task, [("lines", payloads.examine_bar_lines(t.raw_lines()))], AS_OF)
+    rejected = store.read_table(t.spark, root, "etf_daily_rejected")
+    if result["status"] != "ok" or result["unreadable"] + result["rows_written"] != t.raw_lines().count():
+        raise RuntimeError(f"rows were lost: {result}")
+    return rejected
+
+
 @query
 def c4_completeness_message(t: Tables) -> DataFrame:
     bars = series.pct_change(t.bars_daily(), span="month")
@@ -1169,6 +1203,17 @@ def c8_backfill(t: Tables) -> DataFrame:
     )
 
 
+@query
+def c8_backfill_rows(t: Tables) -> DataFrame:
+    """The rows that a backfill of a series and of a table delivered per key has stored."""
+    landed, root = _scratch(t, "landed"), _scratch(t, "store")
+    t.bars_daily().write.parquet(f"{landed}/etf_daily")
+    t.bars_by_type().withColumnRenamed("symbol", "code").write.partitionBy("code").parquet(f"{landed}/etf_nav")
+    jobs.backfill(t.spark, landed, root, RUN_TIME)
+    nav = store.read_table(t.spark, root, "etf_nav").withColumnRenamed("code", "symbol")
+    return columns.tagged_union({"etf_daily": store.read_series(t.spark, root, "etf_daily").drop("amount"), "etf_nav": nav}, "dataset")
+
+
 @query
 def c8_backfill_again(t: Tables) -> DataFrame:
     """Two deliveries into one table: the log has the rows of each, not of the store."""

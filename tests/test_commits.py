@@ -297,6 +297,7 @@ def test_a_task_takes_its_symbols_and_counts_what_it_sets_aside(spark, root):
     df = spark.createDataFrame(data, "ts_code string, kline_time string, close double")
     task = {"name": "t", "symbols": ["a"], "start_date": "2024-01-03", "end_date": "2024-01-03", "order": ["close"],
             "target": {"root": root, "table": "t", "layout": "month", "keys": ["symbol", "kline_time"], "order": ["close"]}}
+    task["rejected"] = {"root": root, "table": "t_rejected"}
     runs = []
 
     def source():
@@ -306,6 +307,8 @@ def test_a_task_takes_its_symbols_and_counts_what_it_sets_aside(spark, root):
     result = jobs.run_task(task, [("none", df.limit(0)), ("s", source)])
     assert (result["status"], result["rows_written"], result["unreadable"], len(runs)) == ("ok", 2, 1, 1)
     assert sorted(r["close"] for r in store.read_series(spark, root, "t").collect()) == [1.0, 2.0]
+    rejected = store.read_table(spark, root, "t_rejected").collect()
+    assert [(r["symbol"], r["reason"]) for r in rejected] == [("a", "time cannot be read")] and '"close":3.0' in rejected[0]["record"]
 
 
 # -- missing days --------------------------------------------------------------------

@@ -312,9 +312,13 @@ def test_scratch_is_empty_after_writes(spark, root, tmp_path):
     folder = Path(scratch_root(spark).removeprefix("file:"))
 
     def copies():
-        return {p.name for p in folder.iterdir() if p.name.split("-")[0] in ("batch", "targets", "task", "rows")}
+        return {p.name for p in folder.iterdir() if p.name.split("-")[0] in ("batch", "targets", "task", "rows", "settled")}
 
     before = copies()
+    sink.write_series(bars(spark, ("a", 2, 1)), root, "d", time="date")
+    jobs.update_day(spark, root, "d", str(day(3)), calendar_of(spark), [("x", bars(spark, ("a", 3, 5)))], f"{day(3)} 18:00:00")
+    jobs.backfill_missing(spark, root, "d", calendar_of(spark), [("x", bars(spark, ("a", 4, 5)))], "2024-01-20 18:00:00", as_of=str(day(5)))
+    assert copies() == before
     sink.upsert(bars(spark, ("a", 2, 1)), root, "t", ["symbol", "date"], ["close"], "year")
     sink.upsert(bars(spark, ("a", 3, 1)), root, "t", ["symbol", "date"], ["close"], "year")
     targets = [{"root": root, "table": n, "layout": "year"} for n in ("u", "v")]
