@@ -19,13 +19,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_texts
+from .batches import map_texts, release
 from .language import held_out
 from .ngrams import hashed_codes
 from .scratch import kept
@@ -40,18 +40,17 @@ THRESHOLD = 0.3
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """doc_id, toxic and the distinct buckets of at most ``most`` labelled documents."""
+    """doc_id, toxic and text of at most ``most`` labelled documents."""
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAINING narrow rows
-    rows = labelled.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return labelled.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
-    def start():
-        return lambda texts: {"buckets": [np.unique(hashed_codes(t, SIZES, BITS)) for t in texts]}
 
-    return map_texts(rows, "text", "buckets array<int>", start, ["doc_id", "toxic"])
+def _buckets(text: str | None) -> np.ndarray:
+    return np.unique(hashed_codes(text, SIZES, BITS))
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -60,13 +59,17 @@ def _counts(rows: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
-            for label, buckets in batch.groupby("toxic")["buckets"]:
-                total[int(label > 0)] += np.bincount(np.concatenate(buckets.tolist()), minlength=1 << BITS).astype(np.int32)
+            for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+                total[int(label > 0), _buckets(text)] += 1
         seen = np.flatnonzero(total.any(0))
-        yield pd.DataFrame({"bucket": seen.astype(np.int32), "toxic_n": total[1][seen].astype(np.int64), "other_n": total[0][seen].astype(np.int64)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen, pa.int32()), pa.array(total[1][seen], pa.int64()), pa.array(total[0][seen], pa.int64())],
+            names=["bucket", "toxic_n", "other_n"])
+        batch = total = seen = None
+        release()
 
     return (
-        rows.select("toxic", "buckets").mapInPandas(count, "bucket int, toxic_n long, other_n long")
+        rows.select("toxic", "text").mapInArrow(count, "bucket int, toxic_n long, other_n long")
         .groupBy("bucket").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("other_n").alias("other_n")))
 
 
@@ -92,14 +95,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, training: int = TRAINING, least:
         return {"share": n_toxic / n, "buckets": [], "weights": [], "intercept": 0.0}
 
     @F.udf(VectorUDT())
-    def scaled(own):
+    def scaled(text):
+        own = _buckets(text)
         at = np.searchsorted(buckets, own)
         at[at == len(buckets)] = 0
-        at = at[buckets[at] == np.asarray(own)]
+        at = at[buckets[at] == own]
         return Vectors.sparse(len(buckets), at, ratio[at])
 
     data = kept(
-        rows.select(F.when(F.col("toxic") > 0, 1.0).otherwise(0.0).alias("label"), scaled("buckets").alias("features")),
+        rows.select(F.when(F.col("toxic") > 0, 1.0).otherwise(0.0).alias("label"), scaled("text").alias("features")),
         "toxicity-features")
     model = LogisticRegression(maxIter=60, regParam=penalty, standardization=False).fit(data)
     return {
