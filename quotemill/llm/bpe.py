@@ -156,14 +156,16 @@ def id_lists(encoded: list[bytes]) -> pa.ListArray:
         pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<u4").astype(np.int32), pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, *, keep: list[str] | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, *, keep: list[str] | None = None, text: str = "text", ids: str = "ids", remembered: int = REMEMBERED,
+) -> DataFrame:
     """The columns ``keep`` (all but the text) and the ids of each text, as array<int>; where a column that is kept has
-    that name, underscores go behind it."""
+    that name, underscores go behind it. A task remembers the ids of ``remembered`` fragments at most."""
     keep = [c for c in docs.columns if c not in (text, ids)] if keep is None else keep
     ids = unused(keep, ids)
 
     def start():
-        codec = Codec(path)
+        codec = Codec(path, remembered)
         return lambda texts: {ids: id_lists([codec.encode(t) for t in texts])}
 
     return map_texts(docs, text, f"{ids} array<int>", start, keep)
