@@ -41,7 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns without the text, and the ids of the text."""
     ship(spark)
-    return bpe.encode(docs, vocabulary(), keep=[c for c in docs.columns if c != "text"], ids="token_ids")
+    # Fewer remembered fragments than op8 has: the executors come here with the memory of four stages behind them.
+    return bpe.encode(docs, vocabulary(), keep=[c for c in docs.columns if c != "text"], ids="token_ids", remembered=150_000)
 
 
 STAGES = [
