@@ -83,27 +83,28 @@ def missing_days(
     present = present.select(key, F.to_date(date).alias("_day")).join(numbered, "_day")
     bit = F.expr(f"shiftleft(1L, _number % {BITS})")
     have = present.groupBy(key, F.floor(F.col("_number") / BITS).cast("int").alias("_word")).agg(F.bit_or(bit).alias("_have"))
+    # The number of the first open day at or after each day, and of the last at or before it.
+    days = [begin + dt.timedelta(n) for n in range((final - begin).days + 1)]
+    placed = F.broadcast(spark.createDataFrame(
+        [(d, bisect.bisect_left(listed, d), bisect.bisect_right(listed, d) - 1) for d in days], "_day date, _next int, _previous int"))
     if universe is not None:
-        spans = universe.select(key).distinct().select(key, F.lit(begin).alias("first"), F.lit(final).alias("last"))
+        numbers = universe.select(key).distinct().select(key, F.lit(0).alias("_from"), F.lit(len(listed) - 1).alias("_to"))
     else:
         if spans is None:
             spans = df.groupBy(key).agg(F.min(date).alias("first"), F.max(date).alias("last"))
         spans = spans.select(key, F.to_date("first").alias("first"), F.to_date("last").alias("last"))
         if through == "table":
             end = final if as_of is not None else spans.agg(F.max("last")).first()[0]
-            if end is None:
+            if end is None or end < begin:
                 return none
-            spans = spans.withColumn("last", F.lit(end))
-        spans = spans.select(
-            key, F.greatest("first", F.lit(begin)).alias("first"), F.least("last", F.lit(final)).alias("last")).where("first <= last")
-    # The number of the first open day at or after each day, and of the last at or before it.
-    days = [begin + dt.timedelta(n) for n in range((final - begin).days + 1)]
-    placed = F.broadcast(spark.createDataFrame(
-        [(d, bisect.bisect_left(listed, d), bisect.bisect_right(listed, d) - 1) for d in days], "_day date, _next int, _previous int"))
-    numbers = (
-        spans.join(placed.select(F.col("_day").alias("first"), F.col("_next").alias("_from")), "first")
-        .join(placed.select(F.col("_day").alias("last"), F.col("_previous").alias("_to")), "last")
-        .where("_from <= _to").select(key, "_from", "_to"))
+            spans = spans.where(F.col("first") <= F.lit(end))
+            numbers = spans.withColumn("_to", F.lit(bisect.bisect_right(listed, end) - 1))
+        else:
+            spans = spans.withColumn("last", F.least("last", F.lit(final))).where(F.col("last") >= F.lit(begin))
+            numbers = spans.join(placed.select(F.col("_day").alias("last"), F.col("_previous").alias("_to")), "last")
+        numbers = numbers.withColumn("first", F.greatest("first", F.lit(begin))).join(
+            placed.select(F.col("_day").alias("first"), F.col("_next").alias("_from")), "first").where("_from <= _to")
+        numbers = numbers.select(key, "_from", "_to")
     words = numbers.select("*", F.explode(
         F.expr(f"sequence(CAST(_from div {BITS} AS INT), CAST(_to div {BITS} AS INT))")).alias("_word"))
     low = F.expr(f"shiftleft(1L, greatest(_from - _word * {BITS}, 0)) - 1L")

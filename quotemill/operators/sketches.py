@@ -42,7 +42,12 @@ def error_against_exact(df: DataFrame, sketches: DataFrame, columns: dict[str, s
     """name, exact, estimated, error (relative): how good the sketches are for this table."""
     estimated = estimated_distinct(sketches, list(columns))
     exact = df.agg(*[F.count_distinct(_text(c)).alias(n) for n, c in columns.items()])
-    names = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_x.{n}").alias("exact"), F.col(f"_e.{n}").alias("estimated")) for n in columns])
-    both = exact.alias("_x").join(estimated.alias("_e"))  # one row each
-    each = both.select(F.inline(names))
-    return each.withColumn("error", F.try_divide(F.abs(F.col("estimated") - F.col("exact")), F.col("exact")))
+
+    def listed(one: DataFrame, kind: str) -> DataFrame:
+        """A row a name of the one row there is."""
+        each = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in columns])
+        return one.select(F.inline(each)).withColumn("kind", F.lit(kind))
+
+    both = listed(exact, "exact").unionByName(listed(estimated, "estimated"))
+    found = both.groupBy("name").agg(*[F.max(F.when(F.col("kind") == k, F.col("value"))).alias(k) for k in ("exact", "estimated")])
+    return found.withColumn("error", F.try_divide(F.abs(F.col("estimated") - F.col("exact")), F.col("exact")))
