@@ -32,7 +32,7 @@ from ..sources.store import (
 )
 
 LAYOUTS = {"single": (SINGLE,), "year": ("year",), "month": ("year", "month"), "bucket": (BUCKET,)}
-BUCKETS = 64  # of a new table in buckets; a table keeps the number it was begun with
+BUCKETS = 16  # of a new table in buckets, unless its first write says how many; a table keeps the number it was begun with
 SMALL_BYTES = 64 << 20  # up to here a rewrite needs no sampling to spread its rows
 SMALL_FILES = 8  # as many small files a partition may have before ``compact`` merges them
 
@@ -197,7 +197,7 @@ def files_holding(base: DataFrame, batch: DataFrame, columns: Sequence[str]) ->
 
 def _small(spark: SparkSession, uris: Sequence[str]) -> bool:
     """Whether these are a few files of few bytes."""
-    if len(uris) > 4 * BUCKETS:
+    if len(uris) > 256:
         return False
     places = [of_uri(spark, u) for u in uris]
     conf = spark._jsc.hadoopConfiguration()
@@ -212,7 +212,7 @@ def _files(spark: SparkSession, path: str, uris: Sequence[str], schema: StructTy
 
 def _combine(
     df: DataFrame, root: str, table: str, layout: str, time: str, symbol: str, combine: Combine, touch: Sequence[str],
-    copied: bool = False, keys: Sequence[str] = (), spent: tuple[str, ...] = (),
+    copied: bool = False, keys: Sequence[str] = (), spent: tuple[str, ...] = (), buckets: int | None = None,
 ) -> None:
     """Rewrite the files that hold a row equal to one of ``df`` in the columns ``touch``, with ``combine(their rows, df)``.
 
@@ -224,7 +224,7 @@ def _combine(
     _check_layout(spark, root, table, layout)
     if not spent:
         _fold(spark, root, table)
-    buckets = table_note(spark, path).get("buckets", BUCKETS)
+    buckets = table_note(spark, path).get("buckets", buckets or BUCKETS)
     parted = with_partitions(df, layout, time, keys, buckets)
     found = bool(names_in(spark, path))
     schema = _whole_schema(spark, path, parted.schema, found)
@@ -279,6 +279,7 @@ def upsert(
     symbol: str = "symbol",
     newest_wins: bool = False,
     copied: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """Keyed write: the batch replaces existing rows of its keys, its last row per key wins.
 
@@ -286,7 +287,8 @@ def upsert(
     Only the files that hold a key of the batch are read as a whole and rewritten; a batch of new keys adds files.
     In a table partitioned by time the key has to hold the time column, so that a key cannot
     move to another partition. Layout ``bucket`` is for keys without a time: rows are partitioned by a hash of the key, always
-    the same one, so that few files are looked at.
+    the same one, into as many ``buckets`` as the table's first write says (table bytes / 10 GB or so), so that few files are
+    looked at.
     """
     _check_key(keys, layout, time)
     merge = merge_by_version if newest_wins else merge_by_key
@@ -295,7 +297,7 @@ def upsert(
     def combine(old: DataFrame, new: DataFrame) -> DataFrame:
         return merge(old, new, keys, order)
 
-    _combine(df, root, table, layout, time, symbol, combine, keys, copied, keys)
+    _combine(df, root, table, layout, time, symbol, combine, keys, copied, keys, buckets=buckets)
 
 
 def _check_key(keys: Sequence[str], layout: str, time: str) -> None:
@@ -305,7 +307,7 @@ def _check_key(keys: Sequence[str], layout: str, time: str) -> None:
 
 def append_versions(
     df: DataFrame, root: str, table: str, keys: Sequence[str], order: Sequence[str], name: str, layout: str = "single",
-    time: str = "date", symbol: str = "symbol",
+    time: str = "date", symbol: str = "symbol", buckets: int | None = None,
 ) -> None:
     """Add the batch's rows as versions of their keys: reads return the one with the greatest ``order``.
 
@@ -316,7 +318,7 @@ def append_versions(
     _check_key(keys, layout, time)
     _check_layout(spark, root, table, layout)
     note = table_note(spark, path)
-    wanted = {"layout": layout, "keys": list(keys), "order": list(order), "time": time, "symbol": symbol, "buckets": note.get("buckets", BUCKETS)}
+    wanted = {"layout": layout, "keys": list(keys), "order": list(order), "time": time, "symbol": symbol, "buckets": note.get("buckets", buckets or BUCKETS)}
     if "keys" in note and appended_versions(spark, path) and (note["keys"], note["order"]) != (wanted["keys"], wanted["order"]):
         raise ValueError(f"{table} has versions by {note['keys']} and {note['order']}")
     parted = with_partitions(times_as_such(df), layout, time, keys, wanted["buckets"])

@@ -31,6 +31,7 @@ def upsert_stream(
     files_per_batch: int = 1000,
     format: str = "parquet",
     compact_after: int | None = 16,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Take in the files that have arrived since the last run, then stop.
 
@@ -51,7 +52,7 @@ def upsert_stream(
         rows = prepare(batch)
         if validate is not None:
             rows = clean(rows, with_order(validate, order))
-        append_versions(rows, root, table, keys, order, f"{source}-{number:012d}", layout, time)
+        append_versions(rows, root, table, keys, order, f"{source}-{number:012d}", layout, time, buckets=buckets)
         if compact_after is not None and len(appended_versions(spark, path)) >= compact_after:
             compact(spark, root, table)
 

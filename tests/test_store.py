@@ -362,8 +362,9 @@ def test_newest_closes_of_a_table_without_years(spark, root, layout):
 
 def test_an_upsert_rewrites_the_buckets_of_its_keys_only(spark, root):
     rows = spark.range(500).select(F.concat(F.lit("s"), "id").alias("symbol"), F.col("id").alias("seq"), F.lit(1.0).alias("close"))
-    sink.upsert(rows, root, "t", ["symbol"], ["seq"], "bucket")
+    sink.upsert(rows, root, "t", ["symbol"], ["seq"], "bucket", buckets=40)
     before = {p.name for p in Path(root, "t").rglob("*.parquet")}
+    assert len(list(Path(root, "t").glob("key_bucket=*"))) == 40
     batch = spark.createDataFrame([("s7", 900, 2.0), (None, 901, 3.0), (None, 902, 4.0)], "symbol string, seq long, close double")
     sink.upsert(batch, root, "t", ["symbol"], ["seq"], "bucket")
     after = {p.name for p in Path(root, "t").rglob("*.parquet")}
