@@ -24,7 +24,7 @@ from ..operators.keyed import merge_by_key, merge_by_version, same_key, without_
 from ..schemas import UPDATE_LOG, widest
 from ..session import delete_path, scratch_path
 from ..sources.commits import (
-    APPENDED, SCHEMA, SPANS, TABLE, aside, commit, finish, hadoop, live_files, names_in, of_uri, write_aside,
+    APPENDED, SCHEMA, SPANS, TABLE, aside, commit, finish, live_files, names_in, of_uri, write_aside,
 )
 from ..sources.store import (
     BUCKET, SINGLE, appended_versions, read_or_empty, span_columns, stored_base, stored_layout, stored_schema, table_exists, table_note,
@@ -244,7 +244,8 @@ def _combine(
         existing = _files(spark, path, gone, schema) if gone else spark.createDataFrame([], schema)
         merged = combine(existing, parted)
         sort = [*columns, *(keys if layout == "bucket" or not (symbol and time) else (symbol, time))]
-        if _small(spark, gone + list(parted.inputFiles())):
+        batch = list(parted.inputFiles())
+        if batch and _small(spark, gone + batch):
             # Few enough bytes for a file a partition, without a sampling pass over both sides.
             merged = merged.repartition(*columns).sortWithinPartitions(*sort)
         elif layout != "single":
