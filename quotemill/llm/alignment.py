@@ -11,6 +11,7 @@ of their numbers, so that a long run without a common end costs its distinct ids
 Counting. A block is a run of about 2 MB of text of one task. Each block adds up the documents of its
 id pairs before anything is shuffled, so a pair is one row a block, however many documents hold
 it, and no pair is more than its share of a block's distinct pairs. Counts go back to the blocks and from there to the documents.
+What waits for them, the pairs of each document, is shuffled and sorted as places in its block's list, in as few bytes as the block needs.
 
 Defined cases. A null or empty text, or one whose joined token bytes on either side are not a space and
 the text, has no tokens and no groups. Strings of special tokens inside a text are plain text. Repeated rows
@@ -166,6 +167,19 @@ def _nested(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
 
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """A run of the values, none below zero, for each size; every value has as few bytes as the largest of all needs."""
+    values = values.astype(f"<u{np.min_scalar_type(values.max(initial=0)).itemsize}")
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes) * values.itemsize]), pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], pa.py_buffer(values.tobytes())])
+
+
+def _unpacked(runs: pa.ChunkedArray, n: int) -> np.ndarray:
+    """The n values of runs that were packed together, in any order of the runs."""
+    joined = b"".join(runs.to_pylist())
+    return np.frombuffer(joined, f"<u{len(joined) // n if n else 1}").astype(np.int64)
+
+
 def align(docs: DataFrame, path_a: str, path_b: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and groups, array<struct<a:array<int>, b:array<int>>>: the ids of both sides, group by group."""
 
@@ -189,13 +203,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, *, doc_id: str = "doc_id",
 _PAIR = 1 << 32
 
 _ALIGNED = (
-    "block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, at array<int>, times array<long>, "
+    "block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, held int, at binary, times binary, "
     "pairs array<long>, holders array<int>")
 
 
 def blocks(docs: DataFrame, path_a: str, path_b: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row a document: its figures, and its distinct id pairs as places (``at``) in the list of pairs of its block
-    with the number of their links (``times``). The block's first row has that list and the documents holding each pair."""
+    """A row a document: its figures, and its distinct id pairs (``held`` of them) as places (``at``) in the list of pairs of its
+    block with the number of their links (``times``), both packed, a width for the block. The block's first row has that list and
+    the documents holding each pair."""
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
 
     def run(batches):
@@ -217,7 +232,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, *, doc_id: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(np.full(n, block)), pa.array(batch.n_a), pa.array(batch.n_b),
                     pa.array(batch.n_groups), pa.array(batch.n_links), pa.array(digests),
-                    _nested(pa.array(at, pa.int32()), held), _nested(pa.array(total), held),
+                    pa.array(held, pa.int32()), _packed(at, held), _packed(total, held),
                     _nested(pa.array(pairs), once), _nested(pa.array(np.bincount(at, minlength=len(pairs)), pa.int32()), once),
                 ], names=["doc_id", *[part.split()[0] for part in _ALIGNED.split(", ")]])
                 block += 1
@@ -265,11 +280,9 @@ def linked(docs: DataFrame, path_a: str, path_b: str, **columns: str) -> DataFra
         documents, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         documents[place] = told.column("documents").to_numpy()
         best[place] = told.column("best").to_numpy(zero_copy_only=False)
-        at = rows.column("at").combine_chunks()
-        sizes = at.value_lengths().to_numpy(zero_copy_only=False)
-        places = at.flatten().to_numpy()
-        times = rows.column("times").combine_chunks().flatten().to_numpy()
-        doc = np.repeat(np.arange(rows.num_rows), sizes)
+        held = rows.column("held").to_numpy()
+        places, times = (_unpacked(rows.column(c), int(held.sum())) for c in ("at", "times"))
+        doc = np.repeat(np.arange(rows.num_rows), held)
         made = {}
         for name, value in (("n_best", best), ("count_sum", documents)):
             total = np.zeros(rows.num_rows, np.int64)

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -132,3 +133,28 @@ def test_a_long_group_costs_its_distinct_ids():
     one.in_a, one.in_b, one.doc = np.array([len(a)]), np.array([len(b)]), np.array([0])
     doc, x, y, n = one.links()
     assert len(n) == 6 and int(n.sum()) == len(a) * len(b) and set(doc.tolist()) == {0}
+
+
+def test_packed_runs():
+    """A width for all runs, which the largest value needs; runs come back in any order."""
+    for largest, width in ((0, 1), (255, 1), (256, 2), (65_535, 2), (65_536, 4), (1 << 32, 8), ((1 << 62) + 1, 8)):
+        values, sizes = np.array([1, 0, largest, 7]), np.array([2, 0, 1, 1])
+        runs = alignment._packed(values, sizes)
+        assert [len(r) // width for r in runs.to_pylist()] == sizes.tolist()
+        assert alignment._unpacked(pa.chunked_array([runs]), 4).tolist() == values.tolist()
+        turned = pa.chunked_array([runs[2:], runs[:2]])
+        assert alignment._unpacked(turned, 4).tolist() == [largest, 7, 1, 0]
+    none = alignment._packed(np.zeros(0, np.int64), np.array([0, 0]))
+    assert none.to_pylist() == [b"", b""] and alignment._unpacked(pa.chunked_array([none]), 0).tolist() == []
+
+
+def test_a_pair_of_a_document_is_a_few_bytes(documents, libraries):
+    """What is shuffled and sorted for the counts to come back to: twelve bytes a pair took most of the last stage's memory."""
+    texts = [*wild(400, 5), "", None]
+    docs = documents([(i, t, None, None) for i, t in enumerate(texts)]).coalesce(1)
+    found = [len({(x, y) for a, b in groups_of(*encoded(libraries, t)) for x in a for y in b}) for t in texts]
+    rows = alignment.blocks(docs, A, B).select("doc_id", "at", "times").collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    for r in rows:
+        size = sum(len(c) if isinstance(c, (bytes, bytearray)) else 4 * len(c) for c in (r["at"], r["times"]))
+        assert size <= 3 * found[r["doc_id"]]
